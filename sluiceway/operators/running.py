@@ -18,14 +18,20 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_SLICES = 65_536
+from sluiceway.session import shared_folder
+
+ROWS_PER_SLICE = 2_000_000
+MAX_SLICES = 262_144
 _WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
 
 
-def default_slices(df: DataFrame) -> int:
-    """A few slices per shuffle partition, so that an uneven cut still fills every task."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(64, min(MAX_SLICES, 4 * partitions))
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def default_slices(df: DataFrame, rows: int) -> int:
+    """A few slices per shuffle partition, and enough that none gets large."""
+    return max(64, 4 * _shuffle_partitions(df), -(-rows // ROWS_PER_SLICE))
 
 
 def _position(df: DataFrame, name: str) -> Column:
@@ -54,6 +60,7 @@ class Cuts:
     """How to slice: one entry per level, each a list of (slice so far..., order column, low, width)."""
 
     order: list[str]
+    slices: int
     levels: list[list[tuple]] = field(default_factory=list)
 
     def columns(self) -> list[str]:
@@ -100,15 +107,15 @@ def plan_cuts(df: DataFrame, order: Sequence[str], slices: int | None = None) ->
     A slice is heavy when it holds more than four times its share, so at most ``slices / 4`` of them reach
     the driver per level. Each level narrows the range it cuts, so the loop ends.
     """
-    slices = min(slices or default_slices(df), MAX_SLICES)
     df = df.select(*order)
     stats = [F.count(F.lit(1)).alias("n")]
     for i, name in enumerate(order):
         p = _position(df, name)
         stats += [F.min(p).alias(f"lo{i}"), F.max(p).alias(f"hi{i}"), F.count(p).alias(f"c{i}")]
     whole = df.agg(*stats).first()
+    slices = min(slices or default_slices(df, whole["n"]), MAX_SLICES)
     limit = max(1, -(-4 * whole["n"] // slices))
-    cuts, heavy = Cuts(list(order)), [whole] if whole["n"] else []
+    cuts, heavy = Cuts(list(order), slices), [whole] if whole["n"] else []
     while True:
         level, found = len(cuts.levels), []
         done = cuts.columns()[:level]
@@ -131,7 +138,15 @@ def plan_cuts(df: DataFrame, order: Sequence[str], slices: int | None = None) ->
 def slice_rows(df: DataFrame, order: Sequence[str], slices: int | None = None) -> tuple[DataFrame, list[str]]:
     """Add slice columns; sorted, they give the same order as the order columns."""
     cuts = plan_cuts(df, order, slices)
-    return cuts.apply(df), cuts.columns()
+    return _spread(cuts.apply(df), cuts.columns(), cuts.slices), cuts.columns()
+
+
+def _spread(df: DataFrame, columns: Sequence[str], slices: int) -> DataFrame:
+    """Shuffle by slice into more tasks where the session's setting would give each one too many slices.
+
+    The window needs this shuffle anyway and takes it over as it is.
+    """
+    return df.repartition(slices // 4, *columns) if slices > 4 * _shuffle_partitions(df) and slices > 64 else df
 
 
 def slice_hot_keys(
@@ -141,16 +156,20 @@ def slice_hot_keys(
 
     More than ``rows / slices`` rows each means at most ``slices`` such keys, which bounds the broadcast.
     """
-    slices = min(slices or default_slices(df), MAX_SLICES)
-    share = max(1, df.count() // slices)
+    rows = df.count()
+    slices = min(slices or default_slices(df, rows), MAX_SLICES)
     names = [f"__hot{i}" for i in range(len(key))]
+    shared_folder(df.sparkSession)  # checkpoint() below needs one
     hot = (
-        df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > share)
+        df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max(1, rows // slices))
         .select(*[F.col(k).alias(n) for k, n in zip(key, names, strict=True)], F.lit(True).alias("__hot"))
+        .checkpoint()
     )
+    if hot.isEmpty():
+        return df.withColumn("__slice0", F.lit(0).cast("bigint")), ["__slice0"]
     match = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, names, strict=True)]
     marked = df.join(F.broadcast(hot), match, "left").drop(*names)
-    cuts = plan_cuts(marked.where(F.col("__hot")), order, slices)
+    cuts = plan_cuts(marked.where(F.col("__hot")).select(*order), order, slices)
     sliced = cuts.apply(marked)
     for level, name in enumerate(cuts.columns()):
         # The first level starts at 1 for hot keys: 0 marks the rows that need no offset.
