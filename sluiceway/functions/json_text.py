@@ -70,7 +70,12 @@ def as_object(doc: Column) -> Column:
 def unexpected_keys(doc: Column, known: Sequence[str]) -> Column:
     """Keys of the object outside the known list, empty when there are none."""
     extra = F.array_except(F.map_keys(as_object(doc)), F.array(*[F.lit(k) for k in known]))
-    return F.coalesce(F.array_sort(extra), F.array().cast("array<string>"))
+    return F.coalesce(F.sort_array(extra), F.array().cast("array<string>"))
+
+
+def present(*values: Column) -> Column:
+    """Array of the values that are not null. Unlike a filter with a lambda this stays in generated code."""
+    return F.array_except(F.array(*values), F.array(F.lit(None).cast("string")))
 
 
 def annotate(value: Column, rate: Column, reason: Column | str = DIVERTED_REASON) -> Column:

@@ -25,7 +25,7 @@ def running_error_rate(
     flag: str = "bad",
     order: Sequence[str] = ORDER,
     key: Sequence[str] = (),
-    carry: Mapping[str, int] | None = None,
+    carry: Mapping[str, int] | DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """Add ``total`` and ``failed`` so far, the row itself included, and ``error_rate``."""
@@ -41,7 +41,7 @@ def circuit_breaker(
     key: Sequence[str] = (),
     threshold: float = ERROR_THRESHOLD,
     min_records: int = MINIMUM_RECORDS,
-    carry: Mapping[str, int] | None = None,
+    carry: Mapping[str, int] | DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """Route every row: while the breaker is open, good and bad rows alike go to the dead-letter table.

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.functions.json_text import field, is_missing_field, unexpected_keys, with_variant
+from sluiceway.functions.json_text import as_object, field, is_missing_field, present, unexpected_keys, with_variant
 from sluiceway.functions.scalars import expected_tax
 from sluiceway.schema import COUNTRIES, CURRENCIES, EVENT_FIELDS, PAYMENT_METHODS
 
@@ -82,7 +82,8 @@ def wrong_type(doc: Column) -> Column:
 
 
 def has_unexpected(doc: Column, known: Sequence[str] = EVENT_FIELDS) -> Column:
-    return F.size(unexpected_keys(doc, known)) > 0
+    extra = F.array_except(F.map_keys(as_object(doc)), F.array(*[F.lit(k) for k in known]))
+    return F.coalesce(F.size(extra) > 0, F.lit(False))
 
 
 def malformed(doc: Column, value: Column) -> Column:
@@ -114,7 +115,7 @@ def checkout_rules(
 def record_failures(df: DataFrame, rules: Sequence[Rule] | None = None, value: str = "value") -> DataFrame:
     """Add ``failure_reasons``: the names of all rules a record breaks, in rule order, found in one pass."""
     rules = checkout_rules(value=value) if rules is None else rules
-    reasons = F.array_compact(F.array(*[F.when(r.broken, F.lit(r.name)) for r in rules]))
+    reasons = present(*[F.when(r.broken, F.lit(r.name)) for r in rules])
     return with_variant(df, value, "doc").withColumn("failure_reasons", reasons).drop("doc")
 
 

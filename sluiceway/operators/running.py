@@ -185,24 +185,38 @@ def running_sums(
     key: Sequence[str] = (),
     slices: int | None = None,
     slice_columns: Sequence[str] | None = None,
-    carry: Mapping[str, int] | None = None,
-    keep_slices: bool = False,
+    carry: Mapping[str, int] | DataFrame | None = None,
 ) -> DataFrame:
     """Add, per row, the sum of each expression over all rows up to and including it.
 
     ``order`` has to tell any two rows (of one key) apart. ``slice_columns`` names columns that already cut the
-    order into pieces of bounded size, otherwise they are found here. ``carry`` is what the sums start from.
+    order into pieces of bounded size, otherwise they are found here. ``carry`` is what the sums start from:
+    numbers, or with a key a frame with one row per key.
     """
-    key, order = list(key), list(order)
+    key, order, start = list(key), list(order), {}
+    if isinstance(carry, DataFrame):
+        return _with_carried_rows(df, sums, order, key, slices, carry)
+    start = carry or {}
     if slice_columns is None:
         df, cut = slice_hot_keys(df, key, order, slices) if key else slice_rows(df, order, slices)
+        rows = df.where(F.col(cut[0]) > 0) if key else df
     else:
-        cut = list(slice_columns)
-    sliced_keys = bool(key) and slice_columns is None
-    rows = df.where(F.col(cut[0]) > 0) if sliced_keys else df
-    totals = rows.groupBy(*key, *cut).agg(*[F.sum(e).cast("bigint").alias(n) for n, e in sums.items()])
-    earlier = Window.partitionBy(*key).orderBy(*cut).rowsBetween(Window.unboundedPreceding, -1)
+        cut, rows = list(slice_columns), df
+    return _sum_up(df, rows, sums, order, key, cut, start, bounded=not key and slice_columns is None)
+
+
+def _sum_up(
+    df: DataFrame, sliced: DataFrame, sums: Mapping[str, Column], order: list[str], key: list[str], cut: list[str],
+    start: Mapping[str, int], bounded: bool,
+) -> DataFrame:
+    """Running sums inside each slice plus the totals of the slices before it.
+
+    ``sliced`` are the rows whose slices need an offset; ``bounded`` says that there is one offset row per slice
+    of a chosen number of slices, so that it can be broadcast. Otherwise Spark decides how to join.
+    """
     shared = [*key, *cut]
+    totals = sliced.groupBy(*shared).agg(*[F.sum(e).cast("bigint").alias(n) for n, e in sums.items()])
+    earlier = Window.partitionBy(*key).orderBy(*cut).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *[F.col(c).alias(f"__at{i}") for i, c in enumerate(shared)],
         *[F.sum(n).over(earlier).alias(f"__before_{n}") for n in sums],
@@ -214,14 +228,24 @@ def running_sums(
         F.col(c).eqNullSafe(F.col(f"__at{i}")) if c in key else F.col(c) == F.col(f"__at{i}")
         for i, c in enumerate(shared)
     ]
-    # Without a key there is one row per slice, and their number was chosen; with keys Spark decides.
-    bounded = F.broadcast(offsets) if not key and slice_columns is None else offsets
-    start = carry or {}
-    out = local.join(bounded, match, "left").withColumns({
+    out = local.join(F.broadcast(offsets) if bounded else offsets, match, "left").withColumns({
         n: (F.col(f"__in_{n}") + F.coalesce(F.col(f"__before_{n}"), F.lit(0)) + F.lit(start.get(n, 0))).cast("bigint")
         for n in sums
     })
     return out.drop(
-        *[f"__in_{n}" for n in sums], *[f"__before_{n}" for n in sums], *[f"__at{i}" for i in range(len(shared))],
-        *([] if keep_slices else cut),
-    )
+        *[f"__in_{n}" for n in sums], *[f"__before_{n}" for n in sums], *[f"__at{i}" for i in range(len(shared))], *cut)
+
+
+def _with_carried_rows(
+    df: DataFrame, sums: Mapping[str, Column], order: list[str], key: list[str], slices: int | None, carry: DataFrame,
+) -> DataFrame:
+    """Carried sums enter as one extra row per key in front of its rows: no join on a key that may be hot.
+
+    The extra rows have null order columns, so they fall into the first slice.
+    """
+    values = {n: F.col(f"__value_{n}") for n in sums}
+    rows = df.withColumns({f"__value_{n}": e.cast("bigint") for n, e in sums.items()}).withColumn("__row", F.lit(1))
+    extra = carry.select(*key, *[F.col(n).cast("bigint").alias(f"__value_{n}") for n in sums], F.lit(0).alias("__row"))
+    both, cut = slice_hot_keys(rows.unionByName(extra, allowMissingColumns=True), key, order, slices)
+    out = _sum_up(both, both.where(F.col(cut[0]) > 0), values, ["__row", *order], key, cut, {}, bounded=False)
+    return out.where(F.col("__row") == 1).drop("__row", *[f"__value_{n}" for n in sums])

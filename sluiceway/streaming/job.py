@@ -7,10 +7,11 @@ failure gives the same tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.functions.json_text import flag_anomalies
@@ -18,24 +19,26 @@ from sluiceway.operators.breaker import ORDER, annotate_diverted, circuit_breake
 from sluiceway.schema import ERROR_THRESHOLD, MINIMUM_RECORDS
 from sluiceway.sources.writers import write_routed
 
-STATE_SCHEMA = "total bigint, failed bigint"
+COUNTERS = "total bigint, failed bigint"
 
 
 def state_path(root: str, batch_id: int) -> str:
     return f"{root}/breaker_state/batch_id={batch_id}"
 
 
-def read_carry(spark: SparkSession, root: str, batch_id: int) -> dict[str, int]:
-    """Counters after the batch before this one; zero before the first."""
-    if batch_id == 0:
-        return {"total": 0, "failed": 0}
-    row = spark.read.schema(STATE_SCHEMA).parquet(state_path(root, batch_id - 1)).first()
-    return {"total": row["total"], "failed": row["failed"]}
+def read_state(spark: SparkSession, root: str, key_schema: str = "") -> DataFrame:
+    """The counters after every batch; ``key_schema`` declares the key columns of a keyed breaker."""
+    columns = ", ".join(filter(None, [key_schema, COUNTERS, "batch_id bigint"]))
+    return spark.read.schema(columns).parquet(f"{root}/breaker_state")
 
 
-def read_state(spark: SparkSession, root: str) -> DataFrame:
-    """The counters after every batch."""
-    return spark.read.schema(f"{STATE_SCHEMA}, batch_id bigint").parquet(f"{root}/breaker_state")
+def _carried(batch: DataFrame, root: str, batch_id: int, key: Sequence[str]) -> DataFrame:
+    """State left by the batch before this one; no rows before the first."""
+    fields = [batch.schema[k] for k in key]
+    schema = T.StructType([*fields, T.StructField("total", T.LongType()), T.StructField("failed", T.LongType())])
+    if batch_id == 0:
+        return batch.sparkSession.createDataFrame([], schema)
+    return batch.sparkSession.read.schema(schema).parquet(state_path(root, batch_id - 1))
 
 
 def run_batch(
@@ -43,24 +46,37 @@ def run_batch(
     batch_id: int,
     root: str,
     order: Sequence[str] = ORDER,
+    key: Sequence[str] = (),
     probe: str = "tax_amount",
     threshold: float = ERROR_THRESHOLD,
     min_records: int = MINIMUM_RECORDS,
     slices: int | None = None,
+    persist: bool = False,
 ) -> None:
-    """Route one micro-batch and record the breaker state after it."""
-    spark = batch.sparkSession
-    carry = read_carry(spark, root, batch_id)
+    """Route one micro-batch and record the breaker state after it.
+
+    The batch is read several times with few columns each; ``persist`` keeps it instead, which pays off where
+    reading is costly (a message broker) and not for columnar files.
+    """
+    key = list(key)
+    carried = _carried(batch, root, batch_id, key)
     flagged = flag_anomalies(batch, probe=probe)
-    routed = annotate_diverted(
-        circuit_breaker(flagged, order=order, threshold=threshold, min_records=min_records, carry=carry, slices=slices))
-    write_routed(routed, root, batch_id)
-    # From the written files: two narrow columns, and the batch is not worked out a second time.
-    written = spark.read.schema("bad boolean").parquet(f"{root}/events/batch_id={batch_id}")
-    after = written.agg(
-        (F.count(F.lit(1)) + carry["total"]).alias("total"),
-        (F.count_if("bad") + carry["failed"]).alias("failed"))
+    if persist:
+        flagged = flagged.persist()
+    # Without a key the state is a single row.
+    carry = carried if key else next((r.asDict() for r in carried.collect()), {})
+    routed = circuit_breaker(
+        flagged, order=order, key=key, threshold=threshold, min_records=min_records, carry=carry, slices=slices)
+    write_routed(annotate_diverted(routed), root, batch_id)
+    # From the written files: a few narrow columns, and the batch is not worked out a second time.
+    schema = T.StructType([*[batch.schema[k] for k in key], T.StructField("bad", T.BooleanType())])
+    written = batch.sparkSession.read.schema(schema).parquet(f"{root}/events/batch_id={batch_id}")
+    added = written.select(*key, F.lit(1).cast("bigint").alias("total"), F.col("bad").cast("bigint").alias("failed"))
+    after = carried.unionByName(added).groupBy(*key).agg(
+        F.coalesce(F.sum("total"), F.lit(0)).alias("total"), F.coalesce(F.sum("failed"), F.lit(0)).alias("failed"))
     after.write.mode("overwrite").parquet(state_path(root, batch_id))
+    if persist:
+        flagged.unpersist()
 
 
 def start(
@@ -69,11 +85,13 @@ def start(
     checkpoint: str,
     available_now: bool = False,
     interval: str = "10 seconds",
-    handler: Callable[..., None] = run_batch,
     **options,
 ) -> StreamingQuery:
-    """Start the breaker on a stream of raw events; progress and restarts are kept in ``checkpoint``."""
-    writer = events.writeStream.foreachBatch(lambda df, n: handler(df, n, root, **options)).option(
+    """Start the breaker on a stream of raw events; progress and restarts are kept in ``checkpoint``.
+
+    ``options`` go to :func:`run_batch`.
+    """
+    writer = events.writeStream.foreachBatch(lambda df, n: run_batch(df, n, root, **options)).option(
         "checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return writer.trigger(**trigger).start()

@@ -27,6 +27,9 @@ EDGES = [
     ('{"x":{"tax_amount":null}}', False, "annotated"),
     ('{"Tax_Amount":null}', False, "annotated"),
     ('{"tax_amount":"null"}', False, "annotated"),
+    ('"{not an object"', False, "unchanged"),
+    (' {"a":"}","b":"\\"x\\u00e9"}', False, "annotated"),
+    ("{}", False, "annotated"),
     ('{"anomaly_status":"old","error_rate":7,"deep":{"k":[1,null,{"z":12345678901234567890.12}]}}', False, "annotated"),
     (None, True, "null"),
 ]
@@ -47,7 +50,7 @@ def test_edge(edges, i):
     if fate != "annotated":
         assert row["text"] == text
         return
-    expected = json.JSONDecoder().raw_decode(text)[0]
+    expected = json.JSONDecoder().raw_decode(text.lstrip())[0]
     expected.update(anomaly_status="DIVERTED", anomaly_reason="NULL_TAX_AMOUNT", error_rate=0.25)
     assert json.loads(row["text"]) == expected
 
