@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from sluiceway.session import shared_folder
 
 ROWS_PER_SLICE = 2_000_000
+# Up to this many rows are no burden for one task, so nothing this small is cut again.
+LIGHT_SLICE = 250_000
 MAX_SLICES = 262_144
 _WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
 
@@ -102,10 +104,10 @@ def _finer_column(row: Row, count: int) -> int | None:
 
 
 def plan_cuts(df: DataFrame, order: Sequence[str], slices: int | None = None) -> Cuts:
-    """Find slices of roughly ``rows / slices`` rows each. Reads the order columns only.
+    """Find slices of at most four times ``rows / slices`` rows. Reads the order columns only.
 
-    A slice is heavy when it holds more than four times its share, so at most ``slices / 4`` of them reach
-    the driver per level. Each level narrows the range it cuts, so the loop ends.
+    A slice is heavy when it holds more than four times its share (and, unless ``slices`` is given, enough rows
+    to matter), so at most ``slices / 4`` of them reach the driver per level. Each level narrows the range it cuts, so the loop ends.
     """
     df = df.select(*order)
     stats = [F.count(F.lit(1)).alias("n")]
@@ -113,8 +115,11 @@ def plan_cuts(df: DataFrame, order: Sequence[str], slices: int | None = None) ->
         p = _position(df, name)
         stats += [F.min(p).alias(f"lo{i}"), F.max(p).alias(f"hi{i}"), F.count(p).alias(f"c{i}")]
     whole = df.agg(*stats).first()
+    light = 1 if slices else LIGHT_SLICE
     slices = min(slices or default_slices(df, whole["n"]), MAX_SLICES)
-    limit = max(1, -(-4 * whole["n"] // slices))
+    limit = max(light, -(-4 * whole["n"] // slices))
+    # A finer grid than asked for costs only more offset rows and leaves fewer slices to cut again.
+    cells = min(64 * slices, MAX_SLICES)
     cuts, heavy = Cuts(list(order), slices), [whole] if whole["n"] else []
     while True:
         level, found = len(cuts.levels), []
@@ -122,12 +127,14 @@ def plan_cuts(df: DataFrame, order: Sequence[str], slices: int | None = None) ->
         for row in heavy:
             i = _finer_column(row, len(order))
             if i is not None:
-                parts = slices if level == 0 else max(2, -(-4 * row["n"] // limit))
+                parts = max(16, cells // len(heavy))
                 width = -(-(row[f"hi{i}"] - row[f"lo{i}"] + 1) // parts)
                 found.append((*[row[c] for c in done], i, row[f"lo{i}"], width))
         if not found:
             return cuts
         cuts.levels.append(found)
+        if whole["n"] <= limit:
+            return cuts
         df = cuts.add_level(df, level)
         if level:
             kept = _bigint_table(df, [c[:level] for c in found], done)
@@ -157,11 +164,14 @@ def slice_hot_keys(
     More than ``rows / slices`` rows each means at most ``slices`` such keys, which bounds the broadcast.
     """
     rows = df.count()
+    light = 1 if slices else LIGHT_SLICE
+    if rows <= light:
+        return df.withColumn("__slice0", F.lit(0).cast("bigint")), ["__slice0"]
     slices = min(slices or default_slices(df, rows), MAX_SLICES)
     names = [f"__hot{i}" for i in range(len(key))]
     shared_folder(df.sparkSession)  # checkpoint() below needs one
     hot = (
-        df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max(1, rows // slices))
+        df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max(light, rows // slices))
         .select(*[F.col(k).alias(n) for k, n in zip(key, names, strict=True)], F.lit(True).alias("__hot"))
         .checkpoint()
     )

@@ -13,6 +13,9 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # A repeated JSON key takes its last value instead of making the text invalid.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    # Rule sets make long expressions. Beyond this size the JVM would interpret the fused method, so Spark is told
+    # to generate smaller ones instead.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     # Two routes per task: keep both files open instead of sorting the rows by route.
     spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "8")
     return spark

@@ -140,7 +140,7 @@ def test_text_cannot_order(spark):
         plan_cuts(spark.createDataFrame([("a",)], "t string"), ["t"])
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-5, 5)), st.integers(0, 1)),
              min_size=1, max_size=80),

@@ -129,3 +129,21 @@ def test_incident_lists(spark):
     assert [r["incident_id"] for r in incidents.latest(df).collect()] == [f"INC-{i}" for i in (7, 6, 5, 4, 3)]
     assert incidents.active(df).count() == 4
     assert incidents.deduplicated(df.unionByName(df)).count() == 8
+
+
+def test_wrong_types(spark):
+    texts = ['{"amount":1,"tax_amount":0.5,"order_id":"x"}', '{"amount":1e300}', '{"amount":null,"order_id":null}', "{}",
+             '{"amount":"1"}', '{"order_id":7}', '{"order_id":{"a":1}}', '{"amount":[1]}', '{"amount":true}', "{bad"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, value string")
+    doc = F.try_parse_json("value")
+    got = [r[0] for r in df.orderBy("id").select(rules.wrong_type(doc)).collect()]
+    assert got == [False] * 4 + [True] * 5 + [False]
+
+
+def test_numeric_and_required_fields(spark):
+    texts = ['{"amount":1.25}', '{"amount":"1.25"}', '{"amount":null}', '{"amount":"abc"}', '{"amount":{}}', "{}", "{bad", "[1]"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, value string").orderBy("id")
+    doc = F.try_parse_json("value")
+    rows = df.select(rules.not_numeric(doc, "amount"), rules.missing_field(doc, "amount")).collect()
+    assert [r[0] for r in rows] == [False, False, False, True, True, False, False, False]
+    assert [r[1] for r in rows] == [False, False, True, False, False, True, False, True]
