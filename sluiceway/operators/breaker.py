@@ -20,6 +20,10 @@ def is_open(total: Column, failed: Column, threshold: float = ERROR_THRESHOLD,
     return (total >= min_records) & (failed.cast("double") / F.nullif(total, F.lit(0)) > threshold)
 
 
+def _failed(flag: str) -> Column:
+    return F.coalesce(F.col(flag).cast("int"), F.lit(0))
+
+
 def running_error_rate(
     df: DataFrame,
     flag: str = "bad",
@@ -30,7 +34,7 @@ def running_error_rate(
 ) -> DataFrame:
     """Add ``total`` and ``failed`` so far, the row itself included, and ``error_rate``."""
     counted = running_sums(
-        df, {"total": F.lit(1), "failed": F.col(flag).cast("int")}, order, key, carry=carry, **options)
+        df, {"total": F.lit(1), "failed": _failed(flag)}, order, key, carry=carry, **options)
     return counted.withColumn("error_rate", F.col("failed").cast("double") / F.col("total"))
 
 
@@ -69,7 +73,7 @@ def transitions(
     The counters before a row follow from the counters at it, so no neighbour has to be looked up.
     """
     was_open = F.coalesce(
-        is_open(F.col("total") - 1, F.col("failed") - F.col(flag).cast("int"), threshold, min_records), F.lit(False))
+        is_open(F.col("total") - 1, F.col("failed") - _failed(flag), threshold, min_records), F.lit(False))
     return (
         routed.where(F.col("breaker_open") != was_open)
         .withColumn("opened", F.col("breaker_open"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +41,21 @@ def backlog(source: DataFrame, committed: DataFrame, key: str = "event_id", by:
     return waiting.groupBy(*([by] if by else [])).agg(F.count(F.lit(1)).alias("backlog"))
 
 
+def live_backlog(progress: Mapping) -> int:
+    """Messages a running query has not read yet, from its last progress report (partitioned sources).
+
+    Offsets come as ``{topic: {partition: offset}}``, as JSON text or already parsed.
+    """
+    waiting = 0
+    for source in progress["sources"]:
+        latest, end = (
+            json.loads(source[k]) if isinstance(source[k], str) else source[k] for k in ("latestOffset", "endOffset"))
+        for topic, partitions in latest.items():
+            for partition, offset in partitions.items():
+                waiting += offset - end.get(topic, {}).get(partition, 0)
+    return waiting
+
+
 def snapshot_log(written: DataFrame, batch: str = "batch_id", committed: str = "committed_at") -> DataFrame:
     """One row per commit: records added, running total, commit time and which one is current.
 

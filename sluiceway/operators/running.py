@@ -49,8 +49,10 @@ def _position(df: DataFrame, name: str) -> Column:
 
 
 def _slot(position: Column, low: Column, width: Column) -> Column:
-    # Rounding cannot break the order: subtraction, division and floor never decrease. Nulls sort first.
-    return F.coalesce(F.floor((position - low) / width), F.lit(-1).cast("bigint"))
+    # Rounding cannot break the order: subtraction, division and floor never decrease. Nulls sort first, and what is
+    # too far from the lower end for a whole number goes last.
+    slot = F.coalesce(F.floor(F.try_subtract(position, low) / width), F.lit(2**62))
+    return F.when(position.isNull(), F.lit(-1).cast("bigint")).otherwise(slot)
 
 
 def _bigint_table(df: DataFrame, rows: list[tuple], names: Sequence[str]) -> DataFrame:

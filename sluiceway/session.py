@@ -24,7 +24,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's checkpoint folder when it names one."""
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="sluiceway-")
     if not context.getCheckpointDir():

@@ -135,6 +135,33 @@ def test_cuts_do_not_depend_on_partitioning(spark):
     assert [sorted(level) for level in one.levels] == [sorted(level) for level in many.levels]
 
 
+def test_whole_range_of_numbers(spark):
+    rng = random.Random(5)
+    times = [-(2**63), 2**63 - 1, 2**62, -(2**62), 0, 1, 2, None] + [rng.randrange(-(2**63), 2**63) for _ in range(300)]
+    rows = [("a", at, i, i % 2) for i, at in enumerate(times)]
+    assert sums_of(spark, rows, slices=40) == expected_sums(rows)
+
+
+def test_three_order_columns(spark):
+    """Broker order: most messages carry the same time, partitions interleave."""
+    rng = random.Random(6)
+    rows = [(7 if rng.random() < 0.8 else rng.randrange(20), i % 3, i // 3, rng.randrange(2)) for i in range(2000)]
+    expected, n, s = {}, 0, 0
+    for t, p, o, f in sorted(rows):
+        n, s = n + 1, s + f
+        expected[(p, o)] = (n, s)
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "t bigint, partition int, offset bigint, flag int").withColumn(
+        "timestamp", F.timestamp_seconds("t"))
+    out = running_sums(df, {"n": F.lit(1), "s": F.col("flag")}, ["timestamp", "partition", "offset"], slices=64)
+    assert {(r["partition"], r["offset"]): (r["n"], r["s"]) for r in out.collect()} == expected
+
+
+def test_missing_flags_count_as_good(spark):
+    df = frame(spark, [1, 0, 1]).withColumn("bad", F.when(F.col("event_id") > 0, F.col("bad")))
+    assert [r["failed"] for r in breaker.circuit_breaker(df).orderBy("event_id").collect()] == [0, 0, 1]
+
+
 def test_text_cannot_order(spark):
     with pytest.raises(TypeError):
         plan_cuts(spark.createDataFrame([("a",)], "t string"), ["t"])

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.functions.json_text import flag_anomalies
+from sluiceway.functions.json_text import decode_value, flag_anomalies
 from sluiceway.operators import breaker, incidents, metrics
 from sluiceway.plans.checkout import checkout_events
 from sluiceway.sources import readers, writers
@@ -103,6 +103,22 @@ def test_breaker_per_user(spark, folder, slices):
     assert per_user.agg(F.sum("total"), F.sum("failed")).first()[:] == (1000, 22)
 
 
+def test_broker_order(spark, folder):
+    """Messages as a broker hands them over: bytes, partition, offset and a time many of them share."""
+    messages = events(spark).select(
+        F.encode("value", "UTF-8").alias("value"), (F.col("event_id") % 3).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"), F.date_trunc("day", "event_ts").alias("timestamp"))
+    decoded = decode_value(messages)
+    order = ["timestamp", "partition", "offset"]
+    job.run_batch(decoded.where("timestamp < '2024-01-09'"), 0, folder, order=order, persist=True, slices=16)
+    job.run_batch(decoded.where("timestamp >= '2024-01-09'"), 1, folder, order=order, persist=True, slices=16)
+    whole = breaker.circuit_breaker(flag_anomalies(decoded), order=order).select("offset", "total", "failed", "route")
+    schema = T.StructType([T.StructField(n, t) for n, t in (
+        ("offset", T.LongType()), ("total", T.LongType()), ("failed", T.LongType()), ("route", T.StringType()))])
+    got = writers.read_routed(spark, folder, schema).select("offset", "total", "failed", "route")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_timed_trigger(spark, folder):
     arrive(spark, folder, 0, 1000)
     stream = readers.read_events(spark, "parquet", SCHEMA, path=f"{folder}/inbox")

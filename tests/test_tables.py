@@ -36,6 +36,11 @@ def test_backlog_by_partition(spark):
     assert got == {0: 1, 1: 1}
 
 
+def test_live_backlog():
+    progress = {"sources": [{"latestOffset": '{"t":{"0":10,"1":7}}', "endOffset": {"t": {"0": 4, "1": 7}}}]}
+    assert ledger.live_backlog(progress) == 6
+
+
 def test_csv_batch(spark, folder):
     lines = ["transaction_id,user_id,amount,tax_amount,timestamp"]
     for i in range(100):
