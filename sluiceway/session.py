@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -22,11 +21,17 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's checkpoint folder when it names one."""
+    """Folder every executor can reach: what ``spark.checkpoint.dir`` names, or else the context's checkpoint folder.
+
+    Where neither is set, a folder inside the warehouse serves a local session. On a cluster that would be a guess, so
+    it is an error there.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="sluiceway-")
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
