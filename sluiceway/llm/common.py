@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from sluiceway.session import fresh_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The folder that holds this package.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Words in the sense of the benchmark check: letters and digits of ASCII, and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Words in the sense of shingles and sizes: what stands between ASCII white space.
@@ -19,6 +22,11 @@ BROADCAST_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Python workers on this machine also get the folder of this package on their path; on a cluster it
+    has to be installed, or shipped with ``--py-files``."""
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, ROOT)))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

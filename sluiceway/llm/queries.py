@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import decontamination, html_text, language, mixing, sharding, toxicity
+from sluiceway.llm import decontamination, embedding_links, html_text, language, mixing, sharding, toxicity
 from sluiceway.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op6_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links.embedding_links(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, sf_dir, "documents")).drop("text_id")
