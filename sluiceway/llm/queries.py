@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import decontamination, embedding_links, html_text, language, mixing, sharding, toxicity
+from sluiceway.llm import decontamination, embedding_links, html_text, jaccard_join, language, mixing, sharding, toxicity
 from sluiceway.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,10 +59,16 @@ def op6_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.hilbert_shards(table(spark, sf_dir, "documents")).drop("text_id")
+    return sharding.hilbert_shards(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 @query
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages, html_text.trained()).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))

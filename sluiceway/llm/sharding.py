@@ -127,15 +127,26 @@ def hilbert_shards(docs: DataFrame, dimensions: Sequence[str] = ("source", "lang
     rank = ranked.withColumn("rank", F.col("cell_start") + F.col("before") + F.col("copy"))
     shard = rank.withColumn("shard", F.expr(f"CAST(rank * {shards} DIV total AS INT)"))
     first = F.expr(f"(CAST(shard AS BIGINT) * total + {shards - 1}) DIV {shards}")
-    return shard.select("doc_id", "size", "text_id", "text_crc32", F.lit("rows").alias("law"), "shard",
+    return shard.select("doc_id", "size", "text_id", "text_crc32", *(d for d in dimensions if d not in ("doc_id", "size")), F.lit("rows").alias("law"), "shard",
                         (F.col("rank") - first).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def shard_rows(docs: DataFrame, dimensions: Sequence[str] = ("source", "lang", "size"), **settings) -> DataFrame:
+    """``docs`` with ``shard`` and ``slot`` (columns of these names are replaced), as ``hilbert_shards`` deals them.
+
+    Rows that are equal in doc_id, text and dimensions count as repeats of one row; what else differs among them is
+    taken from any of them.
+    """
+    keys = ["doc_id", "text_id", *(d for d in dimensions if d not in ("doc_id", "size"))]
+    plan = hilbert_shards(docs, dimensions, **settings).select(F.struct(*keys).alias("plan"), "shard", "slot")
+    plain = docs.drop("shard", "slot").withColumn("text_id", text_key(F.col("text"))).dropDuplicates(keys)
+    at = F.lit(True)
+    for key in keys:
+        at = at & F.col(key).eqNullSafe(F.col(f"plan.{key}"))
+    return plain.join(plan, at).drop("plan", "text_id")
+
+
 def write_shards(docs: DataFrame, path: str, **settings) -> None:
-    """The rows of ``docs`` as one folder per shard, sorted by slot, so that readers can skip files by their statistics."""
-    plan = hilbert_shards(docs, **settings).groupBy("doc_id", "text_id").agg(
-        F.min_by("shard", "slot").alias("shard"), F.min("slot").alias("slot")).select(
-        F.struct("doc_id", "text_id").alias("plan"), "shard", "slot")
-    here = F.col("doc_id").eqNullSafe(F.col("plan.doc_id")) & (text_key(F.col("text")) == F.col("plan.text_id"))
-    placed = docs.drop("shard", "slot").join(plan, here).drop("plan")
-    placed.repartition("shard").sortWithinPartitions("shard", "slot").drop("slot").write.partitionBy("shard").parquet(path)
+    """One folder per shard, its rows in curve order, so that readers can skip files and row groups by their statistics."""
+    placed = shard_rows(docs, **settings)
+    placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
