@@ -40,6 +40,11 @@ def text_key(text: Column) -> Column:
     return F.coalesce(F.md5(text), F.lit("-"))
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """All columns as one, ``row``: names that a table brings along cannot clash with an operator's own."""
+    return df.select(F.struct(*(F.col(f"`{c}`").alias(c) for c in df.columns)).alias("row"))
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: its lineage ends there, and a lost executor costs nothing."""
     path = fresh_path(df.sparkSession, label)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import WORD, ascii_lower, bounded, cut, text_key
+from sluiceway.llm.common import WORD, ascii_lower, bounded, cut, packed, text_key
 
 N_WORDS = 10
 #: The same words before they are lower-cased.
@@ -104,18 +104,23 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS, remov
         raise ValueError("remove is documents or spans")
     bad = contamination(docs, benchmark, n).filter(F.size("spans") > 0).dropDuplicates(["doc_id", "text_id"]).select(
         F.struct("doc_id", "text_id", "spans").alias("found"))
-    here = F.col("doc_id").eqNullSafe(F.col("found.doc_id")) & (text_key(F.col("text")) == F.col("found.text_id"))
+    rows, text = packed(docs), F.col("row.text")
+    here = F.col("row.doc_id").eqNullSafe(F.col("found.doc_id")) & (text_key(text) == F.col("found.text_id"))
     if remove == "documents":
-        return docs.join(bad, here, "left_anti")
+        return rows.join(bad, here, "left_anti").select("row.*")
     # Words and what stands between them take turns: gap 0, word 0, gap 1, word 1, ... The gap after a kept word stays.
-    words = F.regexp_extract_all("text", F.lit(CASED_WORD), F.lit(0))
-    gaps = F.split("text", CASED_WORD)
-    inside = lambda i: F.exists("found.spans", lambda s: (i >= s["pos"]) & (i < s["pos"] + s["n"]))
-    kept = F.concat(gaps[0], F.array_join(F.transform(words, lambda w, i: F.when(inside(i), F.lit("")).otherwise(
-        F.concat(w, F.get(gaps, i + 1)))), ""))
-    text = F.when(F.col("found").isNotNull(), kept).otherwise(F.col("text"))
-    out = docs.join(bad, here, "left").withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("found").isNotNull(), F.length("text").cast(
-            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    # Through a one-element list, so that Spark splits the text once and not at each use.
+    parts = F.struct(F.regexp_extract_all(text, F.lit(CASED_WORD), F.lit(0)).alias("words"), F.split(text, CASED_WORD).alias("gaps"))
+
+    def without(part: Column) -> Column:
+        hit = F.flatten(F.transform("found.spans", lambda s: F.sequence(s["pos"], s["pos"] + s["n"] - 1)))
+        left = F.array_except(F.sequence(F.lit(0), F.size(part["words"]) - 1), hit)
+        return F.concat(part["gaps"][0], F.array_join(F.transform(left, lambda i: F.concat(
+            F.get(part["words"], i), F.get(part["gaps"], i + 1))), ""))
+
+    kept = F.get(F.transform(F.array(parts), without), 0)
+    hit = F.col("found").isNotNull()
+    out = {c: F.col("row")[c] for c in docs.columns} | {"text": F.when(hit, kept).otherwise(text)}
+    if "n_chars" in out:
+        out["n_chars"] = F.when(hit, F.length(kept).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return rows.join(bad, here, "left").select(*(column.alias(name) for name, column in out.items()))

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import TOKEN, ascii_lower, cut
+from sluiceway.llm.common import TOKEN, ascii_lower, cut, packed, text_key
 from sluiceway.llm.components import connected_components
 
 
@@ -49,9 +49,9 @@ def shingles(text: Column, n: int) -> Column:
 
 
 def with_shingles(docs: DataFrame, join: Join) -> DataFrame:
-    """doc_id, the size of its set, the set, and two hashes that together stand for it."""
-    sets = docs.select("doc_id", shingles(F.col("text"), join.n).alias("set"))
-    return sets.select("doc_id", F.size("set").cast("long").alias("size"), F.xxhash64("set").alias("k1"),
+    """doc_id, text_id, the size of its set, the set, and two hashes that together stand for it."""
+    sets = docs.select("doc_id", text_key(F.col("text")).alias("text_id"), shingles(F.col("text"), join.n).alias("set"))
+    return sets.select("doc_id", "text_id", F.size("set").cast("long").alias("size"), F.xxhash64("set").alias("k1"),
                        F.xxhash64(F.lit(1), "set").alias("k2"), "set")
 
 
@@ -135,7 +135,7 @@ def _in_blocks(buckets: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text; others are ignored): doc_id, n_shingles, component_id.
+    """One row per row of ``docs`` (doc_id, text; others are ignored): doc_id, text_id, n_shingles, component_id.
 
     1. Documents with equal sets are one class, named by its smallest doc_id.
     2. A prefix is the smallest hashes of a set, some more than a similar document could all lack. Classes with equal
@@ -219,7 +219,7 @@ def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
         F.struct("size", "k1", "k2").alias("is"), "component")
     named = known.join(of_class, F.struct("size", "k1", "k2") == F.col("is"), "left")
     own = F.when(F.col("size") == 0, F.col("doc_id").cast("long")).otherwise(F.col("component"))
-    return named.select("doc_id", F.col("size").alias("n_shingles"), own.alias("component_id"))
+    return named.select("doc_id", "text_id", F.col("size").alias("n_shingles"), own.alias("component_id"))
 
 
 def _with_component(rows: DataFrame, component: DataFrame) -> DataFrame:
@@ -231,9 +231,11 @@ def _with_component(rows: DataFrame, component: DataFrame) -> DataFrame:
 def one_per_component(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """``docs`` with one row of each component, the one that names it; its columns and those rows unchanged.
 
-    Of rows with equal doc_id and equal text, one stays; rows without doc_id that link with nothing stay.
+    Of rows with equal doc_id and text one stays. Rows without doc_id stay where no row with one has their shingles.
     """
     found = jaccard_components(docs, join)
-    keep = found.filter("doc_id = component_id").select("doc_id").distinct()
-    without = docs.filter("doc_id IS NULL")
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(without)
+    names = found.filter("doc_id = component_id OR (doc_id IS NULL AND component_id IS NULL)")
+    keep = names.select(F.struct("doc_id", "text_id").alias("keep")).distinct()
+    rows = packed(docs).withColumns({"id": F.col("row.doc_id"), "text_id": text_key(F.col("row.text"))})
+    here = F.col("id").eqNullSafe(F.col("keep.doc_id")) & (F.col("text_id") == F.col("keep.text_id"))
+    return rows.join(keep, here, "left_semi").dropDuplicates(["id", "text_id"]).select("row.*")

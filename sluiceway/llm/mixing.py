@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.llm.common import (
-    TOKEN, bounded, cut, fold_rows, hash_fraction, prefix_sums, text_key, unfold_rows,
+    TOKEN, bounded, cut, fold_rows, hash_fraction, packed, prefix_sums, text_key, unfold_rows,
 )
 
 
@@ -88,8 +88,7 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
     shares = mix_plan(docs, **settings).groupBy("doc_id", "source", "text_id", "size").agg(
         F.floor(F.sum("taken") / F.count(F.lit(1))).alias("taken")).filter("taken > 0")
     plan = shares.select(F.struct(*(F.col(c).alias(c) for c in ("doc_id", "source", "text_id", "size", "taken"))).alias("plan"))
-    here = F.struct(*(F.col(c).alias(c) for c in docs.columns))
-    rows = docs.select(here.alias("row"))
+    rows = packed(docs)
     at = (F.col("row.doc_id").eqNullSafe(F.col("plan.doc_id")) & F.col("row.source").eqNullSafe(F.col("plan.source"))
           & (text_key(F.col("row.text")) == F.col("plan.text_id")))
     passes = F.ceil(F.col("plan.taken") / F.col("plan.size"))

@@ -71,4 +71,4 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).drop("text_id")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.llm.common import bounded, cut, fold_rows, hash_fraction, prefix_sums, text_key, unfold_rows
+from sluiceway.llm.common import bounded, cut, fold_rows, hash_fraction, packed, prefix_sums, text_key, unfold_rows
 
 
 def hilbert_steps(axes: Sequence[str], bits: int, to: str) -> list[dict[str, str]]:
@@ -137,13 +137,15 @@ def shard_rows(docs: DataFrame, dimensions: Sequence[str] = ("source", "lang", "
     Rows that are equal in doc_id, text and dimensions count as repeats of one row; what else differs among them is
     taken from any of them.
     """
-    keys = ["doc_id", "text_id", *(d for d in dimensions if d not in ("doc_id", "size"))]
+    own = [d for d in dimensions if d not in ("doc_id", "size")]
+    keys = ["doc_id", "text_id", *own]
     plan = hilbert_shards(docs, dimensions, **settings).select(F.struct(*keys).alias("plan"), "shard", "slot")
-    plain = docs.drop("shard", "slot").withColumn("text_id", text_key(F.col("text"))).dropDuplicates(keys)
+    rows = packed(docs.drop("shard", "slot")).withColumns(
+        {f"k_{c}": F.col("row")[c] for c in ("doc_id", *own)} | {"k_text_id": text_key(F.col("row.text"))}).dropDuplicates([f"k_{c}" for c in keys])
     at = F.lit(True)
     for key in keys:
-        at = at & F.col(key).eqNullSafe(F.col(f"plan.{key}"))
-    return plain.join(plan, at).drop("plan", "text_id")
+        at = at & F.col(f"k_{key}").eqNullSafe(F.col("plan")[key])
+    return rows.join(plan, at).select("row.*", "shard", "slot")
 
 
 def write_shards(docs: DataFrame, path: str, **settings) -> None:
