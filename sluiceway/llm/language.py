@@ -86,15 +86,16 @@ def training_text(texts: Iterable[str], chars: int) -> str:
     return f" {' '.join(seen)} "
 
 
-def training_texts(docs: DataFrame, rows: int = 200, chars: int = 20_000, fold: int = 3, held_out: int = 1) -> dict[str, str]:
+def training_texts(docs: DataFrame, rows: int = 200, chars: int = 20_000, longest: int = 20_000, fold: int = 3,
+                   held_out: int = 1) -> dict[str, str]:
     """For each language in ``lang``, text of at most ``chars`` characters out of about ``rows`` documents.
 
     Documents are picked by a hash; those whose crc32(doc_id) leaves ``held_out`` modulo ``fold`` never are, nor those
-    without language or longer than ``chars`` bytes. The languages are counted first, so that what reaches the driver is
+    without language or longer than ``longest`` bytes. The languages are counted first, so that what reaches the driver is
     bounded per language.
     """
     chance = hash_fraction(F.lit("language"), F.col("doc_id"))
-    usable = docs.filter(F.col("lang").isNotNull() & (F.octet_length("text") <= chars)
+    usable = docs.filter(F.col("lang").isNotNull() & (F.octet_length("text") <= longest)
                          & ((F.crc32(F.col("doc_id").cast("string")) % fold) != held_out))
     sizes = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable
@@ -29,7 +30,8 @@ class Settings:
     train_rows: int = 4000
     train_chars: int = 50_000
     dictionary_bytes: int = 65_536
-    least_documents: int = 5
+    least_documents: int = 3
+    surprise: float = 10.0
     strongest: int = 3
     scale: float = 0.04
 
@@ -70,22 +72,6 @@ def _dictionary(counts: dict[bytes, int], size: int) -> bytes:
     return b"".join(reversed(content))
 
 
-def _unlike(texts: list[set[bytes]], alike: float = 0.5, hashes: int = 32) -> list[set[bytes]]:
-    """Texts without near copies of earlier ones (by their MinHash), so that a family of copies counts once."""
-    rng = np.random.default_rng(0)
-    factors = rng.integers(1, 1 << 63, hashes, dtype=np.uint64) | np.uint64(1)
-    kept: list[set[bytes]] = []
-    known = np.zeros((len(texts), hashes), dtype=np.uint64)
-    for words in texts:
-        if words:
-            codes = np.fromiter((crc32(w) for w in words), dtype=np.uint64, count=len(words)) + np.uint64(1)
-            least = ((codes[:, None] * factors) >> np.uint64(16)).min(axis=0)
-            if not len(kept) or (known[:len(kept)] == least).mean(axis=1).max() < alike:
-                known[len(kept)] = least
-                kept.append(words)
-    return kept
-
-
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     settings = zstandard.ZstdCompressionParameters(
         format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False,
@@ -113,36 +99,65 @@ def evidence(text: str | None, saved: Callable[[bytes], float], strongest: int)
     return float(sum(x for x in found if x > 0))
 
 
-def fit(rows: Iterable[tuple[str, int]], settings: Settings = Settings()) -> Model:
-    """Fit dictionaries and threshold on (text, label) rows.
+def _dictionaries(rows: list[tuple[str, int]], settings: Settings) -> Model | None:
+    """A model without a threshold; None where no word marks toxic documents.
 
     Toxic documents are mostly ordinary text. So toxic text is taken to be the words that stand in far more toxic than
-    ordinary documents of one half of the rows, and ordinary text the words of ordinary documents; each trains a
-    dictionary. The other half, which the dictionaries have not seen, fixes the threshold: the middle of the gap, or of the
-    fewest errors, between the two classes' evidence.
+    ordinary documents, and not only inside some passage that was copied from one to the other: they need different
+    words before them, at least a quarter as many as documents. Both dictionaries are as long and share the ordinary
+    words, so that a window without toxic words comes out as short with one as with the other.
     """
-    rows = [(text, int(label)) for text, label in rows if text]
-    halves = (rows[::2], rows[1::2])
-    toxic, ordinary = (_unlike([set(windows(text)) for text, label in dict(halves[0]).items() if label == k]) for k in (1, 0))
-    bad, good = (Counter(w for words in texts for w in words) for texts in (toxic, ordinary))
-    n_bad, n_good = max(1, len(toxic)), max(1, len(ordinary))
-    marked = [w for w, n in bad.items() if n >= settings.least_documents and n / n_bad > 20 * (good[w] + 0.05) / n_good]
+    bad, good = (Counter(w for text, label in rows if label == k for w in set(windows(text))) for k in (1, 0))
+    n_bad, n_good = (max(1, sum(label == k for _, label in rows)) for k in (1, 0))
+    share = n_bad / (n_bad + n_good)
+
+    def surprise(n: int, g: int) -> float:
+        """How much likelier so uneven counts are for a word of toxic documents than for one of all, as a logarithm."""
+        return n * math.log(n / (n + g) / share) + (g * math.log(g / (n + g) / (1 - share)) if g else 0.0)
+
+    before: dict[bytes, set[bytes]] = {
+        w: set() for w, n in bad.items()
+        if n >= settings.least_documents and n > 9 * good[w] and surprise(n, good[w]) >= settings.surprise}
+    for text, label in rows:
+        found = windows(text) if label else []
+        for left, w in zip([b"", *found], found):
+            if w in before:
+                before[w].add(left)
+    marked = {w: bad[w] for w, known in before.items() if len(known) >= max(settings.least_documents, bad[w] / 4)}
     if not marked or not good:
-        return Model(b"", b"", 1.0, 1.0, settings.strongest)
-    # Both dictionaries are as long and share the ordinary words of toxic documents too, so that a window without toxic
-    # words comes out as short with one as with the other.
-    common = _dictionary(good, settings.dictionary_bytes)
-    special = _dictionary({w: bad[w] for w in marked}, settings.dictionary_bytes // 4)
-    model = Model(common[len(special):] + special, common, 1.0, 1.0, settings.strongest)
-    saved = distance(model)
-    found = sorted((evidence(text, saved, settings.strongest), label) for text, label in halves[1])
-    values, labels = np.array([e for e, _ in found]), np.array([label for _, label in found])
+        return None
+    common, special = _dictionary(good, settings.dictionary_bytes), _dictionary(marked, settings.dictionary_bytes // 4)
+    return Model(common[min(len(special), len(common) // 2):] + special, common, 0.0, settings.scale, settings.strongest)
+
+
+def fit(rows: Iterable[tuple[str, int]], settings: Settings = Settings()) -> Model:
+    """Fit dictionaries and threshold on (text, label) rows.
+
+    The rows are halved by a hash of their text. Dictionaries of each half are tried on the other half, which they have
+    not seen; the threshold is where the two classes' evidence there is told apart with the fewest errors. The
+    dictionaries that are kept are trained on all rows.
+    """
+    rows = list(dict((text, int(label)) for text, label in rows if text).items())
+    model = _dictionaries(rows, settings)
+    if model is None:
+        return Model(b"", b"", 1.0, settings.scale, settings.strongest)
+    found: list[tuple[float, int]] = []
+    for k in (0, 1):
+        half = _dictionaries([r for r in rows if _half(r[0]) == k], settings)
+        if half is not None:
+            saved = distance(half)
+            found += [(evidence(text, saved, settings.strongest), label) for text, label in rows if _half(text) != k]
+    values, labels = np.array([e for e, _ in sorted(found)]), np.array([label for _, label in sorted(found)])
     cuts = np.unique(np.concatenate([[0.2], (values[1:] + values[:-1]) / 2])) if len(values) else np.array([0.2])
     errors = np.array([np.sum((values > c) != labels) for c in cuts])
     best = cuts[errors == errors.min()]
     return Model(model.toxic, model.ordinary, float((best[0] + best[-1]) / 2), settings.scale, settings.strongest)
 
 
+def _half(text: str) -> int:
+    return crc32(text.encode("utf-8", "replace")) >> 8 & 1
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), fold: int = 5) -> list[tuple[str, int]]:
     """At most ``train_rows`` labelled texts of each class, picked by a hash, none with crc32(doc_id) divisible by ``fold``.
 
