@@ -26,10 +26,11 @@ def connected_components(links: DataFrame, label: str = "components") -> DataFra
     before = _sum(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
+        # Written out, so that what is left is a plain join of two shuffles, which Spark can split where a node is hot.
+        least = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m")), label)
         large = both.filter("b > a").join(least, F.col("a") == F.col("k")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = cut(large, label)
-        lower = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m")
+        lower = cut(large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m"), label)
         hung = large.join(lower, F.col("a") == F.col("k")).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = cut(lower.select(F.col("k").alias("a"), F.col("m").alias("b")).unionByName(hung).distinct(), label)
         now = _sum(edges)

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import TOKEN, ascii_lower, cut, packed, text_key
+from sluiceway.llm.common import TOKEN, ascii_lower, bounded, cut, packed, text_key
 from sluiceway.llm.components import connected_components
 
 
@@ -19,13 +19,14 @@ class Join:
     """Shingles of ``n`` words; documents link from ``percent`` / 100 of Jaccard similarity.
 
     ``spare`` is how many more tokens than needed a prefix is made of, as a share of those needed, so that rare ones can
-    be chosen. Buckets of at most ``pairs`` members are compared pair by pair, larger ones in blocks of ``block``. Both
+    be chosen; a prefix of up to ``short`` tokens is taken in any case. Buckets of at most ``pairs`` members are compared pair by pair, larger ones in blocks of ``block``. Both
     ways are exact. ``rounds`` of comparing with one neighbour each come first.
     """
 
     n: int = 4
     percent: int = 85
     spare: float = 0.6
+    short: int = 64
     rounds: int = 2
     pairs: int = 48
     block: int = 256
@@ -152,8 +153,7 @@ def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     join two components. Null doc_id: the row has its class's component (null if no other row of the class has an id). Null
     or wordless text: size 0, component is doc_id. Repeated rows: each its row, the same result.
     """
-    prefix = F.slice("set", 1, F.greatest(F.lit(1), F.least(F.size("set"), F.ceil(
-        _needed(F.col("size"), join) * (1 + join.spare)).cast("int") + 1)))
+    prefix = F.slice("set", 1, F.greatest(F.lit(join.short), F.ceil(_needed(F.col("size"), join) * (1 + join.spare)).cast("int") + 1))
     known = cut(with_shingles(docs, join).withColumn("prefix", prefix).drop("set"), "join-documents")
     classes = cut(known.filter("size > 0").groupBy("size", "k1", "k2").agg(
         F.min("doc_id").cast("long").alias("cls"), F.any_value("prefix").alias("prefix")).filter("cls IS NOT NULL").withColumn(
@@ -178,12 +178,15 @@ def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
         "rows > 1 AND c AND h").select("token", "band")
     buckets = cut(entries.join(useful, ["token", "band"]), "join-buckets")
 
-    # The whole sets of those that may be compared; worked out again from their texts rather than kept for all.
+    # The whole sets of those that may be compared; worked out again from their texts rather than kept for all. They are
+    # written before they are tested: Spark would take the test for a join key, and work the sets out for all documents.
     wanted = buckets.select(F.col("group").alias("cls")).union(inside.select("cls")).distinct()
-    wanted = wanted.join(grouped.select("cls", F.col("k1").alias("w1"), F.col("k2").alias("w2")), "cls")
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("cls"))
-    sets = cut(texts.select("cls", "w1", "w2", shingles(F.col("text"), join.n).alias("set")).filter(
-        (F.xxhash64("set") == F.col("w1")) & (F.xxhash64(F.lit(1), "set") == F.col("w2"))).dropDuplicates(["cls"]).select("cls", "set"), "join-sets")
+    wanted = cut(wanted.join(grouped.select("cls", F.col("k1").alias("w1"), F.col("k2").alias("w2")), "cls"), "join-wanted")
+    texts = docs.select("doc_id", "text").join(bounded(wanted), F.col("doc_id") == F.col("cls"))
+    sets = cut(texts.select("cls", "w1", "w2", shingles(F.col("text"), join.n).alias("set")), "join-sets").filter(
+        (F.xxhash64("set") == F.col("w1")) & (F.xxhash64(F.lit(1), "set") == F.col("w2"))).select("cls", "set")
+    if not sets.groupBy("cls").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").isEmpty():
+        sets = cut(sets.dropDuplicates(["cls"]), "join-sets")  # rows with equal doc_id and text
 
     links = cut(_verified(inside.filter("cls <> group").select(F.col("cls").alias("a"), F.col("group").alias("b")), sets, join), "join-links")
     component = connected_components(links, "join-components")
