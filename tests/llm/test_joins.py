@@ -38,7 +38,8 @@ def test_components(spark):
     others = [(rng.randrange(2000, 2100), rng.randrange(2000, 2100)) for _ in range(60)]
     links = chain + star + others + chain[:5] + [(b, a) for a, b in star[:5]] + [(7, 7)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
-    want = roots({x for l in links if l[0] != l[1] for x in l}, links)
+    links = [x for x in links if x[0] != x[1]]
+    want = roots({x for pair in links for x in pair}, links)
     assert got == want
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
