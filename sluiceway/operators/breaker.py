@@ -93,6 +93,15 @@ def breaker_state(
     return describe_state(last, key, threshold, min_records)
 
 
+def state_after(
+    flagged: DataFrame, key: Sequence[str] = (), flag: str = "bad", threshold: float = ERROR_THRESHOLD,
+    min_records: int = MINIMUM_RECORDS,
+) -> DataFrame:
+    """The same state from rows that have not been routed: two sums, without an order."""
+    counted = flagged.groupBy(*key).agg(F.count(F.lit(1)).alias("total"), F.sum(_failed(flag)).alias("failed"))
+    return describe_state(counted.where("total > 0"), key, threshold, min_records)
+
+
 def describe_state(
     counters: DataFrame, key: Sequence[str] = (), threshold: float = ERROR_THRESHOLD,
     min_records: int = MINIMUM_RECORDS,
@@ -102,7 +111,7 @@ def describe_state(
     opened = F.coalesce(is_open(total, failed, threshold, min_records), F.lit(False))
     rate = F.coalesce(failed.cast("double") / F.nullif(total, F.lit(0)), F.lit(0.0))
     reason = F.when(opened, F.concat(
-        F.lit("Null tax ratio exceeded 2% safety threshold. Current rate: "),
+        F.lit(f"Null tax ratio exceeded {threshold * 100:g}% safety threshold. Current rate: "),
         F.round(rate * 100, 2).cast("string"), F.lit("%"))).otherwise(F.lit("Data streams healthy"))
     return counters.select(
         *key, "total", "failed", rate.alias("error_rate"),

@@ -4,42 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sluiceway.operators.metrics import seconds
 from sluiceway.operators.running import running_sums
 from sluiceway.operators.validation import null_ratio_percent
+from sluiceway.schema import ERROR_THRESHOLD
 
-# Rule texts.
-BREAKER_RULE = "tax_amount null ratio exceeded 2% safety threshold"
-WARNING_RULE = "tax_amount should not be null > 10% of rows"
 BREAKER_MESSAGE = "Circuit breaker engaged and events diverted to DLQ."
 
 
+def breaker_rule(threshold: float = ERROR_THRESHOLD) -> str:
+    return f"tax_amount null ratio exceeded {threshold * 100:g}% safety threshold"
+
+
+def warning_rule(share_percent: float = 10.0) -> str:
+    return f"tax_amount should not be null > {share_percent:g}% of rows"
+
+
+def _digits(column: Column, kind: T.DataType) -> Column:
+    """A value as it stands in an id: times in microseconds since 1970, in which no two of them are alike."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        column = F.unix_micros(column.cast("timestamp"))
+    return F.coalesce(column.cast("string"), F.lit("null"))
+
+
 def breaker_incidents(
     changes: DataFrame,
     order: Sequence[str] = ("event_ts", "event_id"),
+    key: Sequence[str] = (),
     node: str = "circuit breaker",
-    slices: int | None = None,
+    threshold: float = ERROR_THRESHOLD,
+    **options,
 ) -> DataFrame:
-    """One incident per opening, resolved by the closing that follows it.
+    """One incident per opening, resolved by the closing that follows it; with ``key``, of the same key.
 
-    Openings and closings alternate, so both of an incident carry the same number of openings so far; grouping
-    by that number pairs them without looking at neighbours.
+    Openings and closings of a key alternate, so both of an incident carry the same number of openings so far; grouping
+    by that number pairs them without looking at neighbours. The id holds the key and all order columns, so no two
+    incidents share one: offsets repeat between partitions, and times between keys.
     """
     numbered = running_sums(
-        changes.select(*order, "opened"), {"number": F.col("opened").cast("int")}, order, slices=slices)
-    ts, ident = order[0], order[-1]
-    paired = numbered.groupBy("number").agg(
-        F.max(F.when(F.col("opened"), F.col(ident))).alias("opened_by"),
-        F.max(F.when(F.col("opened"), F.col(ts))).alias("opened_at"),
-        F.max(F.when(~F.col("opened"), F.col(ts))).alias("resolved_at"),
-    ).where(F.col("opened_by").isNotNull())
+        changes.select(*key, *order, "opened"), {"number": F.col("opened").cast("int")}, order, key, **options)
+    at = F.struct(*order)
+    paired = numbered.groupBy(*key, "number").agg(
+        F.max(F.when(F.col("opened"), at)).alias("opened"),
+        F.max(F.when(~F.col("opened"), F.col(order[0]))).alias("resolved_at"),
+    ).where(F.col("opened").isNotNull())
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in key]
+    parts += [_digits(F.col("opened")[name], changes.schema[name].dataType) for name in order]
     return paired.select(
-        F.concat(F.lit("INC-"), F.col("opened_by").cast("string")).alias("incident_id"),
-        "opened_at",
+        *key,
+        F.concat_ws("-", F.lit("INC"), *parts).alias("incident_id"),
+        F.col("opened")[order[0]].alias("opened_at"),
         F.lit("CRITICAL").alias("severity"),
-        F.lit(BREAKER_RULE).alias("rule_violated"),
+        F.lit(breaker_rule(threshold)).alias("rule_violated"),
         F.lit(node).alias("affected_node"),
         F.lit(BREAKER_MESSAGE).alias("message"),
         F.col("resolved_at").isNotNull().alias("resolved"),
@@ -48,16 +68,20 @@ def breaker_incidents(
 
 
 def warning_incidents(
-    metrics: DataFrame, share_percent: float = 10.0, node: str = "validator",
+    metrics: DataFrame, interval: str, share_percent: float = 10.0, node: str = "validator",
 ) -> DataFrame:
-    """A warning per interval whose null-tax share is above the limit; it is over with the interval."""
+    """A warning per interval whose null-tax share is above the limit; it is over with the interval.
+
+    ``interval`` is the width that ``metrics`` were counted with; start and width in seconds make the id.
+    """
+    width = f"{seconds(interval):g}"
     percent = null_ratio_percent(F.col("null_tax_count"), F.col("incoming"))
     over = metrics.where(F.col("null_tax_count") * 100.0 > share_percent * F.col("incoming"))
     return over.select(
-        F.concat(F.lit("INC-W"), F.date_format("interval_start", "yyyyMMddHHmm")).alias("incident_id"),
+        F.concat(F.lit("INC-W"), F.date_format("interval_start", "yyyyMMddHHmmss"), F.lit(f"-{width}")).alias("incident_id"),
         F.col("interval_start").alias("opened_at"),
         F.lit("WARNING").alias("severity"),
-        F.lit(WARNING_RULE).alias("rule_violated"),
+        F.lit(warning_rule(share_percent)).alias("rule_violated"),
         F.lit(node).alias("affected_node"),
         F.concat(F.lit("Data validation warning: Null tax_amount rate touched "), percent.cast("string"),
                  F.lit("%.")).alias("message"),

@@ -29,7 +29,7 @@ def interval_counters() -> list[Column]:
     ]
 
 
-def _seconds(interval: str) -> int:
+def seconds(interval: str) -> int:
     count, unit = interval.split()
     return int(count) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
 
@@ -44,7 +44,7 @@ def metrics_by_interval(
     return grouped.select(
         F.col("w.start").alias("interval_start"),
         *COUNTERS,
-        (F.col("incoming") / _seconds(interval)).alias("throughput"),
+        (F.col("incoming") / seconds(interval)).alias("throughput"),
         (F.col("invalid_events") * 100.0 / F.col("incoming")).alias("error_rate"),
         "breaker_open",
     )

@@ -20,22 +20,13 @@ from pyspark.sql import types as T
 
 from sluiceway.session import shared_folder
 
-ROWS_PER_SLICE = 2_000_000
-# Up to this many rows are no burden for one task, so nothing this small is cut again.
-LIGHT_SLICE = 250_000
-MAX_SLICES = 262_144
+# What a slice aims at; ``rows_per_slice`` of the operators overrides it where rows are very wide or very narrow.
+ROWS_PER_SLICE = 1_000_000
+# The first grid is finer than the slices asked for: that costs only more offset rows, and fewer slices are cut again.
+GRID = 16
 _WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
 
 
-def _shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def default_slices(df: DataFrame, rows: int) -> int:
-    """A few slices per shuffle partition, and enough that none gets large."""
-    return max(64, 4 * _shuffle_partitions(df), -(-rows // ROWS_PER_SLICE))
-
-
 def _position(df: DataFrame, name: str) -> Column:
     """The order column as a whole number that sorts the same way and keeps different values apart."""
     kind = df.schema[name].dataType
@@ -105,11 +96,11 @@ def _finer_column(row: Row, count: int) -> int | None:
     return None
 
 
-def plan_cuts(df: DataFrame, order: Sequence[str], slices: int | None = None) -> Cuts:
-    """Find slices of at most four times ``rows / slices`` rows. Reads the order columns only.
+def plan_cuts(df: DataFrame, order: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> Cuts:
+    """Find slices of at most four times ``rows_per_slice`` rows. Reads the order columns only.
 
-    A slice is heavy when it holds more than four times its share (and, unless ``slices`` is given, enough rows
-    to matter), so at most ``slices / 4`` of them reach the driver per level. Each level narrows the range it cuts, so the loop ends.
+    Heavy slices are those above that, so at most a quarter as many of them as slices were asked for reach the driver per
+    level. Each level narrows the range it cuts, so the loop ends.
     """
     df = df.select(*order)
     stats = [F.count(F.lit(1)).alias("n")]
@@ -117,11 +108,8 @@ def plan_cuts(df: DataFrame, order: Sequence[str], slices: int | None = None) ->
         p = _position(df, name)
         stats += [F.min(p).alias(f"lo{i}"), F.max(p).alias(f"hi{i}"), F.count(p).alias(f"c{i}")]
     whole = df.agg(*stats).first()
-    light = 1 if slices else LIGHT_SLICE
-    slices = min(slices or default_slices(df, whole["n"]), MAX_SLICES)
-    limit = max(light, -(-4 * whole["n"] // slices))
-    # A finer grid than asked for costs only more offset rows and leaves fewer slices to cut again.
-    cells = min(64 * slices, MAX_SLICES)
+    slices = max(1, -(-whole["n"] // rows_per_slice))
+    limit, cells = 4 * rows_per_slice, GRID * slices
     cuts, heavy = Cuts(list(order), slices), [whole] if whole["n"] else []
     while True:
         level, found = len(cuts.levels), []
@@ -144,36 +132,24 @@ def plan_cuts(df: DataFrame, order: Sequence[str], slices: int | None = None) ->
         heavy = df.groupBy(*cuts.columns()).agg(*stats).where(F.col("n") > limit).collect()
 
 
-def slice_rows(df: DataFrame, order: Sequence[str], slices: int | None = None) -> tuple[DataFrame, list[str]]:
+def slice_rows(df: DataFrame, order: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> tuple[DataFrame, list[str]]:
     """Add slice columns; sorted, they give the same order as the order columns."""
-    cuts = plan_cuts(df, order, slices)
-    return _spread(cuts.apply(df), cuts.columns(), cuts.slices), cuts.columns()
-
-
-def _spread(df: DataFrame, columns: Sequence[str], slices: int) -> DataFrame:
-    """Shuffle by slice into more tasks where the session's setting would give each one too many slices.
-
-    The window needs this shuffle anyway and takes it over as it is.
-    """
-    return df.repartition(slices // 4, *columns) if slices > 4 * _shuffle_partitions(df) and slices > 64 else df
+    cuts = plan_cuts(df, order, rows_per_slice)
+    return cuts.apply(df), cuts.columns()
 
 
 def slice_hot_keys(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], slices: int | None = None,
+    df: DataFrame, key: Sequence[str], order: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE,
 ) -> tuple[DataFrame, list[str]]:
-    """Slice only keys with more than one slice's share of the rows; all other keys stay whole, in slice 0.
+    """Slice only keys with more than ``rows_per_slice`` rows; all other keys stay whole, in slice 0.
 
-    More than ``rows / slices`` rows each means at most ``slices`` such keys, which bounds the broadcast.
+    There are at most as many such keys as slices in the whole table, which bounds the broadcast. One aggregate finds
+    them; where there are none, a plain window per key is all that is left to do.
     """
-    rows = df.count()
-    light = 1 if slices else LIGHT_SLICE
-    if rows <= light:
-        return df.withColumn("__slice0", F.lit(0).cast("bigint")), ["__slice0"]
-    slices = min(slices or default_slices(df, rows), MAX_SLICES)
     names = [f"__hot{i}" for i in range(len(key))]
     shared_folder(df.sparkSession)  # checkpoint() below needs one
     hot = (
-        df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max(light, rows // slices))
+        df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_slice)
         .select(*[F.col(k).alias(n) for k, n in zip(key, names, strict=True)], F.lit(True).alias("__hot"))
         .checkpoint()
     )
@@ -181,7 +157,7 @@ def slice_hot_keys(
         return df.withColumn("__slice0", F.lit(0).cast("bigint")), ["__slice0"]
     match = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, names, strict=True)]
     marked = df.join(F.broadcast(hot), match, "left").drop(*names)
-    cuts = plan_cuts(marked.where(F.col("__hot")).select(*order), order, slices)
+    cuts = plan_cuts(marked.where(F.col("__hot")).select(*order), order, rows_per_slice)
     sliced = cuts.apply(marked)
     for level, name in enumerate(cuts.columns()):
         # The first level starts at 1 for hot keys: 0 marks the rows that need no offset.
@@ -195,36 +171,37 @@ def running_sums(
     sums: Mapping[str, Column],
     order: Sequence[str],
     key: Sequence[str] = (),
-    slices: int | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
     slice_columns: Sequence[str] | None = None,
     carry: Mapping[str, int] | DataFrame | None = None,
 ) -> DataFrame:
     """Add, per row, the sum of each expression over all rows up to and including it.
 
+    Finding the slices runs a few narrow aggregates when this is called, before any result is asked for.
     ``order`` has to tell any two rows (of one key) apart. ``slice_columns`` names columns that already cut the
     order into pieces of bounded size, otherwise they are found here. ``carry`` is what the sums start from:
     numbers, or with a key a frame with one row per key.
     """
     key, order, start = list(key), list(order), {}
     if isinstance(carry, DataFrame):
-        return _with_carried_rows(df, sums, order, key, slices, carry)
+        return _with_carried_rows(df, sums, order, key, rows_per_slice, carry)
     start = carry or {}
     if slice_columns is None:
-        df, cut = slice_hot_keys(df, key, order, slices) if key else slice_rows(df, order, slices)
+        df, cut = slice_hot_keys(df, key, order, rows_per_slice) if key else slice_rows(df, order, rows_per_slice)
         rows = df.where(F.col(cut[0]) > 0) if key else df
     else:
         cut, rows = list(slice_columns), df
-    return _sum_up(df, rows, sums, order, key, cut, start, bounded=not key and slice_columns is None)
+    return _sum_up(df, rows, sums, order, key, cut, start)
 
 
 def _sum_up(
     df: DataFrame, sliced: DataFrame, sums: Mapping[str, Column], order: list[str], key: list[str], cut: list[str],
-    start: Mapping[str, int], bounded: bool,
+    start: Mapping[str, int],
 ) -> DataFrame:
     """Running sums inside each slice plus the totals of the slices before it.
 
-    ``sliced`` are the rows whose slices need an offset; ``bounded`` says that there is one offset row per slice
-    of a chosen number of slices, so that it can be broadcast. Otherwise Spark decides how to join.
+    ``sliced`` are the rows whose slices need an offset, one row per slice. Spark decides how to join them: the rows are
+    already dealt out by slice for the window, so a shuffled join moves only the offsets.
     """
     shared = [*key, *cut]
     totals = sliced.groupBy(*shared).agg(*[F.sum(e).cast("bigint").alias(n) for n, e in sums.items()])
@@ -240,7 +217,7 @@ def _sum_up(
         F.col(c).eqNullSafe(F.col(f"__at{i}")) if c in key else F.col(c) == F.col(f"__at{i}")
         for i, c in enumerate(shared)
     ]
-    out = local.join(F.broadcast(offsets) if bounded else offsets, match, "left").withColumns({
+    out = local.join(offsets, match, "left").withColumns({
         n: (F.col(f"__in_{n}") + F.coalesce(F.col(f"__before_{n}"), F.lit(0)) + F.lit(start.get(n, 0))).cast("bigint")
         for n in sums
     })
@@ -249,7 +226,7 @@ def _sum_up(
 
 
 def _with_carried_rows(
-    df: DataFrame, sums: Mapping[str, Column], order: list[str], key: list[str], slices: int | None, carry: DataFrame,
+    df: DataFrame, sums: Mapping[str, Column], order: list[str], key: list[str], rows_per_slice: int, carry: DataFrame,
 ) -> DataFrame:
     """Carried sums enter as one extra row per key in front of its rows: no join on a key that may be hot.
 
@@ -258,6 +235,6 @@ def _with_carried_rows(
     values = {n: F.col(f"__value_{n}") for n in sums}
     rows = df.withColumns({f"__value_{n}": e.cast("bigint") for n, e in sums.items()}).withColumn("__row", F.lit(1))
     extra = carry.select(*key, *[F.col(n).cast("bigint").alias(f"__value_{n}") for n in sums], F.lit(0).alias("__row"))
-    both, cut = slice_hot_keys(rows.unionByName(extra, allowMissingColumns=True), key, order, slices)
-    out = _sum_up(both, both.where(F.col(cut[0]) > 0), values, ["__row", *order], key, cut, {}, bounded=False)
+    both, cut = slice_hot_keys(rows.unionByName(extra, allowMissingColumns=True), key, order, rows_per_slice)
+    out = _sum_up(both, both.where(F.col(cut[0]) > 0), values, ["__row", *order], key, cut, {})
     return out.where(F.col("__row") == 1).drop("__row", *[f"__value_{n}" for n in sums])

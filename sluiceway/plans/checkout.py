@@ -56,20 +56,12 @@ e AS (
 """
 
 
-def spread(df: DataFrame, unique: str) -> DataFrame:
-    """Deal rows out to all cores where the input has far fewer splits (one small file); else leave it alone.
-
-    Parsing and rules cost far more than moving the few raw columns. ``unique`` is a column without repeats.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, unique) if 4 * df.rdd.getNumPartitions() <= cores else df
-
-
 def checkout_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event: typed columns, the fault flags and the JSON text in ``value``."""
     configure(spark)
-    spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id").createOrReplaceTempView("events")
-    raw = spark.sql(f"WITH {CHECKOUT_SQL} SELECT * FROM raw")
+    # A name of our own: a view called events may be the user's.
+    spark.read.parquet(f"{sf_dir}/events.parquet").createOrReplaceTempView("sluiceway_events")
+    raw = spark.sql(f"WITH events AS (SELECT * FROM sluiceway_events), {CHECKOUT_SQL} SELECT * FROM raw")
     return raw.withColumnRenamed("ts", "event_ts").withColumns({
         "order_id": F.concat(F.lit("ORD-"), F.col("order_no").cast("string")),
         "user_key": F.concat(F.lit("USR-"), F.col("user_id").cast("string")),

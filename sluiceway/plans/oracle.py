@@ -13,13 +13,23 @@ _KNOWN = "['order_id','user_id','amount','tax_amount','currency','country','paym
 _FLAGGED = """, flagged AS (
   SELECT *, CASE WHEN json_valid(value) THEN coalesce(json_type(value, '$.tax_amount') = 'NULL', false)
                  ELSE true END AS bad FROM raw)"""
-_ROUTED = _FLAGGED + f""", counted AS (
+
+
+def _breaker(order: str = "ts, event_id", by: str = "", least: int = 50, source: str = "flagged") -> str:
+    return f""", counted AS (
   SELECT *, count(*) OVER w AS total, CAST(sum(CAST(bad AS INT)) OVER w AS BIGINT) AS failed
-  FROM flagged WINDOW w AS (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+  FROM {source} WINDOW w AS ({by} ORDER BY {order} ROWS UNBOUNDED PRECEDING)
 ), rated AS (
   SELECT *, CAST(failed AS DOUBLE) / total AS error_rate,
-         total >= 50 AND CAST(failed AS DOUBLE) / total > 0.02 AS breaker_open FROM counted
+         total >= {least} AND CAST(failed AS DOUBLE) / total > 0.02 AS breaker_open FROM counted
 ), routed AS (SELECT *, CASE WHEN breaker_open THEN {_DLQ} ELSE {_MAIN} END AS route FROM rated)"""
+
+
+_ROUTED = _FLAGGED + _breaker()
+# A third of the rows at one time, and a third of the rows of one user.
+_SKEWED = _FLAGGED + """, skewed AS (
+  SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-09 00:00:00' ELSE ts END AS ts,
+                    CASE WHEN event_id % 3 = 1 THEN 7 ELSE user_id END AS user_id) FROM flagged)"""
 _JUDGED = f""", documents_seen AS (
   SELECT *, json_valid(value) AS ok, CASE WHEN json_valid(value) THEN value END AS j FROM {{source}}
 ), judged AS (
@@ -60,24 +70,44 @@ def _intervals(name: str, unit: str, seconds: int) -> str:
 
 _MINUTES = _ROUTED + _intervals("minutes", "minute", 60)
 _HOURS = _ROUTED + _intervals("hours", "hour", 3600)
-_CHANGES = _ROUTED + """, changes AS (
-  SELECT * FROM (SELECT *, lag(breaker_open, 1, false) OVER (ORDER BY ts, event_id) AS was_open FROM routed)
+
+
+def _changes(order: str = "ts, event_id", by: str = "") -> str:
+    return f""", changes AS (
+  SELECT * FROM (SELECT *, lag(breaker_open, 1, false) OVER ({by} ORDER BY {order}) AS was_open FROM routed)
   WHERE breaker_open <> was_open
 ), paired AS (
-  SELECT *, lead(ts) OVER (ORDER BY ts, event_id) AS closed_at FROM changes)"""
-_BREAKER_INCIDENTS = f"""
-  SELECT concat('INC-', CAST(event_id AS VARCHAR)) AS incident_id, strftime(ts, {_TEXT}) AS opened_at,
-         'CRITICAL' AS severity, '{i.BREAKER_RULE}' AS rule_violated, 'circuit breaker' AS affected_node,
+  SELECT *, lead(ts) OVER ({by} ORDER BY {order}) AS closed_at FROM changes)"""
+
+
+def _breaker_incidents(ident: str = "epoch_us(ts), '-', event_id", key: str = "") -> str:
+    return f"""
+  SELECT {key} concat('INC-', {ident}) AS incident_id, strftime(ts, {_TEXT}) AS opened_at,
+         'CRITICAL' AS severity, '{i.breaker_rule()}' AS rule_violated, 'circuit breaker' AS affected_node,
          '{i.BREAKER_MESSAGE}' AS message, closed_at IS NOT NULL AS resolved,
          strftime(closed_at, {_TEXT}) AS resolved_at
   FROM paired WHERE breaker_open"""
-_WARNING_INCIDENTS = f"""
-  SELECT concat('INC-W', strftime(start, '%Y%m%d%H%M')) AS incident_id, strftime(start, {_TEXT}) AS opened_at,
-         'WARNING' AS severity, '{i.WARNING_RULE}' AS rule_violated, 'validator' AS affected_node,
+
+
+_CHANGES = _ROUTED + _changes()
+_BREAKER_INCIDENTS = _breaker_incidents()
+# Messages in the order of a broker: the time of many is the same, offsets repeat between partitions.
+_BROKER = _FLAGGED + """, broker AS (
+  SELECT * REPLACE (date_trunc('hour', ts) AS ts), event_id % 3 AS part, event_id // 3 AS off FROM flagged)"""
+
+
+def _warnings(source: str = "hours", seconds: int = 3600) -> str:
+    return f"""
+  SELECT concat('INC-W', strftime(start, '%Y%m%d%H%M%S'), '-{seconds}') AS incident_id, strftime(start, {_TEXT}) AS opened_at,
+         'WARNING' AS severity, '{i.warning_rule()}' AS rule_violated, 'validator' AS affected_node,
          concat('Data validation warning: Null tax_amount rate touched ',
                 CAST(round(null_tax_count * 100.0::DOUBLE / incoming, 2) AS VARCHAR), '%.') AS message,
          true AS resolved
-  FROM hours WHERE null_tax_count * 100.0::DOUBLE > 10.0 * incoming"""
+  FROM {source} WHERE null_tax_count * 100.0::DOUBLE > 10.0 * incoming"""
+
+
+_WARNING_INCIDENTS = _warnings()
+_TENS = _ROUTED + _intervals("tens", "minute", 10).replace("date_trunc('minute', ts)", "time_bucket(INTERVAL '10 seconds', ts)")
 _SLICE = "CASE WHEN extract(day FROM ts) <= 10 THEN 0 WHEN extract(day FROM ts) <= 20 THEN 1 ELSE 2 END"
 
 
@@ -228,6 +258,18 @@ def oracle_queries() -> dict[str, str]:
         "malformed_events": _sql("SELECT event_id, value FROM raw WHERE NOT json_valid(value)"),
         "record_failures": _sql("SELECT event_id, array_to_string(reasons, '|') AS failure_reasons FROM judged", broken),
         "running_error_rate": _sql("SELECT event_id, total, failed, error_rate FROM routed", _ROUTED),
+        "circuit_breaker_skewed": _sql(
+            "SELECT event_id, total, failed, error_rate, route FROM routed", _SKEWED + _breaker(source="skewed")),
+        "circuit_breaker_hot_user": _sql(
+            "SELECT event_id, user_id, total, failed, error_rate, route FROM routed",
+            _SKEWED + _breaker(by="PARTITION BY user_id", least=5, source="skewed")),
+        "incidents_by_user": _sql(
+            _breaker_incidents("user_id, '-', epoch_us(ts), '-', event_id", "user_id,"),
+            _FLAGGED + _breaker(by="PARTITION BY user_id", least=5) + _changes(by="PARTITION BY user_id")),
+        "incidents_broker_order": _sql(
+            _breaker_incidents("epoch_us(ts), '-', part, '-', off"),
+            _BROKER + _breaker("ts, part, off", source="broker") + _changes("ts, part, off")),
+        "incidents_warning_10s": _sql(_warnings("tens", 10), _TENS),
         "circuit_breaker": _sql("SELECT event_id, total, failed, error_rate, breaker_open, route FROM routed", _ROUTED),
         "circuit_breaker_by_user": _sql(f"""SELECT event_id, user_id, total, failed,
               CAST(failed AS DOUBLE) / total AS error_rate,

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluiceway.functions import json_text, scalars
 from sluiceway.operators import breaker, incidents, ledger, metrics, rules, validation
 from sluiceway.plans.checkout import checkout_events
+from sluiceway.schema import MINIMUM_RECORDS
 from sluiceway.session import fresh_path
 from sluiceway.sources import readers, writers
 from sluiceway.streaming import job, windows
@@ -371,9 +373,33 @@ def circuit_breaker_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_user.select("event_id", "user_id", "total", "failed", "error_rate", "route")
 
 
+# Slices of a few hundred rows, so that these tables too are cut several times over.
+FEW_ROWS = 300
+
+
+def skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows at one time, and a third of the rows of one user."""
+    third = F.col("event_id") % 3
+    return flagged(spark, sf_dir).withColumns({
+        "event_ts": F.when(third == 0, F.lit("2024-01-09 00:00:00").cast(T.TimestampNTZType())).otherwise(F.col("event_ts")),
+        "user_id": F.when(third == 1, F.lit(7)).otherwise(F.col("user_id"))})
+
+
+@query
+def circuit_breaker_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = breaker.circuit_breaker(skewed(spark, sf_dir), rows_per_slice=FEW_ROWS)
+    return cut.select("event_id", "total", "failed", "error_rate", "route")
+
+
+@query
+def circuit_breaker_hot_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = breaker.circuit_breaker(skewed(spark, sf_dir), key=["user_id"], min_records=5, rows_per_slice=FEW_ROWS)
+    return cut.select("event_id", "user_id", "total", "failed", "error_rate", "route")
+
+
 @query
 def breaker_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return breaker.breaker_state(routed(spark, sf_dir))
+    return breaker.state_after(flagged(spark, sf_dir))
 
 
 @query
@@ -515,9 +541,14 @@ def duplicate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Incidents.
 
 def _incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changes = breaker.transitions(routed(spark, sf_dir)).select("event_ts", "event_id", "opened")
+    return incidents.breaker_incidents(_changes(spark, routed(spark, sf_dir), "event_ts", "event_id"))
+
+
+def _changes(spark: SparkSession, routed_rows: DataFrame, *columns: str) -> DataFrame:
+    """The transitions, cut from what led to them: pairing them runs several small jobs."""
     fresh_path(spark, "changes")  # makes sure there is a checkpoint folder
-    return incidents.breaker_incidents(changes.checkpoint())
+    return breaker.transitions(routed_rows, min_records=MINIMUM_RECORDS if "user_id" not in columns else 5).select(
+        *columns, "opened").checkpoint()
 
 
 def _shown(frame: DataFrame) -> DataFrame:
@@ -534,13 +565,36 @@ def incidents_(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def incidents_warning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(incidents.warning_incidents(_intervals(spark, sf_dir, "1 hour")))
+    return _shown(incidents.warning_incidents(_intervals(spark, sf_dir, "1 hour"), "1 hour"))
+
+
+@query
+def incidents_warning_10s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    over = incidents.warning_incidents(_intervals(spark, sf_dir, "10 seconds"), "10 seconds")
+    return _shown(incidents.deduplicated(over.unionByName(over)))
+
+
+@query
+def incidents_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per_user = breaker.circuit_breaker(flagged(spark, sf_dir), key=["user_id"], min_records=5)
+    changes = _changes(spark, per_user, "user_id", "event_ts", "event_id")
+    return _shown(incidents.deduplicated(incidents.breaker_incidents(changes, key=["user_id"])))
+
+
+@query
+def incidents_broker_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = ["timestamp", "partition", "offset"]
+    messages = flagged(spark, sf_dir).withColumns({
+        "timestamp": F.date_trunc("hour", "event_ts"), "partition": F.col("event_id") % 3,
+        "offset": F.floor(F.col("event_id") / 3)})
+    changes = _changes(spark, breaker.circuit_breaker(messages, order=order), *order)
+    return _shown(incidents.deduplicated(incidents.breaker_incidents(changes, order)))
 
 
 @query
 def incidents_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = _incidents(spark, sf_dir).drop("resolved_at").unionByName(
-        incidents.warning_incidents(_intervals(spark, sf_dir, "1 hour")))
+        incidents.warning_incidents(_intervals(spark, sf_dir, "1 hour"), "1 hour"))
     return _shown(incidents.latest(both))
 
 
@@ -559,7 +613,7 @@ def incidents_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pipeline_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incidents.pipeline_status(breaker.breaker_state(routed(spark, sf_dir)))
+    return incidents.pipeline_status(breaker.state_after(flagged(spark, sf_dir)))
 
 
 # Streams: the table arrives in three slices, the job is started anew for each and continues where it stopped.

@@ -16,7 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.functions.json_text import flag_anomalies
 from sluiceway.operators.breaker import ORDER, annotate_diverted, circuit_breaker
+from sluiceway.operators.running import ROWS_PER_SLICE
 from sluiceway.schema import ERROR_THRESHOLD, MINIMUM_RECORDS
+from sluiceway.session import configure
 from sluiceway.sources.writers import write_routed
 
 COUNTERS = "total bigint, failed bigint"
@@ -50,7 +52,7 @@ def run_batch(
     probe: str = "tax_amount",
     threshold: float = ERROR_THRESHOLD,
     min_records: int = MINIMUM_RECORDS,
-    slices: int | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
     persist: bool = False,
 ) -> None:
     """Route one micro-batch and record the breaker state after it.
@@ -63,10 +65,22 @@ def run_batch(
     flagged = flag_anomalies(batch, probe=probe)
     if persist:
         flagged = flagged.persist()
+    try:
+        _route(batch, flagged, carried, batch_id, root, order, key, threshold, min_records, rows_per_slice)
+    finally:
+        if persist:
+            flagged.unpersist()
+
+
+def _route(
+    batch: DataFrame, flagged: DataFrame, carried: DataFrame, batch_id: int, root: str, order: Sequence[str], key: list[str],
+    threshold: float, min_records: int, rows_per_slice: int,
+) -> None:
     # Without a key the state is a single row.
     carry = carried if key else next((r.asDict() for r in carried.collect()), {})
     routed = circuit_breaker(
-        flagged, order=order, key=key, threshold=threshold, min_records=min_records, carry=carry, slices=slices)
+        flagged, order=order, key=key, threshold=threshold, min_records=min_records, carry=carry,
+        rows_per_slice=rows_per_slice)
     write_routed(annotate_diverted(routed), root, batch_id)
     # From the written files: a few narrow columns, and the batch is not worked out a second time.
     schema = T.StructType([*[batch.schema[k] for k in key], T.StructField("bad", T.BooleanType())])
@@ -75,8 +89,6 @@ def run_batch(
     after = carried.unionByName(added).groupBy(*key).agg(
         F.coalesce(F.sum("total"), F.lit(0)).alias("total"), F.coalesce(F.sum("failed"), F.lit(0)).alias("failed"))
     after.write.mode("overwrite").parquet(state_path(root, batch_id))
-    if persist:
-        flagged.unpersist()
 
 
 def start(
@@ -91,6 +103,7 @@ def start(
 
     ``options`` go to :func:`run_batch`.
     """
+    configure(events.sparkSession)
     writer = events.writeStream.foreachBatch(lambda df, n: run_batch(df, n, root, **options)).option(
         "checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}

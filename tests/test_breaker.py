@@ -57,10 +57,10 @@ def test_incidents_pair_openings_with_closings(spark):
         if now and opened is None:
             opened = i
         elif not now and opened is not None:
-            expected.append((f"INC-{opened}", opened, i))
+            expected.append((f"INC-{opened * 1_000_000}-{opened}", opened, i))
             opened = None
     if opened is not None:
-        expected.append((f"INC-{opened}", opened, None))
+        expected.append((f"INC-{opened * 1_000_000}-{opened}", opened, None))
     assert len(expected) > 5
     got = incidents.breaker_incidents(breaker.transitions(routed)).select(
         "incident_id", F.unix_seconds("opened_at"), F.unix_seconds("resolved_at"), "resolved").collect()
@@ -101,37 +101,37 @@ def skewed_rows(count, seed=1):
 
 def test_skewed_order(spark):
     rows = skewed_rows(3000)
-    assert sums_of(spark, rows, slices=64) == expected_sums(rows)
+    assert sums_of(spark, rows, rows_per_slice=47) == expected_sums(rows)
 
 
 def test_slices_stay_small_when_one_time_holds_a_third(spark):
     rows = skewed_rows(6000)
     df = spark.createDataFrame(rows, "key string, at bigint, event_id bigint, flag int")
-    cut, columns = slice_rows(df, ["at", "event_id"], 64)
+    cut, columns = slice_rows(df, ["at", "event_id"], 94)
     assert len(columns) > 1
     biggest = cut.groupBy(*columns).count().agg(F.max("count")).first()[0]
-    assert biggest <= -(-4 * len(rows) // 64)
+    assert biggest <= 4 * 94
 
 
 def test_skewed_keys(spark):
     rows = skewed_rows(3000, seed=2)
-    assert sums_of(spark, rows, key=["key"], slices=16) == expected_sums(rows, keyed=True)
+    assert sums_of(spark, rows, key=["key"], rows_per_slice=188) == expected_sums(rows, keyed=True)
 
 
 def test_no_hot_keys(spark):
     rows = [(f"k{i % 50}", i // 3, i, i % 2) for i in range(500)]
-    assert sums_of(spark, rows, key=["key"], slices=8) == expected_sums(rows, keyed=True)
+    assert sums_of(spark, rows, key=["key"], rows_per_slice=63) == expected_sums(rows, keyed=True)
 
 
 def test_more_slices_than_shuffle_partitions(spark):
     rows = skewed_rows(2000, seed=3)
-    assert sums_of(spark, rows, slices=200) == expected_sums(rows)
+    assert sums_of(spark, rows, rows_per_slice=10) == expected_sums(rows)
 
 
 def test_cuts_do_not_depend_on_partitioning(spark):
     df = spark.createDataFrame(skewed_rows(1000), "key string, at bigint, event_id bigint, flag int")
-    one = plan_cuts(df.repartition(1), ["at", "event_id"], 16)
-    many = plan_cuts(df.repartition(13), ["at", "event_id"], 16)
+    one = plan_cuts(df.repartition(1), ["at", "event_id"], 63)
+    many = plan_cuts(df.repartition(13), ["at", "event_id"], 63)
     assert [sorted(level) for level in one.levels] == [sorted(level) for level in many.levels]
 
 
@@ -139,7 +139,7 @@ def test_whole_range_of_numbers(spark):
     rng = random.Random(5)
     times = [-(2**63), 2**63 - 1, 2**62, -(2**62), 0, 1, 2, None] + [rng.randrange(-(2**63), 2**63) for _ in range(300)]
     rows = [("a", at, i, i % 2) for i, at in enumerate(times)]
-    assert sums_of(spark, rows, slices=40) == expected_sums(rows)
+    assert sums_of(spark, rows, rows_per_slice=8) == expected_sums(rows)
 
 
 def test_three_order_columns(spark):
@@ -153,7 +153,7 @@ def test_three_order_columns(spark):
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "t bigint, partition int, offset bigint, flag int").withColumn(
         "timestamp", F.timestamp_seconds("t"))
-    out = running_sums(df, {"n": F.lit(1), "s": F.col("flag")}, ["timestamp", "partition", "offset"], slices=64)
+    out = running_sums(df, {"n": F.lit(1), "s": F.col("flag")}, ["timestamp", "partition", "offset"], rows_per_slice=32)
     assert {(r["partition"], r["offset"]): (r["n"], r["s"]) for r in out.collect()} == expected
 
 
@@ -173,7 +173,7 @@ def test_text_cannot_order(spark):
              min_size=1, max_size=80),
     st.integers(1, 20),
 )
-def test_any_order_and_slice_count(spark, triples, slices):
+def test_any_order_and_slice_size(spark, triples, size):
     rows = [(k, at, i, f) for i, (k, at, f) in enumerate(triples)]
-    assert sums_of(spark, rows, slices=slices) == expected_sums(rows)
-    assert sums_of(spark, rows, key=["key"], slices=slices) == expected_sums(rows, keyed=True)
+    assert sums_of(spark, rows, rows_per_slice=size) == expected_sums(rows)
+    assert sums_of(spark, rows, key=["key"], rows_per_slice=size) == expected_sums(rows, keyed=True)

@@ -92,9 +92,9 @@ def test_first_batch_empty(spark, folder):
     assert state(spark, folder) == [(0, 0, 0)]
 
 
-@pytest.mark.parametrize("slices", [None, 4])
-def test_breaker_per_user(spark, folder, slices):
-    options = {"key": ["user_id"], "min_records": 5, "slices": slices}
+@pytest.mark.parametrize("rows_per_slice", [1_000_000, 20])
+def test_breaker_per_user(spark, folder, rows_per_slice):
+    options = {"key": ["user_id"], "min_records": 5, "rows_per_slice": rows_per_slice}
     for n, (low, high) in enumerate([(0, 300), (300, 301), (301, 1000)]):
         job.run_batch(events(spark).where(f"event_id >= {low} AND event_id < {high}"), n, folder, **options)
     assert table(spark, folder) == expected(spark, key=["user_id"], min_records=5)
@@ -110,8 +110,8 @@ def test_broker_order(spark, folder):
         F.col("event_id").alias("offset"), F.date_trunc("day", "event_ts").alias("timestamp"))
     decoded = decode_value(messages)
     order = ["timestamp", "partition", "offset"]
-    job.run_batch(decoded.where("timestamp < '2024-01-09'"), 0, folder, order=order, persist=True, slices=16)
-    job.run_batch(decoded.where("timestamp >= '2024-01-09'"), 1, folder, order=order, persist=True, slices=16)
+    job.run_batch(decoded.where("timestamp < '2024-01-09'"), 0, folder, order=order, persist=True, rows_per_slice=30)
+    job.run_batch(decoded.where("timestamp >= '2024-01-09'"), 1, folder, order=order, persist=True, rows_per_slice=30)
     whole = breaker.circuit_breaker(flag_anomalies(decoded), order=order).select("offset", "total", "failed", "route")
     schema = T.StructType([T.StructField(n, t) for n, t in (
         ("offset", T.LongType()), ("total", T.LongType()), ("failed", T.LongType()), ("route", T.StringType()))])
