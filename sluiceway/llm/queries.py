@@ -1,4 +1,4 @@
-"""The corpus operators as queries over the given tables, with SQL for those that SQL can express."""
+"""The corpus operators as queries over the given tables."""
 
 from __future__ import annotations
 
@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from sluiceway.llm import decontamination, embedding_links, html_text, jaccard_join, language, mixing, sharding, toxicity
 from sluiceway.llm.common import table
+from sluiceway.llm.oracle import LLM_ORACLE  # noqa: F401
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-LLM_ORACLE: dict[str, str] = {}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
