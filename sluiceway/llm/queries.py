@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import decontamination, embedding_links, html_text, jaccard_join, language, mixing, sharding, toxicity
+from sluiceway.llm import decontamination, embedding_links, html_text, jaccard_join, language, licenses, mixing, sharding, substring_dedup, toxicity
 from sluiceway.llm.common import table
 from sluiceway.llm.oracle import LLM_ORACLE  # noqa: F401
 
@@ -29,6 +29,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _fold(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
@@ -57,6 +62,11 @@ def op6_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links.embedding_links(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("text_id")
+
+
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, sf_dir, "documents")).select(
