@@ -25,7 +25,7 @@ class Join:
 
     n: int = 4
     percent: int = 85
-    spare: float = 0.6
+    spare: float = 0.5
     short: int = 64
     rounds: int = 2
     pairs: int = 48
@@ -64,6 +64,11 @@ def _needed(size: Column, join: Join) -> Column:
     return size - F.floor((size * join.percent + 99) / 100).cast("long") + 1
 
 
+def _prefix_size(size: Column, join: Join) -> Column:
+    wanted = F.greatest(F.lit(join.short), F.ceil(_needed(size, join) * (1 + join.spare)) + 1)
+    return F.greatest(F.lit(1), F.least(size, wanted)).cast("int")
+
+
 def _alike(a: str, b: str, join: Join) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * join.percent
 
@@ -153,22 +158,27 @@ def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     join two components. Null doc_id: the row has its class's component (null if no other row of the class has an id). Null
     or wordless text: size 0, component is doc_id. Repeated rows: each its row, the same result.
     """
-    prefix = F.slice("set", 1, F.greatest(F.lit(join.short), F.ceil(_needed(F.col("size"), join) * (1 + join.spare)).cast("int") + 1))
-    known = cut(with_shingles(docs, join).withColumn("prefix", prefix).drop("set"), "join-documents")
-    classes = cut(known.filter("size > 0").groupBy("size", "k1", "k2").agg(
-        F.min("doc_id").cast("long").alias("cls"), F.any_value("prefix").alias("prefix")).filter("cls IS NOT NULL").withColumn(
-        "g", F.xxhash64("prefix", "size")), "join-classes")
+    prefix = F.slice("set", 1, _prefix_size(F.col("size"), join))
+    known = cut(with_shingles(docs, join).withColumn("prefix", prefix).withColumn("g", F.xxhash64("prefix", "size")).drop("set"), "join-documents")
+    # From here to the tokens only ids and hashes are moved; prefixes are long.
+    classes = known.filter("size > 0").groupBy("size", "k1", "k2").agg(F.min("doc_id").cast("long").alias("cls"), F.min("g").alias("g"))
+    classes = cut(classes.filter("cls IS NOT NULL"), "join-classes")
     leaders = classes.groupBy("g", "size").agg(F.min("cls").alias("group"), F.count(F.lit(1)).alias("members"))
     grouped = cut(classes.join(leaders, ["g", "size"]).select("cls", "size", "k1", "k2", "group", "members"), "join-groups")
     inside = grouped.filter("members > 1")
 
-    tokens = classes.join(grouped.filter("cls = group").select("cls"), "cls", "left_semi").select(
-        F.col("cls").alias("group"), "size", F.size("prefix").alias("long"), F.explode_outer("prefix").alias("token"))
+    row = ["doc_id", "k1", "k2"]
+    leading = known.join(grouped.filter("cls = group").select(F.col("cls").alias("group"), "k1", "k2"), ["k1", "k2"]).filter(
+        "doc_id = group").select(*row, "prefix")
+    again = cut(known.groupBy(*row).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(*row), "join-repeated")
+    once = leading.join(bounded(again), row, "left_anti").unionByName(leading.join(bounded(again), row, "left_semi").dropDuplicates(row))
+    tokens = once.select(F.col("doc_id").cast("long").alias("group"), F.explode_outer("prefix").alias("token"))
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select(F.col("token").alias("t"), "df")
     shared = cut(tokens.join(often, F.col("token") == F.col("t")).drop("t"), "join-tokens")
+    sized = shared.join(grouped.filter("cls = group").select("group", "size"), "group")
     per_group = Window.partitionBy("group")
-    ranked = shared.withColumns({"rank": F.row_number().over(per_group.orderBy("df", "token")),
-                                 "lonely": F.col("long") - F.count(F.lit(1)).over(per_group)})
+    ranked = sized.withColumns({"rank": F.row_number().over(per_group.orderBy("df", "token")),
+                                "lonely": _prefix_size(F.col("size"), join) - F.count(F.lit(1)).over(per_group)})
     chosen = F.col("rank") <= _needed(F.col("size"), join) - F.col("lonely")
     band = _band(F.col("size"), join)
     entries = cut(ranked.select("group", "size", "token", chosen.alias("chosen"), F.explode(F.array(
@@ -188,17 +198,19 @@ def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     if not sets.groupBy("cls").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").isEmpty():
         sets = cut(sets.dropDuplicates(["cls"]), "join-sets")  # rows with equal doc_id and text
 
-    links = cut(_verified(inside.filter("cls <> group").select(F.col("cls").alias("a"), F.col("group").alias("b")), sets, join), "join-links")
-    component = connected_components(links, "join-components")
+    of_bucket = buckets.withColumnRenamed("group", "cls")
+    to_try = inside.filter("cls <> group").select(F.col("cls").alias("a"), F.col("group").alias("b"))
+    links = component = None
     for _ in range(join.rounds):
-        now = _with_component(buckets.withColumnRenamed("group", "cls"), component)
+        now = of_bucket.withColumn("component", F.col("cls")) if component is None else _with_component(of_bucket, component)
         ends = now.groupBy("token", "band").agg(F.min(F.struct("component", "cls")).alias("low"), F.max(F.struct("component", "cls")).alias("high"))
         open_ = ends.filter("low.component <> high.component")
         other = F.when(F.col("low.component") != F.col("component"), F.col("low.cls")).otherwise(F.col("high.cls"))
         asked = now.filter("chosen").join(open_, ["token", "band"]).select("cls", other.alias("other"))
         most = asked.groupBy("cls", "other").agg(F.count(F.lit(1)).alias("times")).groupBy("cls").agg(F.max_by("other", "times").alias("other"))
-        tried = _verified(most.select(F.col("cls").alias("a"), F.col("other").alias("b")), sets, join)
-        links = cut(links.unionByName(tried), "join-links")
+        pairs = most.select(F.col("cls").alias("a"), F.col("other").alias("b"))
+        tried = _verified(pairs if links is not None else pairs.unionByName(to_try), sets, join)
+        links = cut(tried if links is None else links.unionByName(tried), "join-links")
         component = connected_components(links, "join-components")
 
     # All members now, not groups: those of a group share its entries, and are a bucket of their own.
