@@ -141,6 +141,26 @@ def _judged(source: str = "raw") -> str:
     return _JUDGED.format(source=source)
 
 
+def _suite(kept: bool) -> str:
+    """The four-expectation report; ``kept`` is what the write contract says."""
+    nulls = "count(*) FILTER (WHERE tax_amount IS NULL)"
+    return f"""SELECT CASE WHEN passed = 4 THEN 'OK' ELSE 'ERROR' END AS status,
+              4 AS total_assertions, passed AS successful_assertions, round(passed / 4.0::DOUBLE * 100, 1) AS success_rate_percent,
+              CASE WHEN ok1 AND ok2 THEN '' WHEN ok1 THEN '{v.SUITE_TAX_FAILED}' WHEN ok2 THEN '{v.SUITE_AMOUNT_FAILED}'
+                   ELSE '{v.SUITE_TAX_FAILED}|{v.SUITE_AMOUNT_FAILED}' END AS failures,
+              n AS total_rows_evaluated, nulls AS null_tax_count, round(nulls * 100.0::DOUBLE / n, 2) AS null_tax_ratio_percent,
+              low AS negative_amount_count, good AS valid_events, n - good AS invalid_events, dlq AS dlq_count,
+              concat('amount > 0=', CASE WHEN ok1 THEN 'PASS' ELSE 'FAIL' END,
+                     '|tax_amount not null > 90%=', CASE WHEN ok2 THEN 'PASS' ELSE 'FAIL' END,
+                     '|schema validation=', CASE WHEN ok3 THEN 'PASS' ELSE 'FAIL' END,
+                     '|Iceberg write contract={'PASS' if kept else 'FAIL'}') AS expectations
+            FROM (SELECT *, CAST(ok1 AS INT) + CAST(ok2 AS INT) + CAST(ok3 AS INT) + {int(kept)} AS passed
+                  FROM (SELECT *, low = 0 AS ok1, CAST(n - nulls AS DOUBLE) / n >= 0.90 AS ok2, wrong = 0 AS ok3
+                        FROM (SELECT count(*) AS n, {nulls} AS nulls, count(*) FILTER (WHERE amount <= 0) AS low,
+                                count(*) FILTER (WHERE {_GOOD}) AS good, count(*) FILTER (WHERE breaker_open) AS dlq,
+                                count(*) FILTER (WHERE list_contains(reasons, 'schema_mismatch')) AS wrong FROM judged)))"""
+
+
 def oracle_queries() -> dict[str, str]:
     routed_rows = "SELECT event_id, total, failed, error_rate, route FROM routed"
     broken = _judged()
@@ -295,22 +315,8 @@ def oracle_queries() -> dict[str, str]:
             + _report("days", "day")),
         "validation_report_empty": _sql(
             "SELECT * FROM report", ", none AS (SELECT * FROM raw WHERE amount > 1000000000)" + _report("none")),
-        "expectation_suite": _sql(f"""SELECT CASE WHEN passed = 4 THEN 'OK' ELSE 'ERROR' END AS status,
-              4 AS total_assertions, passed AS successful_assertions, round(passed / 4.0::DOUBLE * 100, 1) AS success_rate_percent,
-              CASE WHEN ok1 AND ok2 THEN '' WHEN ok1 THEN '{v.SUITE_TAX_FAILED}' WHEN ok2 THEN '{v.SUITE_AMOUNT_FAILED}'
-                   ELSE '{v.SUITE_TAX_FAILED}|{v.SUITE_AMOUNT_FAILED}' END AS failures,
-              n AS total_rows_evaluated, nulls AS null_tax_count, round(nulls * 100.0::DOUBLE / n, 2) AS null_tax_ratio_percent,
-              low AS negative_amount_count, good AS valid_events, n - good AS invalid_events, dlq AS dlq_count,
-              concat('amount > 0=', CASE WHEN ok1 THEN 'PASS' ELSE 'FAIL' END,
-                     '|tax_amount not null > 90%=', CASE WHEN ok2 THEN 'PASS' ELSE 'FAIL' END,
-                     '|schema validation=', CASE WHEN ok3 THEN 'PASS' ELSE 'FAIL' END,
-                     '|Iceberg write contract=PASS') AS expectations
-            FROM (SELECT *, CAST(ok1 AS INT) + CAST(ok2 AS INT) + CAST(ok3 AS INT) + 1 AS passed
-                  FROM (SELECT *, low = 0 AS ok1, CAST(n - nulls AS DOUBLE) / n >= 0.90 AS ok2, wrong = 0 AS ok3
-                        FROM (SELECT count(*) AS n, {nulls} AS nulls, count(*) FILTER (WHERE amount <= 0) AS low,
-                                count(*) FILTER (WHERE {_GOOD}) AS good, count(*) FILTER (WHERE breaker_open) AS dlq,
-                                count(*) FILTER (WHERE list_contains(reasons, 'schema_mismatch')) AS wrong FROM judged)))""",
-            _ROUTED + _judged("routed")),
+        "expectation_suite": _sql(_suite(True), _ROUTED + _judged("routed")),
+        "expectation_suite_damaged": _sql(_suite(False), _ROUTED + _judged("routed")),
         "null_tax_ratio": _sql(f"""SELECT count(*) AS total_rows, {nulls} AS null_tax_count,
             round({nulls} * 100.0::DOUBLE / count(*), 2) AS null_tax_ratio_percent FROM raw"""),
         "metrics_by_interval": _sql(f"""SELECT strftime(start, {_TEXT}) AS interval_start, * EXCLUDE (start)
@@ -350,6 +356,14 @@ def oracle_queries() -> dict[str, str]:
         "write_contract": _sql("""SELECT count(*) AS input_records, count(*) FILTER (WHERE NOT breaker_open) AS main_records,
             count(*) FILTER (WHERE breaker_open) AS dlq_records, CAST(0 AS BIGINT) AS missing,
             CAST(0 AS BIGINT) AS duplicated, CAST(0 AS BIGINT) AS unexpected, 'PASS' AS contract FROM routed""", _ROUTED),
+        "write_contract_damaged": _sql("""SELECT count(*) AS input_records,
+            CAST(sum(times) FILTER (WHERE NOT breaker_open) AS BIGINT) AS main_records,
+            CAST(sum(times) FILTER (WHERE breaker_open) AS BIGINT) AS dlq_records,
+            count(*) FILTER (WHERE event_id % 101 = 0) AS missing,
+            count(*) FILTER (WHERE event_id % 101 <> 0 AND event_id % 103 = 0) AS duplicated,
+            count(*) FILTER (WHERE event_id % 107 = 0) AS unexpected, 'FAIL' AS contract
+            FROM (SELECT *, CASE WHEN event_id % 101 = 0 THEN 0 WHEN event_id % 103 = 0 THEN 2 ELSE 1 END
+                            + CASE WHEN event_id % 107 = 0 THEN 1 ELSE 0 END AS times FROM routed)""", _ROUTED),
         "backlog": _sql(f"SELECT count(*) AS backlog FROM raw WHERE {_SLICE} = 2"),
         "snapshot_log": _sql(f"""SELECT concat('snap-', CAST(batch AS VARCHAR)) AS snapshot_id,
               batch = max(batch) OVER () AS current, 'append' AS operation, n AS records_added,

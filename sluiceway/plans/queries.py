@@ -435,7 +435,17 @@ def validation_report_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def expectation_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suite = validation.expectation_suite(routed(spark, sf_dir))
+    return _suite(spark, sf_dir, write_contract(spark, sf_dir))
+
+
+@query
+def expectation_suite_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _suite(spark, sf_dir, write_contract_damaged(spark, sf_dir))
+
+
+def _suite(spark: SparkSession, sf_dir: str, contract: DataFrame) -> DataFrame:
+    kept = F.lit(contract.first()["contract"] == "PASS")
+    suite = validation.expectation_suite(routed(spark, sf_dir), kept)
     listed = F.transform("expectations", lambda e: F.concat(e["expectation"], F.lit("="), e["status"]))
     return suite.select(
         "status", "total_assertions", "successful_assertions", "success_rate_percent",
@@ -513,6 +523,22 @@ def write_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
         writers.read_dlq(spark, root, out.schema))
 
 
+@query
+def write_contract_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over tables from which rows were lost, in which rows stand twice, and to which strange ones were added."""
+    root, out = _written(spark, sf_dir)
+    number = F.col("event_id")
+
+    def damaged(table: DataFrame) -> DataFrame:
+        left = table.where(number % 101 != 0)
+        strange = table.where(number % 107 == 0).withColumn("event_id", number + 1_000_000_000)
+        return left.unionByName(left.where(number % 103 == 0)).unionByName(strange)
+
+    return ledger.write_contract(
+        checkout_events(spark, sf_dir), damaged(writers.read_main(spark, root, out.schema)),
+        damaged(writers.read_dlq(spark, root, out.schema)))
+
+
 @query
 def backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything was read, the last slice is not committed yet."""

@@ -23,7 +23,7 @@ breaker_state rolling_null_ratio dq_metrics validation_report validation_report_
 null_tax_ratio metrics_by_interval metrics_running_totals latency_rolling metrics_current dlq_by_reason dq_summary
 write_contract backlog snapshot_log duplicate_orders incidents incidents_warning incidents_latest incidents_active
 incidents_dedup series_last_30 metric_band pipeline_status stream_breaker_state stream_checkpoint
-stream_circuit_breaker stream_metrics_windowed stream_restart circuit_breaker_skewed circuit_breaker_hot_user
+stream_circuit_breaker stream_metrics_windowed stream_restart write_contract_damaged expectation_suite_damaged circuit_breaker_skewed circuit_breaker_hot_user
 incidents_by_user incidents_broker_order incidents_warning_10s
 """.split()
 
