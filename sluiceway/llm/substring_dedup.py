@@ -15,31 +15,30 @@ UNITS = {"line": r"[^\n]*\n+|[^\n]+", "sentence": r"[^.!?\n]*[.!?\n]+[ \t]*|[^.!
 
 
 def _normal(unit: Column) -> Column:
-    """A unit as it is compared: lower case, punctuation and white space as one space."""
-    return F.trim(F.regexp_replace(F.lower(unit), r"[\s\p{Punct}]+", " "))
+    """A unit, in lower case already, as it is compared: punctuation and white space as one space."""
+    return F.trim(F.regexp_replace(unit, r"[\s\p{Punct}]+", " "))
 
 
 def repeated_units(docs: DataFrame, unit: str = "sentence", least_words: int = 5) -> DataFrame:
-    """(doc_id, text_id, removed): the numbers of the units of each document that stood somewhere before.
+    """(doc_id, text_no, removed): the numbers of the units of each document that stood somewhere before.
 
     Digests of 128 bits of all normalised units of at least ``least_words`` words are grouped over the whole table; the
     earliest occurrence is kept, by doc_id, then text, then place. Counts and minima are combined before the shuffle, and
     only digests that repeat are joined back. Equal rows (doc_id and text) count as one document. Null doc_id comes first.
     """
-    text = F.col("text")
-    pieces = docs.select("doc_id", text_key(text).alias("text_id"), F.posexplode_outer(
-        F.regexp_extract_all(text, F.lit(UNITS[unit]), F.lit(0))).alias("pos", "piece"))
-    normal = pieces.select("doc_id", "text_id", "pos", _normal(F.col("piece")).alias("normal")).filter(
-        F.size(F.split("normal", " ")) >= least_words)
-    # Long ids weigh on a shuffle of all units: a number stands for the text.
-    units = normal.select("doc_id", F.xxhash64("text_id").alias("text_no"), "text_id", "pos", F.xxhash64("normal").alias("d1"),
-                          F.xxhash64(F.lit(1), "normal").alias("d2"))
+    pieces = F.regexp_extract_all(F.lower("text"), F.lit(UNITS[unit]), F.lit(0))
+    listed = docs.select("doc_id", F.xxhash64(text_key(F.col("text"))).alias("text_no"),
+                         F.posexplode_outer(F.transform(pieces, _normal)).alias("pos", "unit"))
+    words = F.length("unit") - F.length(F.replace("unit", F.lit(" "))) + 1
+    # Written once and read twice: working units out costs more than their digests take.
+    units = cut(listed.filter(words >= least_words).select(
+        "doc_id", "text_no", "pos", F.xxhash64("unit").alias("d1"), F.xxhash64(F.lit(1), "unit").alias("d2")), "dedup-units")
     place = F.struct("doc_id", "text_no", "pos")
     seen = units.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     repeats = cut(seen.filter("first <> last").select(F.col("d1").alias("r1"), F.col("d2").alias("r2"), "first"), "dedup-repeats")
     later = units.join(bounded(repeats), (F.col("d1") == F.col("r1")) & (F.col("d2") == F.col("r2"))).filter(
         ~place.eqNullSafe(F.col("first")))
-    return later.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_set("pos")).alias("removed"))
+    return later.groupBy("doc_id", "text_no").agg(F.array_sort(F.collect_set("pos")).alias("removed"))
 
 
 def cut_units(text: str, removed: list[int], unit: str, least_words: int) -> tuple[str, list[dict[str, int]]]:
@@ -75,9 +74,9 @@ def dedup_substrings(docs: DataFrame, unit: str = "sentence", least_words: int =
     def clean(texts: pd.Series, removed: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([cut_units(t, list(r), unit, least_words) for t, r in zip(texts, removed)], columns=["text", "removed"])
 
-    found = cut(repeated_units(docs, unit, least_words), "dedup-removed").select(F.struct("doc_id", "text_id", "removed").alias("found"))
+    found = cut(repeated_units(docs, unit, least_words), "dedup-removed").select(F.struct("doc_id", "text_no", "removed").alias("found"))
     rows, text = packed(docs.drop("removed")), F.col("row.text")
-    here = F.col("row.doc_id").eqNullSafe(F.col("found.doc_id")) & (text_key(text) == F.col("found.text_id"))
+    here = F.col("row.doc_id").eqNullSafe(F.col("found.doc_id")) & (F.xxhash64(text_key(text)) == F.col("found.text_no"))
     joined = rows.join(bounded(found), here, "left")
     cleaned = joined.filter("found IS NOT NULL").withColumn("new", clean.asNondeterministic()(text, F.col("found.removed")))
     same = joined.filter("found IS NULL").withColumn("new", F.struct(text.alias("text"), F.array().cast(
