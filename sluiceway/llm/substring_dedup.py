@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import re
+from array import array
+from collections.abc import Iterator
+from hashlib import md5
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm.common import bounded, cut, packed, text_key
@@ -14,42 +19,108 @@ from sluiceway.llm.common import bounded, cut, packed, text_key
 UNITS = {"line": r"[^\n]*\n+|[^\n]+", "sentence": r"[^.!?\n]*[.!?\n]+[ \t]*|[^.!?\n]+"}
 
 
-def _normal(unit: Column) -> Column:
-    """A unit, in lower case already, as it is compared: punctuation and white space as one space."""
-    return F.trim(F.regexp_replace(unit, r"[\s\p{Punct}]+", " "))
+#: What separates words: ASCII punctuation becomes a space, then white space splits.
+_SEPARATORS = {k: " " for k in range(128) if not chr(k).isalnum()}
+_DIGESTED = "pos int, last int, d1 long, d2 long"
+#: So many texts are digested before their digests are handed on.
+_TEXTS = 200
+
+
+def runs_of(text: str, unit: str, least_words: int) -> set[tuple[int, int, str]]:
+    """(first unit, last unit, words) of all runs of units that are compared; words in lower case, by single spaces.
+
+    A unit of at least ``least_words`` words stands alone. A shorter one is joined with what follows, and with what comes
+    before, until the run has so many words: each repeated run of so many words is covered by these, down to the short
+    units at its edges. Lines of any length are runs too. Units without a word do not count.
+    """
+    units, line, lines = [], 0, []
+    for k, piece in enumerate(re.findall(UNITS[unit], text.lower())):
+        words = piece.translate(_SEPARATORS).split()
+        if words:
+            units.append((k, words))
+            lines.append(line)
+        line += "\n" in piece
+    found = set()
+
+    def add(i: int, j: int) -> None:
+        found.add((units[i][0], units[j][0], " ".join(w for _, words in units[i:j + 1] for w in words)))
+
+    for i, (_, words) in enumerate(units):
+        if len(words) >= least_words:
+            add(i, i)
+            continue
+        for step in (1, -1):
+            j, count = i, len(words)
+            while count < least_words and 0 <= j + step < len(units):
+                j += step
+                count += len(units[j][1])
+            if count >= least_words:
+                add(min(i, j), max(i, j))
+    start = 0
+    for i in range(1, len(units) + 1):
+        if i == len(units) or lines[i] != lines[start]:
+            add(start, i - 1)
+            start = i
+    return found
+
+
+def _digests(docs: DataFrame, unit: str, least_words: int) -> DataFrame:
+    """(doc_id, text_no, pos, last, d1, d2): a digest of 128 bits for each run of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _TEXTS):
+                part = batch.slice(at, _TEXTS)
+                row, pos, last, digests = array("q"), array("i"), array("i"), bytearray()
+                for k, text in enumerate(part.column("text").to_pylist()):
+                    for first, end, words in runs_of(text, unit, least_words):
+                        row.append(k)
+                        pos.append(first)
+                        last.append(end)
+                        digests += md5(words.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
+                d = np.frombuffer(bytes(digests), dtype="<i8").reshape(-1, 2)
+                rows = pa.array(np.array(row, dtype="int64"))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(rows), part.column("text_no").take(rows), pa.array(np.array(pos, dtype="int32")),
+                     pa.array(np.array(last, dtype="int32")), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())],
+                    names=["doc_id", "text_no", "pos", "last", "d1", "d2"])
+
+    texts = docs.filter("text <> ''").select("doc_id", F.xxhash64(text_key(F.col("text"))).alias("text_no"), "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(run, f"doc_id {kind}, text_no long, {_DIGESTED}")
 
 
 def repeated_units(docs: DataFrame, unit: str = "sentence", least_words: int = 5) -> DataFrame:
     """(doc_id, text_no, removed): the numbers of the units of each document that stood somewhere before.
 
-    Digests of 128 bits of all normalised units of at least ``least_words`` words are grouped over the whole table; the
-    earliest occurrence is kept, by doc_id, then text, then place. Counts and minima are combined before the shuffle, and
-    only digests that repeat are joined back. Equal rows (doc_id and text) count as one document. Null doc_id comes first.
+    Digests of 128 bits of all runs (``runs_of``) are grouped over the whole table; the earliest occurrence is kept, by
+    doc_id, then text, then place, and of a later one that overlaps it only what lies behind it goes. Counts and minima
+    are combined before the shuffle, and only digests that repeat are joined back. Equal rows (doc_id and text) count as
+    one document. Null doc_id comes first.
     """
-    pieces = F.regexp_extract_all(F.lower("text"), F.lit(UNITS[unit]), F.lit(0))
-    listed = docs.select("doc_id", F.xxhash64(text_key(F.col("text"))).alias("text_no"),
-                         F.posexplode_outer(F.transform(pieces, _normal)).alias("pos", "unit"))
-    words = F.length("unit") - F.length(F.replace("unit", F.lit(" "))) + 1
     # Written once and read twice: working units out costs more than their digests take.
-    units = cut(listed.filter(words >= least_words).select(
-        "doc_id", "text_no", "pos", F.xxhash64("unit").alias("d1"), F.xxhash64(F.lit(1), "unit").alias("d2")), "dedup-units")
-    place = F.struct("doc_id", "text_no", "pos")
-    seen = units.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    repeats = cut(seen.filter("first <> last").select(F.col("d1").alias("r1"), F.col("d2").alias("r2"), "first"), "dedup-repeats")
-    later = units.join(bounded(repeats), (F.col("d1") == F.col("r1")) & (F.col("d2") == F.col("r2"))).filter(
-        ~place.eqNullSafe(F.col("first")))
-    return later.groupBy("doc_id", "text_no").agg(F.array_sort(F.collect_set("pos")).alias("removed"))
+    units = cut(_digests(docs, unit, least_words), "dedup-units")
+    place = F.struct("doc_id", "text_no", "pos", "last")
+    seen = units.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("end"))
+    repeats = cut(seen.filter("first <> end").select(F.col("d1").alias("r1"), F.col("d2").alias("r2"), "first"), "dedup-repeats")
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_no") == F.col("first.text_no"))
+    start = F.when(same, F.greatest("pos", F.col("first.last") + 1)).otherwise(F.col("pos"))
+    later = units.join(bounded(repeats), (F.col("d1") == F.col("r1")) & (F.col("d2") == F.col("r2"))).withColumn(
+        "start", start).filter("start <= last")
+    gone = F.transform(F.collect_set(F.struct("start", "last")), lambda r: F.sequence(r["start"], r["last"]))
+    return later.groupBy("doc_id", "text_no").agg(F.array_sort(F.array_distinct(F.flatten(gone))).alias("removed"))
 
 
 def cut_units(text: str, removed: list[int], unit: str, least_words: int) -> tuple[str, list[dict[str, int]]]:
     """A text without the removed units, and their offsets in characters of it as it was, neighbours joined.
 
-    A unit that is too short to be compared goes too where both its neighbours do: it is then inside a passage.
+    Units without a word go with the units next to them, where all of these go.
     """
     pieces, gone = re.findall(UNITS[unit], text), set(removed)
-    for k, piece in enumerate(pieces):
-        if k not in gone and k - 1 in gone and k + 1 in gone and len(re.findall(r"\w+", piece)) < least_words:
-            gone.add(k)
+    worded = [k for k, piece in enumerate(pieces) if piece.translate(_SEPARATORS).split()]
+    for a, b in zip([None, *worded], [*worded, None]):
+        if gone.issuperset({a, b} - {None}):
+            gone.update(range(0 if a is None else a + 1, len(pieces) if b is None else b))
     kept, spans, at = [], [], 0
     for k, piece in enumerate(pieces):
         end = at + len(piece)

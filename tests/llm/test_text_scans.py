@@ -64,6 +64,26 @@ def test_dedup_edge_cases(spark):
     assert substring_dedup.dedup_substrings(wide.limit(0)).collect() == []
 
 
+def test_dedup_short_units_edges_and_lines(spark):
+    long = "One two three four five six."
+    docs = [(1, f"Oh no. Not now. {long} So be it. Yes."), (2, f"Oh no. Not now. {long} So be it. Yes."),
+            (3, f"Fresh words stand at the front here. Oh no. Not now. {long} So be it. Yes. No."), (4, "Menu\nContact us.\n--\n"), (5, "Menu\nContact us.\n--\n"),
+            (6, f"Yes. It is. Hm. {long} Never before."), (7, "Ha. Ha. Ha. Ha. Ha. Ha. Ha."), (8, "Tiny"), (9, "Tiny")]
+    got = {r.doc_id: r.text for r in substring_dedup.dedup_substrings(frame(spark, docs)).collect()}
+    assert got == {**dict(docs), 2: "", 3: "Fresh words stand at the front here. No.", 5: "", 6: "Yes. It is. Hm. Never before.",
+                   7: "Ha. Ha. Ha. Ha. Ha. ", 9: ""}
+
+
+def test_dedup_leaves_nothing_of_later_exact_copies(spark):
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    first = {}
+    for doc, text in sorted(docs, key=lambda d: d[0]):
+        first.setdefault(text, doc)
+    copies = {doc for doc, text in docs if first[text] != doc and re.search(r"\w", text or "")}
+    got = {r.doc_id: r.text for r in LLM_QUERIES["op2_substring_dedup"](spark, "/root/testdata/sf0.01").collect()}
+    assert copies and all(got[doc] == "" for doc in copies)
+
+
 def test_every_notice_is_found_under_its_name():
     for name, texts in licenses.TEMPLATES.items():
         for text in texts:
