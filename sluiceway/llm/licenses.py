@@ -1,11 +1,15 @@
-"""License scan by conditional compression: which known notice shortens a block most, and how its wording differs."""
+"""License scan by conditional compression: which known notices shorten a passage, and how its wording differs."""
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import re
+from collections import Counter
 from functools import lru_cache
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
@@ -13,101 +17,256 @@ from pyspark.sql import functions as F
 
 from sluiceway.llm.common import text_key
 
-# Public license notices, as they are commonly worded.
+# Public license notices, as they are commonly worded. Where several fit, the one of most words counts.
+_MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files")
+_MIT_REST = (" (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, "
+             "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished "
+             "to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all "
+             "copies or substantial portions of the Software.")
+_AS_IS = (" THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+          "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE "
+          "FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+          "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met")
+_BSD_TWO = (": 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+            "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+            "in the documentation and/or other materials provided with the distribution.")
+_BSD_THIRD = (" 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+              "derived from this software without specific prior written permission.")
+_BSD_END = (" THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT "
+            "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL "
+            "THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+            "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+            "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+            "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_ISC = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+        "the above copyright notice and this permission notice appear in all copies.")
+_ISC_END = (" THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+            "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+            "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+            "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.")
+_UNLICENSE = "This is free and unencumbered software released into the public domain."
+_UNLICENSE_REST = (" Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a "
+                   "compiled binary, for any purpose, commercial or non-commercial, and by any means.")
+_APACHE = "Licensed under the Apache License, Version 2.0"
+_APACHE_USE = (" (the \"License\"); you may not use this file except in compliance with the License. "
+               "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0")
+_APACHE_END = (" Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" "
+               "BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
+               "governing permissions and limitations under the License.")
+
+
+def _gnu(kind: str, version: str) -> tuple[str, ...]:
+    """The notices that name a license of the GNU family: the grant alone, and with its disclaimer."""
+    what = {"": "program", "Lesser ": "library", "Affero ": "program"}[kind]
+    grant = (f"This {what} is free software{{}} you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License "
+             f"as published by the Free Software Foundation{{}} either version {version} of the License, or (at your option) any later version.")
+    no_warranty = (f" This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+                   f"MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public License for more details. You should "
+                   f"have received a copy of the GNU {kind}General Public License along with this {what}.")
+    grant = grant.format(":", ",") if version.startswith("3") else grant.format(";", ";")
+    return (f"This work is licensed under the GNU {kind}General Public License, version {version[0]}.", grant, grant + no_warranty)
+
+
 TEMPLATES = {
-    "Apache-2.0": ("Licensed under the Apache License, Version 2.0.",
-                   "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
-                   "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    "MIT": ("Released under the MIT License.", "Licensed under the MIT License.",
-            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    "BSD-3-Clause": ("Licensed under the BSD 3-Clause License.",
-                     "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.",
-                "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
-                "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
-    "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
-    "AGPL-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.",),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
+    "Apache-2.0": (_APACHE + ".", _APACHE + _APACHE_USE, _APACHE + _APACHE_USE + _APACHE_END),
+    "MIT": ("Released under the MIT License.", "Licensed under the MIT License.", _MIT, _MIT + _MIT_REST, _MIT + _MIT_REST + _AS_IS),
+    # The sentence that both begin with does not tell them apart.
+    "BSD": (_BSD,),
+    "BSD-2-Clause": ("Licensed under the BSD 2-Clause License.", _BSD + _BSD_TWO, _BSD + _BSD_TWO + _BSD_END),
+    "BSD-3-Clause": ("Licensed under the BSD 3-Clause License.", _BSD + _BSD_TWO + _BSD_THIRD, _BSD + _BSD_TWO + _BSD_THIRD + _BSD_END),
+    "ISC": ("Licensed under the ISC License.", _ISC, _ISC + _ISC_END),
+    "Unlicense": (_UNLICENSE, _UNLICENSE + _UNLICENSE_REST),
+    "GPL-3.0": _gnu("", "3"),
+    "GPL-2.0": _gnu("", "2"),
+    "LGPL-3.0": _gnu("Lesser ", "3"),
+    "LGPL-2.1": _gnu("Lesser ", "2.1")[1:],
+    "AGPL-3.0": _gnu("Affero ", "3"),
+    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+                "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+                "this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    "EPL-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is "
+                "available at https://www.eclipse.org/legal/epl-2.0/",),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "CC0-1.0": ("Dedicated to the public domain under CC0 1.0.",),
     "proprietary": ("All rights reserved.",),
 }
-#: A block without any of these is no candidate.
-HINT = r"(?i)licen[cs]e|copyright|all rights reserved|permission is hereby|redistribut|creative commons|\bcc[ -](?:by|0)|public domain"
-_WORDS = re.compile(r"[a-z0-9.]*[a-z0-9]")
+#: A text without any of these is no candidate. Notices may be wrapped, and stand in comments.
+HINT = r"(?i)licen[cs]e|copyright|permission|redistribut|free software|rights\W+reserved|creative\W+commons|\bcc\W*(?:by|0)|public\W+domain"
+_WORDS = re.compile(r"[A-Za-z0-9]+(?:\.+[A-Za-z0-9]+)*")
 
 
 def _words(text: str) -> list[str]:
-    return _WORDS.findall(text.lower())
+    return [w.lower() for w in _WORDS.findall(text)]
+
+
+def _compressor(**settings) -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(
+        19, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False), **settings)
 
 
 @lru_cache(1)
 def _models() -> list[tuple[str, list[str], zstandard.ZstdCompressor]]:
-    plain = dict(format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False)
-    settings = zstandard.ZstdCompressionParameters.from_level(19, **plain)
-    return [(name, _words(text), zstandard.ZstdCompressor(compression_params=settings, dict_data=zstandard.ZstdCompressionDict(
+    return [(name, _words(text), _compressor(dict_data=zstandard.ZstdCompressionDict(
         " ".join(_words(text)).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for name, texts in TEMPLATES.items() for text in texts]
 
 
 @lru_cache(1)
 def _alone() -> zstandard.ZstdCompressor:
-    return zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(
-        19, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False))
+    return _compressor()
+
+
+@lru_cache(1)
+def _vocabulary() -> tuple[dict[str, int], np.ndarray]:
+    """Numbers of the words of all notices, from 1, and which notice (row) has which of them."""
+    number = {w: k for k, w in enumerate(sorted({w for _, notice, _ in _models() for w in notice}), 1)}
+    has = np.zeros((len(_models()), len(number) + 1), dtype="int32")
+    for k, (_, notice, _) in enumerate(_models()):
+        has[k, [number[w] for w in notice]] = 1
+    return number, has
+
+
+class Found(NamedTuple):
+    """A notice in a text: its first word and the one after its last; ``differences`` are words only one side has."""
+
+    license: str
+    reduction: float
+    share: float
+    differences: list[str]
+    start: int
+    end: int
+    rank: tuple[float, int, float]
+
 
+def _longest(a: list[str], b: list[str]) -> difflib.Match:
+    return difflib.SequenceMatcher(None, a, b, autojunk=False).find_longest_match()
 
-@lru_cache(50_000)
-def match(block: str, ranked: int = 4, least: float = 0.8) -> tuple[str, float, float, list[str]] | None:
-    """(license, size reduction, share of the notice found, differing words) for a block, or None.
 
-    Templates are ranked by how much shorter the block gets with each as its dictionary. The best ``ranked`` are then
-    compared word by word; the one of which most stands in the block in order wins, if that is at least ``least``,
-    and of equal ones the longer, then the higher ranked.
+def _runs(a: list[str], b: list[str]) -> list[difflib.Match]:
+    return [r for r in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks() if r.size]
+
+
+def _aligned(k: int, words: list[str], near: difflib.Match, low: int, high: int, least: float) -> Found | None:
+    """The notice ``k`` around the run ``near`` that it shares with ``words[low:high]``, if enough of it stands there.
+
+    Both sides are aligned away from the run, so that the words nearest to it count, and end where the notice would.
     """
-    words = _words(block)
-    data = " ".join(words).encode()
-    if not data:
+    name, notice, model = _models()[k]
+    most = 1.5 * len(notice) + 2
+    before, after = near.a, len(notice) - near.a - near.size
+    left = words[max(low, near.b - int(1.5 * before + 2)):near.b][::-1]
+    right = words[near.b + near.size:min(high, near.b + near.size + int(1.5 * after + 2))]
+    runs = [(near.b - r.b - r.size, r.size) for r in _runs(notice[:before][::-1], left)][::-1] + [(near.b, near.size)] + [
+        (near.b + near.size + r.b, r.size) for r in _runs(notice[near.a + near.size:], right)]
+    # A notice scattered over a long block is none: stray words at its ends do not count.
+    while runs[-1][0] + runs[-1][1] - runs[0][0] > most:
+        runs.pop(0 if runs[0][1] < runs[-1][1] else -1)
+    shared = sum(size for _, size in runs)
+    if shared < least * len(notice):
         return None
+    start, end = runs[0][0], runs[-1][0] + runs[-1][1]
+    data = " ".join(words[start:end]).encode()
     alone = len(_alone().compress(data))
-    sizes = sorted(((alone - len(model.compress(data))) / alone, -k) for k, (_, _, model) in enumerate(_models()))[::-1]
-    best = None
-    for reduction, k in sizes[:ranked]:
-        name, notice, _ = _models()[-k]
-        if reduction <= 0:
-            continue
-        near = difflib.SequenceMatcher(None, notice, words, autojunk=False)
-        runs = near.get_matching_blocks()
-        share = sum(run.size for run in runs) / len(notice)
-        inside = [r for r in runs if r.size]
-        if not inside:
+    reduction = (alone - len(model.compress(data))) / alone
+    if reduction <= 0:
+        return None
+    differs = [w[2:] for w in difflib.ndiff(notice, words[start:end]) if w[0] in "+-"] if notice != words[start:end] else []
+    return Found(name, reduction, shared / len(notice), differs, start, end, (shared - len(differs), len(notice), reduction))
+
+
+def _of_notice(k: int, words: list[str], low: int, high: int, least: float) -> list[Found]:
+    """All places of the notice ``k`` in ``words[low:high]``, none over another."""
+    notice, found, left = _models()[k][1], [], []
+    counts = Counter(notice)
+    # Exact ones first, in one pass: a text may hold very many.
+    for at in range(low, high - len(notice) + 1):
+        if at >= low and words[at] == notice[0] and words[at:at + len(notice)] == notice:
+            place = _aligned(k, words, difflib.Match(0, at, len(notice)), low, high, least)
+            found += [place] if place else []
+            left.append((low, at))
+            low = at + len(notice)
+    left.append((low, high))
+    while left:
+        low, high = left.pop()
+        if (Counter(words[low:high]) & counts).total() < least * len(notice):
             continue
-        span = words[inside[0].b:inside[-1].b + inside[-1].size]
-        differs = [w[2:] for w in difflib.ndiff(notice, span) if w[0] in "+-"]
-        # A notice scattered over a long block is none.
-        if share >= least and len(span) <= 1.5 * len(notice) + 2:
-            rank = (share - len(differs) / len(notice), len(notice), reduction)
-            if best is None or rank > best[0]:
-                best = (rank, (name, reduction, share, differs))
-    return best[1] if best else None
+        near = _longest(notice, words[low:high])
+        near = difflib.Match(near.a, near.b + low, near.size)
+        place = _aligned(k, words, near, low, high, least)
+        start, end = (place.start, place.end) if place else (near.b, near.b + near.size)
+        found += [place] if place else []
+        left += [(low, start), (end, high)]
+    return found
+
+
+def find_all(words: list[str], least: float = 0.8) -> list[Found]:
+    """The notices that stand in a list of words, in order, none over another.
+
+    A notice can only stand where a window of 1.5 times its length holds enough words that it has too: all such places
+    are compared word by word with it, and it is found where at least ``least`` of it stands in order and it shortens
+    them as a dictionary. Of those that overlap the one with the most words, less the differing ones, is taken, of equal
+    ones the longer, then the one that shortens more; what is left between them is searched again.
+    """
+    number, has = _vocabulary()
+    ids = np.array([number.get(w, 0) for w in words], dtype="int32")
+    found: list[Found] = []
+    left = [(0, len(words))]
+    while left:
+        low, high = left.pop()
+        part = ids[low:high]
+        totals = has @ np.bincount(part, minlength=has.shape[1])
+        seen = []
+        for k in np.flatnonzero(totals >= [least * len(notice) for _, notice, _ in _models()]):
+            length = len(_models()[k][1])
+            sums = np.concatenate([[0], np.cumsum(has[k][part])])
+            wide = min(int(1.5 * length + 2), len(part))
+            hits = np.flatnonzero(sums[wide:] - sums[:-wide] >= least * length)
+            for stretch in np.split(hits, np.flatnonzero(np.diff(hits) > wide) + 1):
+                if len(stretch):
+                    seen += _of_notice(int(k), words, low + int(stretch[0]), low + int(stretch[-1]) + wide, least)
+        taken: list[tuple[int, int]] = []
+        for place in sorted(seen, key=lambda f: f.rank, reverse=True):
+            at = bisect.bisect(taken, (place.start, place.end))
+            if (at == 0 or taken[at - 1][1] <= place.start) and (at == len(taken) or place.end <= taken[at][0]):
+                taken.insert(at, (place.start, place.end))
+                found.append(place)
+        if taken:
+            edges = [low, *(x for span in taken for x in span), high]
+            left += [(a, b) for a, b in zip(edges[::2], edges[1::2]) if a < b]
+    return sorted(found, key=lambda f: f.start)
+
+
+def match(block: str, least: float = 0.8) -> tuple[str, float, float, list[str]] | None:
+    """(license, size reduction, share of the notice found, differing words) of the best notice in a block, or None."""
+    best = max(find_all(_words(block), least), key=lambda f: f.rank, default=None)
+    return best and (best.license, best.reduction, best.share, best.differences)
+
+
+def notices(text: str) -> list[dict]:
+    """The notices of a text with their lines, from 0, and their offsets in characters."""
+    at = list(_WORDS.finditer(text))
+    found = find_all([m[0].lower() for m in at])
+    line = lambda offset: text.count("\n", 0, offset)
+    return [{"line": line(at[f.start].start()), "last_line": line(at[f.end - 1].end()), "start": at[f.start].start(), "end": at[f.end - 1].end(),
+             "license": f.license, "reduction": f.reduction, "found_share": f.share, "differences": f.differences} for f in found]
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
-    """One row per notice found: doc_id, text_id, line (from 0), license, reduction, found_share, exact, differences.
+    """One row per notice found: doc_id, text_id, line and last_line (from 0), start and end (characters), license,
+    reduction, found_share, exact, differences.
 
-    Lines of every text that hold a word of licensing are candidates (found by one pattern, before anything goes to
-    Python); each is compared with all templates. Null and empty texts and texts without notices give no rows. Equal rows
-    each give theirs. Other columns are ignored.
+    Texts that hold a word of licensing are candidates (found by one pattern, before anything goes to Python); each is
+    compared whole with all templates, across line breaks and comment marks (see ``find_all``). Null and empty texts and
+    texts without notices give no rows. Equal rows each give theirs. Other columns are ignored.
     """
 
-    @F.pandas_udf("license string, reduction double, found_share double, differences array<string>")
-    def run(lines: pd.Series) -> pd.DataFrame:
-        found = [match(line) or (None, None, None, None) for line in lines]
-        return pd.DataFrame(found, columns=["license", "reduction", "found_share", "differences"])
+    @F.pandas_udf("array<struct<line:int,last_line:int,start:int,end:int,license:string,reduction:double,found_share:double,differences:array<string>>>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([notices(text) for text in texts], dtype="object")
 
-    lines = docs.filter(F.col("text").rlike(HINT)).select("doc_id", text_key(F.col("text")).alias("text_id"),
-                                                          F.posexplode_outer(F.split("text", "\n")).alias("line", "block"))
-    found = lines.filter(F.col("block").rlike(HINT)).withColumn("found", run.asNondeterministic()("block")).filter("found.license IS NOT NULL")
-    return found.select("doc_id", "text_id", "line", "found.license", "found.reduction", "found.found_share",
-                        (F.size("found.differences") == 0).alias("exact"), "found.differences")
+    texts = docs.filter(F.col("text").rlike(HINT)).select("doc_id", text_key(F.col("text")).alias("text_id"), run.asNondeterministic()("text").alias("all"))
+    found = texts.select("doc_id", "text_id", F.explode("all").alias("found"))
+    return found.select("doc_id", "text_id", "found.line", "found.last_line", "found.start", "found.end", "found.license", "found.reduction",
+                        "found.found_share", (F.size("found.differences") == 0).alias("exact"), "found.differences")

@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 
 from helpers import CLASHING, frame
 from sluiceway.llm import licenses, substring_dedup
@@ -110,3 +111,17 @@ def test_license_query_finds_the_planted_lines(spark):
     want = sorted((r.doc_id, k, planted[line]) for r in texts for k, line in enumerate(r.text.split("\n")) if line in planted)
     got = sorted((r.doc_id, r.line, r.license) for r in LLM_QUERIES["op7_licenses"](spark, SF_DIR).collect())
     assert set(want) <= set(got) and len(got) - len(want) <= 1
+
+
+def wrapped(text, mark, width=72):
+    return "\n".join(f"{mark}{line}" for line in textwrap.wrap(text, width))
+
+
+def test_wrapped_notices_are_found_with_their_lines(spark):
+    docs, want = [], []
+    for name in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "AGPL-3.0", "MPL-2.0", "EPL-2.0", "ISC", "Unlicense"):
+        body = wrapped(licenses.TEMPLATES[name][-1], (" * ", "# ", "")[len(docs) % 3])
+        docs.append((len(docs), f"Some words before.\n\n{body}\n\nint main() and so on."))
+        want.append((len(want), name, 2, 2 + body.count("\n"), True))
+    got = sorted((r.doc_id, r.license, r.line, r.last_line, r.exact) for r in licenses.scan_licenses(frame(spark, docs)).collect())
+    assert got == want and all(last > first for _, _, first, last, _ in got)
