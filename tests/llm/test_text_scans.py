@@ -125,3 +125,16 @@ def test_wrapped_notices_are_found_with_their_lines(spark):
         want.append((len(want), name, 2, 2 + body.count("\n"), True))
     got = sorted((r.doc_id, r.license, r.line, r.last_line, r.exact) for r in licenses.scan_licenses(frame(spark, docs)).collect())
     assert got == want and all(last > first for _, _, first, last, _ in got)
+
+
+def test_all_notices_of_a_line_are_found():
+    filler = "so it went on for a while with these and other words of no account "
+    line = f"Released under the MIT License. All rights reserved. {filler * 40} Licensed under the Apache License, Version 2.0. {filler}"
+    found = licenses.notices(line)
+    assert [f["license"] for f in found] == ["MIT", "proprietary", "Apache-2.0"] and all(not f["differences"] for f in found)
+    assert line[found[1]["start"]:found[1]["end"]] == "All rights reserved"
+    near = "This book is licensed under the GNU General Public License, version 3."
+    alone, = licenses.notices(near)
+    late, = licenses.notices(f"In this chapter nothing of note was said by this man. {filler} {near} {filler}")
+    assert alone["license"] == late["license"] == "GPL-3.0" and alone["differences"] == late["differences"]
+    assert len(licenses.notices("All rights reserved.\n" * 300)) == 300
