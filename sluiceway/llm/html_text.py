@@ -19,15 +19,25 @@ _PATHS, _WORDS, _NUMBERS = 256, 64, 8
 FEATURES = _PATHS + _WORDS + _NUMBERS
 
 # Elements of HTML by their role in layout.
-_RAW = frozenset("script style noscript template svg iframe object math head".split())
+_RAW = frozenset("script style".split())
+_HIDDEN = frozenset("noscript template svg iframe object head annotation annotation-xml".split())
+#: What may stand in a head; anything else ends one whose end tag is left out.
+_IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+#: Start tags that end a drawing or a formula which was left open, unless they are inside a part of it that may hold HTML.
+_BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+                      "pre ruby s small span strong strike sub sup table tt u ul var article section main header footer nav aside form figure".split())
+_ENDED_EARLY = frozenset(("head", "svg", "math"))
+_FOREIGN, _HTML_INSIDE = frozenset(("svg", "math")), frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
-                    "strong sub sup time tt u var wbr".split())
+                    "strong sub sup time tt u var wbr "
+                    "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle "
+                    "msub msubsup msup mtable mtd mtext mtr munder munderover semantics annotation annotation-xml".split())
 _CLOSED_BY_NEXT = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
                    "th": ("td", "th"), "option": ("option",)}
 _STOPS = frozenset("ul ol dl table div section article main aside nav header footer body form blockquote".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?+)*+)>", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME_PARTS = re.compile(r"[A-Za-z]+")
 _WORD = re.compile(r"\w+")
@@ -47,13 +57,21 @@ def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page in order: references decoded, white space made one space, no scripts, styles, comments.
 
     Any text will do as a page: unknown tags count as blocks, unclosed elements end with their parents, and a ``<`` that
-    begins no tag is text. Null has no blocks.
+    begins no tag is text. What a browser does not show of other elements (head, svg, noscript ...) is left out up to
+    their end; a head ends where something begins that cannot stand in it, and one of the others that is never closed on the
+    page is empty. Null has no blocks.
     """
     page = page or ""
     stack: list[tuple[str, tuple[str, ...]]] = []
     found: list[Block] = []
     parts: list[str] = []
-    linked = links = at = 0
+    linked = links = hidden = early = at = 0
+    ends: dict[str, int] = {}
+
+    def closed_later(name: str) -> bool:
+        if name not in ends:
+            ends[name] = max((m.start() for m in re.finditer(rf"</{re.escape(name)}(?=[\s/>])", page, re.I)), default=-1)
+        return ends[name] >= at
 
     def flush() -> None:
         nonlocal linked
@@ -64,16 +82,20 @@ def blocks(page: str | None) -> list[Block]:
         linked = 0
 
     def close(name: str) -> None:
-        nonlocal links
+        nonlocal links, hidden, early
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] == name:
                 links -= sum(x[0] == "a" for x in stack[k:])
+                hidden -= sum(x[0] in _HIDDEN for x in stack[k:])
+                early -= sum(x[0] in _ENDED_EARLY for x in stack[k:])
                 del stack[k:]
                 return
 
     def text_to(end: int) -> None:
         nonlocal linked
-        if end > at:
+        if stack and stack[-1][0] == "head" and page[at:end].strip():
+            close("head")
+        if end > at and not hidden:
             parts.append(page[at:end])
             if links:
                 linked += end - at
@@ -91,21 +113,29 @@ def blocks(page: str | None) -> list[Block]:
         if match[1]:
             close(name)
             continue
+        for k in range(len(stack) - 1, -1, -1) if early else ():
+            if stack[k][0] == "head" and name not in _IN_HEAD or stack[k][0] in _FOREIGN and name in _BREAKOUT:
+                close(stack[k][0])
+                break
+            if stack[k][0] in _HTML_INSIDE and stack[k][0] != "title" or stack[k][0] in ("noscript", "template", "object"):
+                break
         if name in _RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        if name in _VOID or match[3].endswith("/"):
+        if name in _VOID or match[3].endswith("/") or name in _HIDDEN and name != "head" and not closed_later(name):
             continue
         for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in _CLOSED_BY_NEXT.get(name, ()) or stack[k][0] == "p" and name not in _INLINE:
+            if stack[k][0] in _CLOSED_BY_NEXT.get(name, ()) or stack[k][0] == "p" and name not in _INLINE and name not in _HIDDEN:
                 close(stack[k][0])
                 break
-            if stack[k][0] in _STOPS:
+            if stack[k][0] in _STOPS or stack[k][0] in _HIDDEN:
                 break
         own = tuple("." + x.lower() for values in _NAMES.findall(match[3]) for x in _NAME_PARTS.findall("".join(values)))
         stack.append((name, own))
         links += name == "a"
+        hidden += name in _HIDDEN
+        early += name in _ENDED_EARLY
     text_to(len(page))
     flush()
     return found

@@ -126,6 +126,26 @@ def test_blocks_of_odd_pages():
     assert deep[0].text == "go" and deep[0].linked == 2 and deep[0].path[-3:] == ("p", ".big", ".menu")
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><title>x</title><body><article><p>A b.</p></article>", ["A b."]),
+    ("<html><head><title>x</title><meta charset=u><p>A b.", ["A b."]),
+    ("<head><title>x</title><noscript><img src=x><p>no</p></noscript><title>y</title></head><p>A", ["A"]),
+    ("<head><title>x</title>\nA b.", ["A b."]),
+    ("<p>A <svg width=1 /> b.</p><p>C <math/> d.</p><iframe src=x /><p>E</p>", ["A", "b.", "C d.", "E"]),
+    ("<p>A</p><svg><path d='M0'><g><text>no</text></g></svg><p>B</p>", ["A", "B"]),
+    ("<div><p>A <svg><title>no</title><path></svg> b</p></div>", ["A", "b"]),
+    ("<article><svg><path><p>A</p><p>B</p></article><svg></svg>", ["A", "B"]),
+    ("<article><iframe src=x><p>A</p><object><p>B</p></article>", ["A", "B"]),
+    ("<div><noscript><p>no</p></div><p>A</p><noscript>no</noscript><p>B</p>", ["A", "B"]),
+    ("<p>If <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> then.</p>", ["If x=1 then."]),
+    ("<p><a title=Bob's href=x>A</a> b</p><p>it's c</p>", ["A b", "it's c"]),
+    ("<p title = 'a > b'>A</p><p title=\"'>\">B</p><p =\"\">C", ["A", "B", "C"]),
+    ("<script>a <p>no</p>", []),
+])
+def test_blocks_of_elements_left_open(page, want):
+    assert [b.text for b in html_text.blocks(page)] == want
+
+
 def test_labeller_gradients():
     rng = np.random.default_rng(0)
     model = html_text.Labeller(3, 1)
