@@ -71,6 +71,28 @@ def unfold_rows(df: DataFrame) -> DataFrame:
     return df.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
 
 
+def number_rows(rows: DataFrame, keys: Sequence[str], repeated: DataFrame) -> DataFrame:
+    """``keys``, ``row`` and ``copy``, which numbers the rows that are equal in ``keys`` from 0, by a hash of the whole row.
+
+    ``repeated``, already cut, has the keys of more than one row and their number in ``copies``. Rows that are equal as
+    a whole are counted before they are moved, the others of one key dealt to about as many slices as its rows' root.
+    """
+    if repeated.isEmpty():
+        return rows.select(*keys, "row", F.lit(0).cast("long").alias("copy"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"more_{k}"))
+    more = bounded(repeated.select(*(F.col(k).alias(f"more_{k}") for k in keys), F.col("copies").alias("more")))
+    marked = rows.join(more, on, "left")
+    once = marked.filter("more IS NULL").select(*keys, "row", F.lit(0).cast("long").alias("copy"))
+    several = marked.filter("more IS NOT NULL").groupBy(*keys, "more", F.md5(F.to_json("row")).alias("row_id")).agg(
+        F.any_value("row").alias("row"), F.count(F.lit(1)).alias("copies"))
+    dealt = cut(several, "numbered-rows").withColumns(
+        {"key": hash_fraction(F.col("row_id")), "weight": F.col("copies"), "slices": F.ceil(F.sqrt("more"))})
+    numbered = unfold_rows(prefix_sums(dealt, keys, "key", ["row_id"], "weight", "slices"))
+    return once.unionByName(numbered.select(*keys, "row", (F.col("before") + F.col("copy")).alias("copy")))
+
+
 def hash_fraction(*parts: Column) -> Column:
     """A repeatable random number of 60 bits out of the parts (null and empty text differ)."""
     text = F.concat_ws(":", *(F.coalesce(p.cast("string"), F.lit("null")) for p in parts))

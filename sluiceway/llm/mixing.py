@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.llm.common import (
-    TOKEN, bounded, cut, fold_rows, hash_fraction, packed, prefix_sums, text_key, unfold_rows,
+    TOKEN, bounded, cut, fold_rows, hash_fraction, number_rows, packed, prefix_sums, text_key, unfold_rows,
 )
 
 
@@ -46,7 +46,7 @@ def source_targets(sources: DataFrame, weights: Sequence[int], share: float, mos
 
 
 def mix_plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
-             seed: int = 0) -> DataFrame:
+             seed: int = 0, numbered: bool = False) -> DataFrame:
     """How many words the mix takes of each document: doc_id, text_id, size, source, source_size, target, taken.
 
     ``docs`` needs doc_id, source and text; other columns are ignored. One row per row of ``docs``.
@@ -56,6 +56,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float =
       order, to the word. ``taken`` counts repeats. A source's words add up to its target, rounded down.
     * Null and empty text: size 0, nothing taken. Null source: a source of its own. Null doc_id: allowed.
     * Equal rows: each counts; they lie side by side in the order. No source, an empty table: no rows.
+      ``numbered`` adds their number from 0, ``copy``, and how many they are, ``copies``.
     """
     plain = docs.select("doc_id", "source", count_tokens(F.col("text")).alias("size"), text_key(F.col("text")).alias("text_id"))
     folded = cut(fold_rows(plain, ["doc_id", "source", "size", "text_id"]), "mix-documents")
@@ -74,7 +75,8 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float =
     rest = budget - passes * F.col("source_size")
     return unfold_rows(ranked).select(
         "doc_id", "text_id", "size", "source", "source_size", "target",
-        (F.col("size") * passes + F.least(F.greatest(rest - start, F.lit(0)), F.col("size"))).cast("long").alias("taken"))
+        (F.col("size") * passes + F.least(F.greatest(rest - start, F.lit(0)), F.col("size"))).cast("long").alias("taken"),
+        *(["copy", "copies"] if numbered else []))
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
@@ -82,15 +84,17 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
 
     A document of which 2.5 times its size is taken comes out three times, the third time only up to the word where the
     budget ends, with single spaces between words. Documents of which nothing is taken go, so those without words do. All
-    columns are kept; where n_chars is one of them, it follows a text that was cut. Equal rows share evenly what was
-    taken of them, rounded down.
+    columns are kept; where n_chars is one of them, it follows a text that was cut. Rows equal in doc_id, source and
+    text get what the plan takes of each, in the order of a hash of the whole row.
     """
-    shares = mix_plan(docs, **settings).groupBy("doc_id", "source", "text_id", "size").agg(
-        F.floor(F.sum("taken") / F.count(F.lit(1))).alias("taken")).filter("taken > 0")
-    plan = shares.select(F.struct(*(F.col(c).alias(c) for c in ("doc_id", "source", "text_id", "size", "taken"))).alias("plan"))
-    rows = packed(docs)
-    at = (F.col("row.doc_id").eqNullSafe(F.col("plan.doc_id")) & F.col("row.source").eqNullSafe(F.col("plan.source"))
-          & (text_key(F.col("row.text")) == F.col("plan.text_id")))
+    shares = cut(mix_plan(docs, **settings, numbered=True), "mix-plan")
+    keys = ["doc_id", "source", "text_id"]
+    repeated = cut(shares.filter("copies > 1 AND copy = 0").select(*keys, "copies"), "mix-repeated")
+    rows = number_rows(packed(docs).select(F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"),
+                                           text_key(F.col("row.text")).alias("text_id"), "row"), keys, repeated)
+    plan = shares.filter("taken > 0").select(F.struct(*keys, "size", "taken", "copy").alias("plan"))
+    at = (F.col("doc_id").eqNullSafe(F.col("plan.doc_id")) & F.col("source").eqNullSafe(F.col("plan.source"))
+          & (F.col("text_id") == F.col("plan.text_id")) & (F.col("copy") == F.col("plan.copy")))
     passes = F.ceil(F.col("plan.taken") / F.col("plan.size"))
     taken = rows.join(plan, at).withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), passes)))
     left = F.col("plan.taken") - (F.col("pass") - 1) * F.col("plan.size")

@@ -129,6 +129,19 @@ def test_mixing_edge_cases(spark):
     assert mixing.mix_plan(wide.limit(0)).collect() == [] and mixing.mix(wide.limit(0)).collect() == []
 
 
+def test_mixing_gives_each_of_equal_rows_what_the_plan_takes(spark):
+    rows = [(7, "a b c", "en", "rep")] * 40 + [(8, "w", "en", "rep")] * 99 + [(9, "w", "en", "few")] * 3 + [(k, "x y z", "en", "big") for k in range(20)]
+    docs = frame(spark, rows, ("size",)).withColumn("size", F.when(F.rand(1) < 0.5, "x"))
+    settings = {"share": 0.55, "most": 0.9}
+    taken = collections.Counter()
+    for r in mixing.mix_plan(docs, **settings).collect():
+        taken[r.source] += r.taken
+    words = collections.Counter()
+    for r in mixing.mix(docs, **settings).collect():
+        words[r.source] += len(tokens(r.text))
+    assert words == taken and taken["few"] > 0
+
+
 def check_shards(rows, shards=16):
     by = collections.defaultdict(list)
     for r in rows:
