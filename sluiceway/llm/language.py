@@ -91,17 +91,17 @@ def training_texts(docs: DataFrame, rows: int = 200, chars: int = 20_000, longes
     """For each language in ``lang``, text of at most ``chars`` characters out of about ``rows`` documents.
 
     Documents are picked by a hash; those whose crc32(doc_id) leaves ``held_out`` modulo ``fold`` never are, nor those
-    without language or longer than ``longest`` bytes. The languages are counted first, so that what reaches the driver is
+    without language. Of a long document the first ``longest`` characters are fetched. The languages are counted first, so that what reaches the driver is
     bounded per language.
     """
     chance = hash_fraction(F.lit("language"), F.col("doc_id"))
-    usable = docs.filter(F.col("lang").isNotNull() & (F.octet_length("text") <= longest)
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()
                          & ((F.crc32(F.col("doc_id").cast("string")) % fold) != held_out))
     sizes = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return {}
     share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 2 * rows / n))))
-    picked = usable.filter(chance < share[F.col("lang")] * float(FRACTION_END)).select("lang", "text", chance.alias("chance"))
+    picked = usable.filter(chance < share[F.col("lang")] * float(FRACTION_END)).select("lang", F.left("text", F.lit(longest)).alias("text"), chance.alias("chance"))
     found = sorted(picked.collect(), key=lambda r: (r.lang, r.chance, r.text))
     texts = {lang: training_text([r.text for r in found if r.lang == lang][:rows], chars) for lang in sorted(sizes)}
     return {lang: text for lang, text in texts.items() if text.strip()}

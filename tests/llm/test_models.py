@@ -107,6 +107,12 @@ def test_language_edge_cases(spark):
     assert language.training_texts(learned.limit(0)) == {}
 
 
+def test_language_learns_from_long_documents(spark):
+    docs = [(k, "ein haus steht dort", "de") for k in range(30)] + [(k, "una casa azul " * 3000, "es") for k in range(30, 60)]
+    known = language.training_texts(frame(spark, docs))
+    assert " casa " in known["es"] and set(language.training_texts(frame(spark, docs), longest=8)["es"].split()) <= {"una", "casa"}
+
+
 def test_language_query(spark):
     got = LLM_QUERIES["op5_language"](spark, SF_DIR).collect()
     assert len(got) == 200 and all(r.held_out == (crc(r.doc_id) % 3 == 1) and r.lang_pred in ("en", "de", "fr", "es", "und") for r in got)
