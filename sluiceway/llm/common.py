@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluiceway.session import fresh_path
 
@@ -17,8 +18,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Words in the sense of shingles and sizes: what stands between ASCII white space.
 TOKEN = r"[^\x20\x09-\x0D]+"
-#: A table is broadcast only up to so many rows; beyond, the same join runs as a shuffle.
-BROADCAST_ROWS = 500_000
+#: A table is broadcast only up to so many rows and bytes; beyond, the same join runs as a shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,9 +53,20 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a table that has already been cut for broadcast if it is small enough; else leave the join to Spark."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def _bytes(name: str, kind: T.DataType) -> Column:
+    """About what a value takes."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(name), F.lit(0)) + 8
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(name)), F.lit(0)) + 8
+    return F.lit(8)
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a table that has already been cut for broadcast if its rows and bytes are few enough; else leave the join to Spark."""
+    width = sum((_bytes(f"`{f.name}`", f.dataType) for f in df.schema), F.lit(16))
+    count, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if count <= rows and total <= size else df
 
 
 def fold_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import decontamination, embedding_links, html_text, jaccard_join, language, licenses, mixing, sharding, substring_dedup, toxicity
-from sluiceway.llm.common import table
+from sluiceway.llm import chat_format, collocations, decontamination, embedding_links, filter_audit, html_text, jaccard_join, language, licenses, mixing, sharding, substring_dedup, toxicity
+from sluiceway.llm.common import cut, table
 from sluiceway.llm.oracle import LLM_ORACLE  # noqa: F401
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,20 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).drop("text_id")
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    pieces = cut(chat_format.format_chat(given.unionByName(chat_format.probe(spark))), "chat-formatted")
+    return chat_format.read_back(pieces)
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_collocations(table(spark, sf_dir, "documents").select("lang", "text"))
