@@ -3,30 +3,36 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from xxhash import xxh64_intdigest
+
 from sluiceway.llm.common import bounded, cut
 
 #: ASCII to lower case, and what ends a piece to line ends, in one pass over the bytes of a text.
 _BYTES = bytes(10 if c in b".,;:!?\x0a\x0b\x0c\x0d" else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _AFTER = re.compile(rb"[ \t\n]")
-_CODE = 26  # bits of a word's number
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class Mining:
     """Phrases of 2 to ``longest`` words that occur ``least`` times; the first ``top`` of each language.
 
-    A phrase goes where a longer one that holds it has ``percent`` of its occurrences. The other settings bound a task's
-    memory: a container bursts above ``burst`` entries; above ``entries`` entries, whole subtrees are spilled, largest
-    first, until half are left; above ``words`` different words or ``word_bytes`` of them all is. ``block`` bytes of a text are split
-    at a time.
+    A phrase goes where a longer one that holds it has ``percent`` of its occurrences. The other settings bound memory: a
+    container bursts above ``burst`` entries; above ``entries`` entries in a task, whole subtrees are spilled, largest
+    first, until half are left; above ``words`` different words or ``word_bytes`` of them all is. ``block`` bytes of a text
+    are split at a time. ``filter_bits`` is the logarithm of the size of the filter between two passes.
     """
 
     longest: int = 3
@@ -39,58 +45,78 @@ class Mining:
     word_bytes: int = 16 << 20
     slots: int = 1024
     block: int = 1 << 20
+    filter_bits: int = 26
+
+    @property
+    def bits(self) -> int:
+        """Of a word's number: a sequence is one number of 63 bits. A block has fewer than ``block`` words, new ones included."""
+        bits = 63 // self.longest
+        if self.words + self.block // 2 >= 1 << bits:
+            raise ValueError("words and block are too large for phrases of this length")
+        return bits
 
 
 class _Inner(dict):
     """A burst container: subtrees by the next word's number, and under 0 how often the path itself occurs."""
 
 
+def _length(codes: np.ndarray, mining: Mining) -> np.ndarray:
+    """How many words a code stands for."""
+    return sum(((codes >> np.int64(mining.bits * k)) > 0).astype("int64") for k in range(mining.longest))
+
+
+def _dealt(keys: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The values of each key."""
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    edges = np.flatnonzero(np.diff(keys, prepend=-1)).tolist()
+    for at, end in zip(edges, [*edges[1:], len(keys)]):
+        yield int(keys[at]), values[at:end]
+
+
 class BurstTrie:
     """Counts of word sequences: hash containers under a shallow trie of word numbers.
 
-    At the top words share containers (by their number modulo ``slots``), whose keys are whole sequences as one number. A container that
-    grows too large becomes a node with a container per next word, whose keys are what follows that word.
+    At the top words share containers (by their number modulo ``slots``), whose keys are whole sequences as one number. A
+    container that grows too large becomes a node with a container per next word, whose keys are what follows that word.
     """
 
     def __init__(self, mining: Mining) -> None:
-        self.mining, self.slots, self.size = mining, {}, 0
-
-    def add(self, ids: list[int], starts: int) -> None:
-        """Count all sequences of up to ``longest`` words that begin at the first ``starts`` places. Numbers start at 1."""
-        longest, modulo, slots, end = self.mining.longest, self.mining.slots, self.slots, len(ids)
-        for i in range(starts):
-            stop, at = min(i + longest, end), i
-            node = slots.get(ids[i] % modulo)
+        self.mining, self.slots, self.sizes = mining, {}, {}
+
+    def add(self, codes: np.ndarray) -> None:
+        """Count many sequences at once: dealt to the containers by sorting, counted in these one by one."""
+        first = codes >> (_length(codes, self.mining) - 1) * self.mining.bits
+        for slot, some in _dealt(first % self.mining.slots, codes):
+            node = self.slots.get(slot)
             if node is None:
-                node = slots[ids[i] % modulo] = defaultdict(int)
-            while node.__class__ is _Inner:
-                if at > i:
-                    node[0] += 1
-                if at == stop:
-                    break
-                child = node.get(ids[at])
-                if child is None:
-                    child = node[ids[at]] = defaultdict(int)
-                node = child
-                at += 1
-            else:
-                if at > i:
-                    node[0] += 1
-                code = 0
-                for word in ids[at:stop]:
-                    code = code << _CODE | word
-                    node[code] += 1
+                node = self.slots[slot] = Counter()
+            self._into(node, some)
+
+    def _into(self, node: Counter | _Inner, codes: np.ndarray) -> None:
+        if node.__class__ is not _Inner:
+            node.update(codes.tolist())
+            return
+        node[0] += int((codes == 0).sum())
+        codes = codes[codes > 0]
+        shift = (_length(codes, self.mining) - 1) * self.mining.bits
+        first = codes >> shift
+        for word, rest in _dealt(first, codes - (first << shift)):
+            child = node.get(word)
+            if child is None:
+                child = node[word] = Counter()
+            self._into(child, rest)
 
     def _settle(self, node: dict, depth: int) -> tuple[dict, int]:
         """(node or what it has burst to, its entries). Codes of the burst node lose their first word."""
         if node.__class__ is not _Inner:
             if len(node) <= self.mining.burst or depth >= self.mining.longest:
                 return node, len(node)
-            inner = _Inner({0: node.get(0, 0)})
+            inner, bits = _Inner({0: node.get(0, 0)}), self.mining.bits
             for code, n in node.items():
                 if code:
-                    shift = (code.bit_length() - 1) // _CODE * _CODE
-                    inner.setdefault(code >> shift, defaultdict(int))[code & (1 << shift) - 1] += n
+                    shift = (code.bit_length() - 1) // bits * bits
+                    inner.setdefault(code >> shift, Counter())[code & (1 << shift) - 1] += n
             node = inner
         size = 1
         for word, child in node.items():
@@ -106,42 +132,40 @@ class BurstTrie:
             self.slots[slot], self.sizes[slot] = self._settle(node, 0)
         return sum(self.sizes.values())
 
-    def take(self, leave: int) -> Iterator[list[tuple[tuple[int, ...], int]]]:
-        """Spill subtrees, largest first, until at most ``leave`` entries are left; each as one list of (sequence, count)."""
-        left = self.settle()
+    def take(self, leave: int) -> tuple[np.ndarray, np.ndarray]:
+        """Spill subtrees, largest first, until at most ``leave`` entries are left: (sequences, counts)."""
+        left, out = self.settle(), []
         for slot in sorted(self.sizes, key=self.sizes.get, reverse=True):
             if left <= leave:
                 break
             left -= self.sizes[slot]
-            yield list(_sequences(self.slots.pop(slot), ()))
-
-
-def _sequences(node: dict, path: tuple[int, ...]) -> Iterator[tuple[tuple[int, ...], int]]:
-    if node.__class__ is _Inner:
-        if node[0]:
-            yield path, node[0]
-        for word, child in node.items():
-            if word:
-                yield from _sequences(child, (*path, word))
-        return
-    for code, n in node.items():
-        more = []
-        while code:
-            more.append(code & (1 << _CODE) - 1)
-            code >>= _CODE
-        if n:
-            yield path + tuple(reversed(more)), n
+            out += self._flat(self.slots.pop(slot), 0)
+        codes, counts = (np.concatenate([o[k] for o in out]) if out else np.empty(0, "int64") for k in (0, 1))
+        return codes[counts > 0], counts[counts > 0]
+
+    def _flat(self, node: dict, path: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        bits = self.mining.bits
+        if node.__class__ is _Inner:
+            yield np.array([path], "int64"), np.array([node[0]], "int64")
+            for word, child in node.items():
+                if word:
+                    yield from self._flat(child, path << bits | word)
+            return
+        codes, counts = np.fromiter(node.keys(), "int64", len(node)), np.fromiter(node.values(), "int64", len(node))
+        if path:
+            codes = (np.int64(path) << (_length(codes, self.mining) * bits)) | codes
+        yield codes, counts
 
 
 class _Numbers(dict):
-    """Words to numbers from 1, in the order they come."""
+    """Words to numbers from 1, in the order they come; a full stop, which no word holds, ends a piece and has 0."""
 
     def __init__(self) -> None:
-        super().__init__()
+        super().__init__({b".": 0})
         self.bytes = 0
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self) + 1
+        self[word] = number = len(self)
         self.bytes += len(word)
         return number
 
@@ -156,49 +180,104 @@ def _blocks(data: bytes, size: int) -> Iterator[tuple[bytes, bool]]:
         at = end
 
 
+def _fold(hashes: Sequence[np.ndarray], lang: str) -> np.ndarray:
+    """One hash of several words in a row, from the hashes of each."""
+    out = np.full(len(hashes[0]), xxh64_intdigest(lang.encode()), "uint64")
+    for h in hashes:
+        out = (out ^ h) * _MIX
+        out ^= out >> np.uint64(29)
+    return out
+
+
 class _Counter:
-    """Counts of one task over all languages, in bounded memory."""
+    """Counts of one task over all languages, in bounded memory.
 
-    def __init__(self, mining: Mining) -> None:
-        self.mining, self.numbers, self.tries, self.seen, self.fresh = mining, _Numbers(), {}, defaultdict(int), 0
+    ``known`` is the filter over the phrases of ``shortest`` - 1 words that occur often enough; only a sequence both of
+    whose parts of that length may be among them is counted.
+    """
+
+    def __init__(self, mining: Mining, shortest: int, longest: int, known: np.ndarray | None = None) -> None:
+        self.mining, self.shortest, self.longest, self.known = mining, shortest, longest, known
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers, self.tries, self.seen, self.waiting, self.waits = _Numbers(), defaultdict(lambda: BurstTrie(self.mining)), Counter(), defaultdict(list), 0
+        self.hashes, self.hashed = np.zeros(1024, "uint64"), 1
 
     def runs(self, leave: int, forget: bool = False) -> Iterator[pa.RecordBatch]:
         """Spilled subtrees as sorted runs of (lang, phrase, n); with ``forget`` words are numbered anew afterwards."""
-        names = [b"", *self.numbers]
-        share = leave // max(1, len(self.tries))
+        self._insert()
+        names = pa.array(list(self.numbers), pa.binary()).cast(pa.string())
+        order = np.empty(len(names), "int64")
+        order[np.asarray(pc.sort_indices(names))] = np.arange(len(names))
+        bits, share = self.mining.bits, leave // max(1, len(self.tries))
         for lang, trie in self.tries.items():
-            for subtree in trie.take(share):
-                run = sorted((b" ".join([names[w] for w in path]), n) for path, n in subtree)
-                yield _batch([lang] * len(run), [p.decode() for p, _ in run], [n for _, n in run])
+            codes, counts = trie.take(share)
+            length = _length(codes, self.mining)
+            for size in range(self.shortest, self.longest + 1):
+                of = codes[length == size]
+                words = [(of >> np.int64(bits * (size - 1 - k))) & np.int64((1 << bits) - 1) for k in range(size)]
+                sorted_ = np.lexsort([order[w] for w in reversed(words)])
+                for at in range(0, len(of), 50_000):
+                    some = sorted_[at:at + 50_000]
+                    parts = [names.take(pa.array(w[some])) for w in words]
+                    phrase = pc.binary_join_element_wise(*parts, " ") if size > 1 else parts[0]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some)), phrase, pa.array(counts[length == size][some])], schema=_COUNTED)
         if forget:
-            yield _batch(list(self.seen), [""] * len(self.seen), list(self.seen.values()))
-            self.numbers, self.tries, self.seen = _Numbers(), {}, defaultdict(int)
+            if self.shortest == 1:
+                yield pa.RecordBatch.from_arrays([pa.array(list(self.seen), pa.string()), pa.array([""] * len(self.seen), pa.string()),
+                                                  pa.array(list(self.seen.values()), pa.int64())], schema=_COUNTED)
+            self._forget()
 
-    def count(self, lang: str, text: str) -> Iterator[pa.RecordBatch]:
+    def count(self, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
         """Count one text, block by block; hands out runs where memory asks for it."""
         m, pending = self.mining, []
-        for block, last in _blocks(text.encode("utf-8", "surrogatepass").translate(_BYTES), m.block):
-            pieces = block.split(b"\n")
-            for k, piece in enumerate(pieces):
-                words = pending + piece.split()
-                if k < len(pieces) - 1 or last:
-                    starts, pending = len(words), []
-                else:
-                    starts = max(0, len(words) - m.longest + 1)
-                    pending = words[starts:]
-                if starts:
-                    trie = self.tries.get(lang)
-                    if trie is None:
-                        trie = self.tries[lang] = BurstTrie(m)
-                    trie.add([self.numbers[w] for w in words], starts)
-                    self.seen[lang] += starts
-                    self.fresh += starts
-                    if self.fresh * m.longest > m.entries // 8:
-                        yield from self.check()
+        for block, last in _blocks(text.translate(_BYTES), m.block):
+            words = pending + block.replace(b"\n", b" . ").split()
+            ids = np.fromiter(map(self.numbers.__getitem__, words), "int64", len(words))
+            # What begins with the last words of a block is counted with the next one.
+            starts = len(ids) if last else max(0, len(ids) - m.longest + 1)
+            pending = words[starts:]
+            self.seen[lang] += int((ids[:starts] > 0).sum())
+            for size in range(self.shortest, self.longest + 1):
+                places = np.flatnonzero(self._counts(lang, ids, size)[:starts])
+                code = np.zeros(len(places), "int64")
+                for k in range(size):
+                    code = code << np.int64(m.bits) | ids[places + k]
+                if len(code):
+                    self.waiting[lang].append(code)
+                    self.waits += len(code)
+            # Between blocks nothing refers to numbers of words, so they may change.
+            if self.waits > m.entries // 4 or len(self.numbers) >= m.words or self.numbers.bytes > m.word_bytes:
+                yield from self.check()
+
+    def _counts(self, lang: str, ids: np.ndarray, size: int) -> np.ndarray:
+        """Where a sequence of ``size`` words begins that is to be counted: within a piece, and with parts that pass the filter."""
+        n = max(0, len(ids) - size + 1)
+        good = np.ones(n, bool)
+        for k in range(size):
+            good &= ids[k:k + n] > 0
+        if self.known is None or not n:
+            return good
+        fresh = [xxh64_intdigest(word) for word in islice(reversed(self.numbers), len(self.numbers) - self.hashed)]
+        if self.hashed + len(fresh) > len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros(self.hashed + len(fresh), "uint64")])
+        self.hashes[self.hashed:self.hashed + len(fresh)] = fresh[::-1]
+        self.hashed += len(fresh)
+        h = self.hashes[ids]
+        bucket = _fold([h[k:k + n + 1] for k in range(size - 1)], lang) >> np.uint64(64 - self.mining.filter_bits)
+        likely = (self.known[(bucket >> np.uint64(6)).astype("int64")] >> (bucket & np.uint64(63))) & np.uint64(1) == 1
+        return good & likely[:-1] & likely[1:]
+
+    def _insert(self) -> None:
+        for lang, codes in self.waiting.items():
+            self.tries[lang].add(np.concatenate(codes))
+        self.waiting, self.waits = defaultdict(list), 0
 
     def check(self) -> Iterator[pa.RecordBatch]:
-        m, self.fresh = self.mining, 0
-        if len(self.numbers) > m.words or self.numbers.bytes > m.word_bytes or len(self.tries) > 64:
+        m = self.mining
+        self._insert()
+        if len(self.numbers) >= m.words or self.numbers.bytes > m.word_bytes or len(self.tries) > 64:
             yield from self.runs(0, forget=True)
         elif sum(t.settle() for t in self.tries.values()) > m.entries:
             yield from self.runs(m.entries // 2)
@@ -207,30 +286,59 @@ class _Counter:
 _COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
-def _batch(langs: list[str], phrases: list[str], counts: list[int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(counts, pa.int64())], schema=_COUNTED)
+def _filter(phrases: DataFrame, mining: Mining) -> np.ndarray:
+    """A bit per bucket, set where a phrase falls. Of one size whatever the phrases; more of them only let more pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buckets = []
+            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()):
+                hashes = [np.array([xxh64_intdigest(w)], "uint64") for w in phrase.encode().split(b" ")]
+                buckets.append(int(_fold(hashes, lang)[0]) >> (64 - mining.filter_bits))
+            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64())], names=["bucket"])
 
+    buckets = phrases.select("lang", "phrase").mapInArrow(run, "bucket long")
+    words = buckets.groupBy(F.shiftright("bucket", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(bucket & 63 AS INT))")).alias("bits"))
+    out = np.zeros(1 << (mining.filter_bits - 6), "uint64")
+    for row in words.toArrow().to_batches():
+        out[row.column("at").to_numpy()] = row.column("bits").to_numpy().astype("uint64")
+    return out
 
-def phrase_counts(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
-    """(lang, phrase, n): how often each sequence of up to ``longest`` words occurs, if at least ``least`` times; phrase '' counts all words.
 
-    A-Z are taken in lower case; the text is split at ``[.,;:!?]`` and line ends, words stand between spaces and tabs. Each
-    task counts in burst tries and hands out sorted runs. Runs are dealt by the whole path of a phrase, so that even
-    the phrases that begin with one very common pair of words go to many tasks, and are merged there. Null lang is ``und``; null text is empty.
-    """
+def _counted(docs: DataFrame, mining: Mining, shortest: int, longest: int, known: Broadcast | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(mining)
+        counter = _Counter(mining, shortest, longest, None if known is None else known.value)
         for batch in batches:
-            for lang, text in zip(batch.column("lang"), batch.column("text")):
-                yield from counter.count(lang.as_py(), text.as_py())
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+                yield from counter.count(lang, text.as_py())
         yield from counter.runs(0, forget=True)
 
-    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text").filter("text <> ''")
+    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.encode("text", "UTF-8").alias("text")).filter("text <> X''")
     runs = texts.mapInArrow(run, "lang string, phrase string, n long")
     merged = runs.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return merged.filter((F.col("n") >= mining.least) | (F.col("phrase") == ""))
 
 
+def phrase_counts(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
+    """(lang, phrase, n): how often each sequence of up to ``longest`` words occurs, if at least ``least`` times; phrase '' counts all words.
+
+    A-Z are taken in lower case; the text is split at ``[.,;:!?]`` and line ends, words stand between spaces and tabs. Each
+    task counts in burst tries and hands out sorted runs. Runs are dealt by the whole path of a phrase, so that even the
+    phrases that begin with one very common pair of words go to many tasks, and are merged there.
+
+    The first pass counts words and pairs. A longer phrase is frequent only if both its parts that are one word shorter
+    are, so a later pass counts only those that a filter over the frequent parts lets through. The filter has a fixed size; what it
+    lets through wrongly is counted and then dropped, so results are exact. Null lang is ``und``; null text is empty.
+    """
+    counts = cut(_counted(docs, mining, 1, min(2, mining.longest), None), "phrase-counts")
+    for size in range(3, mining.longest + 1):
+        shorter = counts.filter(F.size(F.split("phrase", " ")) == size - 1)
+        known = docs.sparkSession.sparkContext.broadcast(_filter(shorter, mining))
+        longer = cut(_counted(docs, mining, size, size, known), "phrase-counts")
+        counts = counts.unionByName(longer)
+        known.unpersist()
+    return counts
+
+
 def _lookup(rows: DataFrame, counts: DataFrame, phrase: Column, out: str) -> DataFrame:
     """Adds the count of another phrase of the same language; all that is looked up is there."""
     found = counts.select(F.col("lang").alias("f_lang"), F.col("phrase").alias("f_phrase"), F.col("n").alias(out))
@@ -248,7 +356,7 @@ def mine_collocations(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
     A language's best are found slice by slice first, so no task sorts all its phrases. Rows of equal texts count each. Other
     columns are ignored; texts without words and empty tables give no rows.
     """
-    return score_phrases(cut(phrase_counts(docs, mining), "phrase-counts"), mining)
+    return score_phrases(phrase_counts(docs, mining), mining)
 
 
 def score_phrases(counts: DataFrame, mining: Mining = Mining()) -> DataFrame:
