@@ -192,19 +192,37 @@ def _fold(hashes: Sequence[np.ndarray], lang: str) -> np.ndarray:
 class _Counter:
     """Counts of one task over all languages, in bounded memory.
 
-    ``known`` is the filter over the phrases of ``shortest`` - 1 words that occur often enough; only a sequence both of
-    whose parts of that length may be among them is counted.
+    ``known`` is a filter over the phrases of ``known_size`` words that occur often enough; a sequence of that size or
+    one word more is counted only if all its parts of that size may be among them. ``hashed`` counters hand out the hash of a phrase
+    instead of the phrase.
     """
 
-    def __init__(self, mining: Mining, shortest: int, longest: int, known: np.ndarray | None = None) -> None:
-        self.mining, self.shortest, self.longest, self.known = mining, shortest, longest, known
+    def __init__(self, mining: Mining, shortest: int, longest: int, known: np.ndarray | None = None, known_size: int = 0, hashed: bool = False) -> None:
+        self.mining, self.shortest, self.longest, self.known, self.known_size = mining, shortest, longest, known, known_size
+        self.runs = self._hash_runs if hashed else self._phrase_runs
         self._forget()
 
     def _forget(self) -> None:
         self.numbers, self.tries, self.seen, self.waiting, self.waits = _Numbers(), defaultdict(lambda: BurstTrie(self.mining)), Counter(), defaultdict(list), 0
-        self.hashes, self.hashed = np.zeros(1024, "uint64"), 1
+        self.hashes, self.done = np.zeros(1024, "uint64"), 1
 
-    def runs(self, leave: int, forget: bool = False) -> Iterator[pa.RecordBatch]:
+    def _hash_runs(self, leave: int, forget: bool = False) -> Iterator[pa.RecordBatch]:
+        """Spilled subtrees as (h, n), sorted by h."""
+        self._insert()
+        hashes, bits, share = self._hashes(), self.mining.bits, leave // max(1, len(self.tries))
+        for lang, trie in self.tries.items():
+            codes, counts = trie.take(share)
+            size = self.longest
+            words = [hashes[(codes >> np.int64(bits * (size - 1 - k))) & np.int64((1 << bits) - 1)] for k in range(size)]
+            h = _fold(words, lang).view("int64") if len(codes) else codes
+            order = np.argsort(h)
+            for at in range(0, len(h), 100_000):
+                some = order[at:at + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(h[some]), pa.array(counts[some])], names=["h", "n"])
+        if forget:
+            self._forget()
+
+    def _phrase_runs(self, leave: int, forget: bool = False) -> Iterator[pa.RecordBatch]:
         """Spilled subtrees as sorted runs of (lang, phrase, n); with ``forget`` words are numbered anew afterwards."""
         self._insert()
         names = pa.array(list(self.numbers), pa.binary()).cast(pa.string())
@@ -257,17 +275,23 @@ class _Counter:
         good = np.ones(n, bool)
         for k in range(size):
             good &= ids[k:k + n] > 0
-        if self.known is None or not n:
+        if self.known is None or not n or size < self.known_size:
             return good
-        fresh = [xxh64_intdigest(word) for word in islice(reversed(self.numbers), len(self.numbers) - self.hashed)]
-        if self.hashed + len(fresh) > len(self.hashes):
-            self.hashes = np.concatenate([self.hashes, np.zeros(self.hashed + len(fresh), "uint64")])
-        self.hashes[self.hashed:self.hashed + len(fresh)] = fresh[::-1]
-        self.hashed += len(fresh)
-        h = self.hashes[ids]
-        bucket = _fold([h[k:k + n + 1] for k in range(size - 1)], lang) >> np.uint64(64 - self.mining.filter_bits)
+        h, parts = self._hashes()[ids], len(ids) - self.known_size + 1
+        bucket = _fold([h[k:k + parts] for k in range(self.known_size)], lang) >> np.uint64(64 - self.mining.filter_bits)
         likely = (self.known[(bucket >> np.uint64(6)).astype("int64")] >> (bucket & np.uint64(63))) & np.uint64(1) == 1
-        return good & likely[:-1] & likely[1:]
+        for k in range(size - self.known_size + 1):
+            good &= likely[k:k + n]
+        return good
+
+    def _hashes(self) -> np.ndarray:
+        """The hash of each word by its number."""
+        fresh = [xxh64_intdigest(word) for word in islice(reversed(self.numbers), len(self.numbers) - self.done)]
+        if self.done + len(fresh) > len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros(self.done + len(fresh), "uint64")])
+        self.hashes[self.done:self.done + len(fresh)] = fresh[::-1]
+        self.done += len(fresh)
+        return self.hashes
 
     def _insert(self) -> None:
         for lang, codes in self.waiting.items():
@@ -286,36 +310,41 @@ class _Counter:
 _COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
-def _filter(phrases: DataFrame, mining: Mining) -> np.ndarray:
-    """A bit per bucket, set where a phrase falls. Of one size whatever the phrases; more of them only let more pass."""
+def _filter(hashes: DataFrame, mining: Mining) -> Broadcast:
+    """A bit per bucket of hashes, set where one falls. Of one size however many there are; more of them only let more pass."""
+    bucket = F.shiftrightunsigned("h", 64 - mining.filter_bits)
+    words = hashes.select(bucket.alias("bucket")).groupBy(F.shiftright("bucket", 6).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(bucket & 63 AS INT))")).alias("bits"))
+    out = np.zeros(1 << (mining.filter_bits - 6), "uint64")
+    for row in words.toArrow().to_batches():
+        out[row.column("at").to_numpy()] = row.column("bits").to_numpy().astype("uint64")
+    return hashes.sparkSession.sparkContext.broadcast(out)
+
+
+def _phrase_hashes(phrases: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buckets = []
+            out = []
             for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()):
-                hashes = [np.array([xxh64_intdigest(w)], "uint64") for w in phrase.encode().split(b" ")]
-                buckets.append(int(_fold(hashes, lang)[0]) >> (64 - mining.filter_bits))
-            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64())], names=["bucket"])
+                out.append(_fold([np.array([xxh64_intdigest(w)], "uint64") for w in phrase.encode().split(b" ")], lang).view("int64")[0])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["h"])
 
-    buckets = phrases.select("lang", "phrase").mapInArrow(run, "bucket long")
-    words = buckets.groupBy(F.shiftright("bucket", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(bucket & 63 AS INT))")).alias("bits"))
-    out = np.zeros(1 << (mining.filter_bits - 6), "uint64")
-    for row in words.toArrow().to_batches():
-        out[row.column("at").to_numpy()] = row.column("bits").to_numpy().astype("uint64")
-    return out
+    return phrases.select("lang", "phrase").mapInArrow(run, "h long")
 
 
-def _counted(docs: DataFrame, mining: Mining, shortest: int, longest: int, known: Broadcast | None) -> DataFrame:
+def _count(docs: DataFrame, schema: str, mining: Mining, shortest: int, longest: int, known: Broadcast | None = None, **settings) -> DataFrame:
+    """What the tasks' counters hand out, merged and cut to what occurs often enough (and phrase '')."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(mining, shortest, longest, None if known is None else known.value)
+        counter = _Counter(mining, shortest, longest, None if known is None else known.value, **settings)
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
                 yield from counter.count(lang, text.as_py())
         yield from counter.runs(0, forget=True)
 
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.encode("text", "UTF-8").alias("text")).filter("text <> X''")
-    runs = texts.mapInArrow(run, "lang string, phrase string, n long")
-    merged = runs.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return merged.filter((F.col("n") >= mining.least) | (F.col("phrase") == ""))
+    runs = texts.mapInArrow(run, schema)
+    keys = [c for c in runs.columns if c != "n"]
+    return runs.repartition(*keys).groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
 def phrase_counts(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
@@ -325,15 +354,18 @@ def phrase_counts(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
     task counts in burst tries and hands out sorted runs. Runs are dealt by the whole path of a phrase, so that even the
     phrases that begin with one very common pair of words go to many tasks, and are merged there.
 
-    The first pass counts words and pairs. A longer phrase is frequent only if both its parts that are one word shorter
-    are, so a later pass counts only those that a filter over the frequent parts lets through. The filter has a fixed size; what it
-    lets through wrongly is counted and then dropped, so results are exact. Null lang is ``und``; null text is empty.
+    A phrase is frequent only if all its parts are. So a first pass counts the pairs of words, by their hashes; what it finds makes a
+    filter of a fixed size. The second pass counts words, and those pairs and triples all of whose pairs pass; a pass per
+    further word follows in the same way. What a filter lets through wrongly is counted and then dropped: results are
+    exact. Null lang is ``und``; null text is empty.
     """
-    counts = cut(_counted(docs, mining, 1, min(2, mining.longest), None), "phrase-counts")
-    for size in range(3, mining.longest + 1):
-        shorter = counts.filter(F.size(F.split("phrase", " ")) == size - 1)
-        known = docs.sparkSession.sparkContext.broadcast(_filter(shorter, mining))
-        longer = cut(_counted(docs, mining, size, size, known), "phrase-counts")
+    phrase, enough = "lang string, phrase string, n long", F.col("n") >= mining.least
+    known = _filter(_count(docs, "h long, n long", mining, 2, 2, hashed=True).filter(enough), mining)
+    counts = cut(_count(docs, phrase, mining, 1, min(3, mining.longest), known, known_size=2).filter(enough | (F.col("phrase") == "")), "phrase-counts")
+    known.unpersist()
+    for size in range(4, mining.longest + 1):
+        known = _filter(_phrase_hashes(counts.filter(F.size(F.split("phrase", " ")) == size - 1)), mining)
+        longer = cut(_count(docs, phrase, mining, size, size, known, known_size=size - 1).filter(enough), "phrase-counts")
         counts = counts.unionByName(longer)
         known.unpersist()
     return counts
