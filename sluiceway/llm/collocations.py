@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from xxhash import xxh64_intdigest
 
-from sluiceway.llm.common import bounded, cut
+from sluiceway.llm.common import bounded, cut, hash_filter, may_hold
 
 #: ASCII to lower case, and what ends a piece to line ends, in one pass over the bytes of a text.
 _BYTES = bytes(10 if c in b".,;:!?\x0a\x0b\x0c\x0d" else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -278,8 +278,7 @@ class _Counter:
         if self.known is None or not n or size < self.known_size:
             return good
         h, parts = self._hashes()[ids], len(ids) - self.known_size + 1
-        bucket = _fold([h[k:k + parts] for k in range(self.known_size)], lang) >> np.uint64(64 - self.mining.filter_bits)
-        likely = (self.known[(bucket >> np.uint64(6)).astype("int64")] >> (bucket & np.uint64(63))) & np.uint64(1) == 1
+        likely = may_hold(self.known, _fold([h[k:k + parts] for k in range(self.known_size)], lang))
         for k in range(size - self.known_size + 1):
             good &= likely[k:k + n]
         return good
@@ -310,17 +309,6 @@ class _Counter:
 _COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
-def _filter(hashes: DataFrame, mining: Mining) -> Broadcast:
-    """A bit per bucket of hashes, set where one falls. Of one size however many there are; more of them only let more pass."""
-    bucket = F.shiftrightunsigned("h", 64 - mining.filter_bits)
-    words = hashes.select(bucket.alias("bucket")).groupBy(F.shiftright("bucket", 6).alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(bucket & 63 AS INT))")).alias("bits"))
-    out = np.zeros(1 << (mining.filter_bits - 6), "uint64")
-    for row in words.toArrow().to_batches():
-        out[row.column("at").to_numpy()] = row.column("bits").to_numpy().astype("uint64")
-    return hashes.sparkSession.sparkContext.broadcast(out)
-
-
 def _phrase_hashes(phrases: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -360,11 +348,11 @@ def phrase_counts(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
     exact. Null lang is ``und``; null text is empty.
     """
     phrase, enough = "lang string, phrase string, n long", F.col("n") >= mining.least
-    known = _filter(_count(docs, "h long, n long", mining, 2, 2, hashed=True).filter(enough), mining)
+    known = hash_filter(_count(docs, "h long, n long", mining, 2, 2, hashed=True).filter(enough), mining.filter_bits)
     counts = cut(_count(docs, phrase, mining, 1, min(3, mining.longest), known, known_size=2).filter(enough | (F.col("phrase") == "")), "phrase-counts")
     known.unpersist()
     for size in range(4, mining.longest + 1):
-        known = _filter(_phrase_hashes(counts.filter(F.size(F.split("phrase", " ")) == size - 1)), mining)
+        known = hash_filter(_phrase_hashes(counts.filter(F.size(F.split("phrase", " ")) == size - 1)), mining.filter_bits)
         longer = cut(_count(docs, phrase, mining, size, size, known, known_size=size - 1).filter(enough), "phrase-counts")
         counts = counts.unionByName(longer)
         known.unpersist()

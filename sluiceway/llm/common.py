@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,7 +52,36 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: its lineage ends there, and a lost executor costs nothing."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def drop_cut(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` has written, once all that was made of them is written itself."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def hash_filter(hashes: DataFrame, bits: int) -> Broadcast:
+    """A bit for each of ``2 ** bits`` buckets of the 64-bit column ``h``, set where one falls, for ``may_hold``.
+
+    Its size does not depend on the number of hashes; more of them only let more pass.
+    """
+    bucket = F.shiftrightunsigned("h", 64 - bits)
+    words = hashes.select(bucket.alias("bucket")).groupBy(F.shiftright("bucket", 6).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(bucket & 63 AS INT))")).alias("bits"))
+    out = np.zeros(1 << (bits - 6), "uint64")
+    for batch in words.toArrow().to_batches():
+        out[batch.column("at").to_numpy()] = batch.column("bits").to_numpy().astype("uint64")
+    return hashes.sparkSession.sparkContext.broadcast(out)
+
+
+def may_hold(known: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """False only for hashes that are not in the filter."""
+    bucket = h.view("uint64") >> np.uint64(59 - len(known).bit_length())
+    return (known[(bucket >> np.uint64(6)).astype("int64")] >> (bucket & np.uint64(63))) & np.uint64(1) == 1
 
 
 def _bytes(name: str, kind: T.DataType) -> Column:

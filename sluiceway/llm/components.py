@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import cut
+from sluiceway.llm.common import cut, drop_cut
 
 
 def _sum(df: DataFrame) -> tuple:
@@ -18,12 +18,13 @@ def connected_components(links: DataFrame, label: str = "components") -> DataFra
     Alternating large and small stars (Kiveris et al., 2014): each round hangs neighbours onto the smallest node nearby,
     until only stars are left, in a number of rounds logarithmic in the number of nodes. Each round is joins and
     aggregates on single nodes; a node with very many neighbours is never gathered in one place, and Spark can split its
-    join. Rounds are written out, so none is ever computed again. Loops and repeated links are fine; without links
+    join. Rounds are written out, so none is ever computed again, and
+    deleted when the next one is written. Loops and repeated links are fine; without links
     there are no rows.
     """
     plain = links.select("a", "b").filter("a <> b")
     edges = cut(plain.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
-    before = _sum(edges)
+    before, start = _sum(edges), edges
     while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # Written out, so that what is left is a plain join of two shuffles, which Spark can split where a node is hot.
@@ -33,7 +34,8 @@ def connected_components(links: DataFrame, label: str = "components") -> DataFra
         lower = cut(large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m"), label)
         hung = large.join(lower, F.col("a") == F.col("k")).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = cut(lower.select(F.col("k").alias("a"), F.col("m").alias("b")).unionByName(hung).distinct(), label)
-        now = _sum(edges)
+        drop_cut(start, least, large, lower)
+        now, start = _sum(edges), edges
         if now == before:
             break
         before = now

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import TOKEN, ascii_lower, bounded, cut, packed, text_key
+from sluiceway.llm.common import TOKEN, ascii_lower, bounded, cut, drop_cut, packed, text_key
 from sluiceway.llm.components import connected_components
 
 
@@ -143,7 +143,7 @@ def _in_blocks(buckets: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
 def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; others are ignored): doc_id, text_id, n_shingles, component_id.
 
-    1. Documents with equal sets are one class, named by its smallest doc_id.
+    1. Documents with equal sets are one class.
     2. A prefix is the smallest hashes of a set, some more than a similar document could all lack. Classes with equal
        prefix and size are a group, which the first steps treat as one.
     3. Of each prefix the rarest tokens are chosen, as many as a similar document cannot all lack. Two similar documents
@@ -156,23 +156,26 @@ def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
     No pair is lost: steps 2 and 3 hold for each similar pair whatever is chosen, and step 5 leaves out none that could
     join two components. Null doc_id: the row has its class's component (null if no other row of the class has an id). Null
-    or wordless text: size 0, component is doc_id. Repeated rows: each its row, the same result.
+    or wordless text: size 0, component is doc_id. Repeated rows: each its row, the same result. Texts that share a doc_id
+    link each on its own.
     """
     prefix = F.slice("set", 1, _prefix_size(F.col("size"), join))
     known = cut(with_shingles(docs, join).withColumn("prefix", prefix).withColumn("g", F.xxhash64("prefix", "size")).drop("set"), "join-documents")
     # From here to the tokens only ids and hashes are moved; prefixes are long.
-    classes = known.filter("size > 0").groupBy("size", "k1", "k2").agg(F.min("doc_id").cast("long").alias("cls"), F.min("g").alias("g"))
-    classes = cut(classes.filter("cls IS NOT NULL"), "join-classes")
+    classes = known.filter("size > 0").groupBy("size", "k1", "k2").agg(F.min("doc_id").cast("long").alias("first_id"), F.min("g").alias("g"))
+    # Named by a number of their own: one doc_id may stand for several texts. The table is written, so the numbers stay.
+    classes = cut(classes.filter("first_id IS NOT NULL").withColumn("cls", F.monotonically_increasing_id()), "join-classes")
     leaders = classes.groupBy("g", "size").agg(F.min("cls").alias("group"), F.count(F.lit(1)).alias("members"))
-    grouped = cut(classes.join(leaders, ["g", "size"]).select("cls", "size", "k1", "k2", "group", "members"), "join-groups")
+    grouped = cut(classes.join(leaders, ["g", "size"]).select("cls", "first_id", "size", "k1", "k2", "group", "members"), "join-groups")
+    drop_cut(classes)
     inside = grouped.filter("members > 1")
 
     row = ["doc_id", "k1", "k2"]
-    leading = known.join(grouped.filter("cls = group").select(F.col("cls").alias("group"), "k1", "k2"), ["k1", "k2"]).filter(
-        "doc_id = group").select(*row, "prefix")
+    leading = known.join(grouped.filter("cls = group").select("group", "first_id", "k1", "k2"), ["k1", "k2"]).filter(
+        "doc_id = first_id").select(*row, "group", "prefix")
     again = cut(known.groupBy(*row).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(*row), "join-repeated")
     once = leading.join(bounded(again), row, "left_anti").unionByName(leading.join(bounded(again), row, "left_semi").dropDuplicates(row))
-    tokens = once.select(F.col("doc_id").cast("long").alias("group"), F.explode_outer("prefix").alias("token"))
+    tokens = once.select("group", F.explode_outer("prefix").alias("token"))
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select(F.col("token").alias("t"), "df")
     shared = cut(tokens.join(often, F.col("token") == F.col("t")).drop("t"), "join-tokens")
     sized = shared.join(grouped.filter("cls = group").select("group", "size"), "group")
@@ -187,16 +190,17 @@ def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     useful = entries.groupBy("token", "band").agg(F.count(F.lit(1)).alias("rows"), F.max("chosen").alias("c"), F.max("home").alias("h")).filter(
         "rows > 1 AND c AND h").select("token", "band")
     buckets = cut(entries.join(useful, ["token", "band"]), "join-buckets")
+    drop_cut(shared, entries, again)
 
     # The whole sets of those that may be compared; worked out again from their texts rather than kept for all. They are
     # written before they are tested: Spark would take the test for a join key, and work the sets out for all documents.
     wanted = buckets.select(F.col("group").alias("cls")).union(inside.select("cls")).distinct()
-    wanted = cut(wanted.join(grouped.select("cls", F.col("k1").alias("w1"), F.col("k2").alias("w2")), "cls"), "join-wanted")
-    texts = docs.select("doc_id", "text").join(bounded(wanted), F.col("doc_id") == F.col("cls"))
+    wanted = cut(wanted.join(grouped.select("cls", "first_id", F.col("k1").alias("w1"), F.col("k2").alias("w2")), "cls"), "join-wanted")
+    texts = docs.select("doc_id", "text").join(bounded(wanted), F.col("doc_id") == F.col("first_id"))
     sets = cut(texts.select("cls", "w1", "w2", shingles(F.col("text"), join.n).alias("set")), "join-sets").filter(
         (F.xxhash64("set") == F.col("w1")) & (F.xxhash64(F.lit(1), "set") == F.col("w2"))).select("cls", "set")
     if not sets.groupBy("cls").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").isEmpty():
-        sets = cut(sets.dropDuplicates(["cls"]), "join-sets")  # rows with equal doc_id and text
+        sets = cut(sets.dropDuplicates(["cls"]), "join-sets")  # rows of equal doc_id and set
 
     of_bucket = buckets.withColumnRenamed("group", "cls")
     to_try = inside.filter("cls <> group").select(F.col("cls").alias("a"), F.col("group").alias("b"))
@@ -230,8 +234,10 @@ def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     by_block = _in_blocks(cut(left.filter(F.col("rows") > join.pairs).select("token", "band", "cls"), "join-large"), sets, join)
     component = connected_components(cut(links.unionByName(by_pair).unionByName(by_block), "join-links"), "join-components")
 
-    of_class = _with_component(grouped.select("cls", "size", "k1", "k2"), component).select(
-        F.struct("size", "k1", "k2").alias("is"), "component")
+    smallest = component.join(grouped.select("cls", "first_id"), F.col("node") == F.col("cls")).groupBy("component").agg(F.min("first_id").alias("least"))
+    least = component.join(smallest, "component").select("node", "least")
+    of_class = grouped.join(least, F.col("cls") == F.col("node"), "left").select(
+        F.struct("size", "k1", "k2").alias("is"), F.coalesce("least", "first_id").alias("component"))
     named = known.join(of_class, F.struct("size", "k1", "k2") == F.col("is"), "left")
     own = F.when(F.col("size") == 0, F.col("doc_id").cast("long")).otherwise(F.col("component"))
     return named.select("doc_id", "text_id", F.col("size").alias("n_shingles"), own.alias("component_id"))
@@ -246,7 +252,7 @@ def _with_component(rows: DataFrame, component: DataFrame) -> DataFrame:
 def one_per_component(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """``docs`` with one row of each component, the one that names it; its columns and those rows unchanged.
 
-    Of rows with equal doc_id and text one stays. Rows without doc_id stay where no row with one has their shingles.
+    Of rows with equal doc_id and text one stays; other texts under the naming doc_id stay too. Rows without doc_id stay where no row with one has their shingles.
     """
     found = jaccard_components(docs, join)
     names = found.filter("doc_id = component_id OR (doc_id IS NULL AND component_id IS NULL)")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.llm.common import bounded, cut, fold_rows, hash_fraction, packed, prefix_sums, text_key, unfold_rows
+from sluiceway.llm.common import bounded, cut, fold_rows, hash_fraction, number_rows, packed, prefix_sums, text_key, unfold_rows
 
 
 def hilbert_steps(axes: Sequence[str], bits: int, to: str) -> list[dict[str, str]]:
@@ -91,6 +91,11 @@ def grid_cells(df: DataFrame, dimensions: Sequence[str], bits: int) -> DataFrame
 
 def hilbert_shards(docs: DataFrame, dimensions: Sequence[str] = ("source", "lang", "size"), shards: int = 16,
                    bits: int = 5) -> DataFrame:
+    """One row per row of ``docs`` with its shard and slot, as ``_dealt`` says."""
+    return _dealt(docs, dimensions, shards, bits).drop("copy", "copies")
+
+
+def _dealt(docs: DataFrame, dimensions: Sequence[str] = ("source", "lang", "size"), shards: int = 16, bits: int = 5) -> DataFrame:
     """One row per row of ``docs`` with its shard and slot; other columns than doc_id, text and dimensions are ignored.
 
     Dimensions are quantised, the cells ordered along a Hilbert curve, and the curve is cut into ``shards`` runs of
@@ -112,8 +117,9 @@ def hilbert_shards(docs: DataFrame, dimensions: Sequence[str] = ("source", "lang
     axes = [f"axis{i}" for i in range(len(dimensions))]
     placed = grid_cells(folded, dimensions, bits)
     # One row per cell in use, at most 2 ** (bits * dimensions): the curve is worked out for cells, not for rows.
-    cells = apply_steps(placed.groupBy(*axes).agg(F.sum("copies").alias("cell_rows"))
-                        .withColumns({f"at_{a}": F.col(a) for a in axes}), hilbert_steps(axes, bits, "curve"))
+    # They are written first: axes of one value only are constants, which the optimizer would fold through all the steps.
+    used = cut(placed.groupBy(*axes).agg(F.sum("copies").alias("cell_rows")), "shard-cells")
+    cells = apply_steps(used.withColumns({f"at_{a}": F.col(a) for a in axes}), hilbert_steps(axes, bits, "curve"))
     so_far = Window.orderBy("curve").rowsBetween(Window.unboundedPreceding, -1)
     starts = cut(cells.select(*(f"at_{a}" for a in axes), "curve", F.ceil(F.sqrt("cell_rows")).alias("slices"),
                               F.coalesce(F.sum("cell_rows").over(so_far), F.lit(0)).alias("cell_start"),
@@ -128,27 +134,32 @@ def hilbert_shards(docs: DataFrame, dimensions: Sequence[str] = ("source", "lang
     shard = rank.withColumn("shard", F.expr(f"CAST(rank * {shards} DIV total AS INT)"))
     first = F.expr(f"(CAST(shard AS BIGINT) * total + {shards - 1}) DIV {shards}")
     return shard.select("doc_id", "size", "text_id", "text_crc32", *(d for d in dimensions if d not in ("doc_id", "size")), F.lit("rows").alias("law"), "shard",
-                        (F.col("rank") - first).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+                        (F.col("rank") - first).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "copy", "copies")
 
 
 def shard_rows(docs: DataFrame, dimensions: Sequence[str] = ("source", "lang", "size"), **settings) -> DataFrame:
     """``docs`` with ``shard`` and ``slot`` (columns of these names are replaced), as ``hilbert_shards`` deals them.
 
-    Rows that are equal in doc_id, text and dimensions count as repeats of one row; what else differs among them is
-    taken from any of them.
+    Each row stays as it is. Rows that are equal in doc_id, text and dimensions are numbered by a hash of the whole row and get
+    the plan's places in that order. Null doc_id, text and dimensions are values of their own; an empty table gives none.
     """
     own = [d for d in dimensions if d not in ("doc_id", "size")]
     keys = ["doc_id", "text_id", *own]
-    plan = hilbert_shards(docs, dimensions, **settings).select(F.struct(*keys).alias("plan"), "shard", "slot")
-    rows = packed(docs.drop("shard", "slot")).withColumns(
-        {f"k_{c}": F.col("row")[c] for c in ("doc_id", *own)} | {"k_text_id": text_key(F.col("row.text"))}).dropDuplicates([f"k_{c}" for c in keys])
-    at = F.lit(True)
+    plan = cut(_dealt(docs, dimensions, **settings).select(*keys, "copy", "copies", "shard", "slot"), "shard-plan")
+    rows = packed(docs.drop("shard", "slot"))
+    keyed = rows.select(*(F.col("row")[c].alias(c) for c in ("doc_id", *own)), text_key(F.col("row.text")).alias("text_id"), "row")
+    numbered = number_rows(keyed, keys, cut(plan.filter("copies > 1 AND copy = 0").select(*keys, "copies"), "shard-repeated"))
+    places = plan.select(F.struct(*keys, "copy").alias("plan"), "shard", "slot")
+    at = F.col("copy") == F.col("plan.copy")
     for key in keys:
-        at = at & F.col(f"k_{key}").eqNullSafe(F.col("plan")[key])
-    return rows.join(plan, at).select("row.*", "shard", "slot")
+        at = at & F.col(key).eqNullSafe(F.col("plan")[key])
+    return numbered.join(places, at).select("row.*", "shard", "slot")
 
 
 def write_shards(docs: DataFrame, path: str, **settings) -> None:
-    """One folder per shard, its rows in curve order, so that readers can skip files and row groups by their statistics."""
+    """One folder per shard, its rows in curve order, so that readers can skip files and row groups by their statistics.
+
+    Rows as in ``shard_rows``; an empty table gives an empty folder.
+    """
     placed = shard_rows(docs, **settings)
     placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -10,10 +10,11 @@ from hashlib import md5
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import bounded, cut, packed, text_key
+from sluiceway.llm.common import bounded, cut, drop_cut, hash_filter, may_hold, packed, text_key
 
 #: Units follow each other without a gap, so that their lengths give their offsets. A sentence ends a unit, a line too.
 UNITS = {"line": r"[^\n]*\n+|[^\n]+", "sentence": r"[^.!?\n]*[.!?\n]+[ \t]*|[^.!?\n]+"}
@@ -90,25 +91,42 @@ def _digests(docs: DataFrame, unit: str, least_words: int) -> DataFrame:
     return texts.mapInArrow(run, f"doc_id {kind}, text_no long, {_DIGESTED}")
 
 
-def repeated_units(docs: DataFrame, unit: str = "sentence", least_words: int = 5) -> DataFrame:
+def _may_repeat(units: DataFrame, known: Broadcast) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(known.value, batch.column("d1").to_numpy())))
+
+    return units.mapInArrow(run, units.schema)
+
+
+def repeated_units(docs: DataFrame, unit: str = "sentence", least_words: int = 5, filter_bits: int = 28) -> DataFrame:
     """(doc_id, text_no, removed): the numbers of the units of each document that stood somewhere before.
 
     Digests of 128 bits of all runs (``runs_of``) are grouped over the whole table; the earliest occurrence is kept, by
-    doc_id, then text, then place, and of a later one that overlaps it only what lies behind it goes. Counts and minima
-    are combined before the shuffle, and only digests that repeat are joined back. Equal rows (doc_id and text) count as
-    one document. Null doc_id comes first.
+    doc_id, then text, then place, and of a later one that overlaps it only what lies behind it goes. Equal rows (doc_id
+    and text) count as one document. Null doc_id comes first.
+
+    First only one half of each digest is counted. What occurs more than once makes a filter of ``2 ** filter_bits`` bits, and
+    only units that pass it are moved with their places; what passes wrongly is compared like the rest, by the whole digest. Counts and
+    minima are combined before the shuffle.
     """
     # Written once and read twice: working units out costs more than their digests take.
     units = cut(_digests(docs, unit, least_words), "dedup-units")
-    place = F.struct("doc_id", "text_no", "pos", "last")
-    seen = units.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("end"))
-    repeats = cut(seen.filter("first <> end").select(F.col("d1").alias("r1"), F.col("d2").alias("r2"), "first"), "dedup-repeats")
+    twice = units.groupBy(F.col("d1").alias("h")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    known = hash_filter(twice, filter_bits)
+    likely = cut(_may_repeat(units, known), "dedup-likely")
+    known.unpersist()
+    drop_cut(units)
+    seen = likely.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "text_no", "pos", "last")).alias("first"), F.count(F.lit(1)).alias("n"))
+    repeats = cut(seen.filter("n > 1").select(F.col("d1").alias("r1"), F.col("d2").alias("r2"), "first"), "dedup-repeats")
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_no") == F.col("first.text_no"))
+    # The first occurrence itself, which equal rows repeat, is left by this with nothing to remove.
     start = F.when(same, F.greatest("pos", F.col("first.last") + 1)).otherwise(F.col("pos"))
-    later = units.join(bounded(repeats), (F.col("d1") == F.col("r1")) & (F.col("d2") == F.col("r2"))).withColumn(
-        "start", start).filter("start <= last")
+    later = likely.join(repeats, (F.col("d1") == F.col("r1")) & (F.col("d2") == F.col("r2"))).withColumn("start", start).filter("start <= last")
     gone = F.transform(F.collect_set(F.struct("start", "last")), lambda r: F.sequence(r["start"], r["last"]))
-    return later.groupBy("doc_id", "text_no").agg(F.array_sort(F.array_distinct(F.flatten(gone))).alias("removed"))
+    found = cut(later.groupBy("doc_id", "text_no").agg(F.array_sort(F.array_distinct(F.flatten(gone))).alias("removed")), "dedup-removed")
+    drop_cut(likely, repeats)
+    return found
 
 
 def cut_units(text: str, removed: list[int], unit: str, least_words: int) -> tuple[str, list[dict[str, int]]]:
@@ -145,7 +163,7 @@ def dedup_substrings(docs: DataFrame, unit: str = "sentence", least_words: int =
     def clean(texts: pd.Series, removed: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([cut_units(t, list(r), unit, least_words) for t, r in zip(texts, removed)], columns=["text", "removed"])
 
-    found = cut(repeated_units(docs, unit, least_words), "dedup-removed").select(F.struct("doc_id", "text_no", "removed").alias("found"))
+    found = repeated_units(docs, unit, least_words).select(F.struct("doc_id", "text_no", "removed").alias("found"))
     rows, text = packed(docs.drop("removed")), F.col("row.text")
     here = F.col("row.doc_id").eqNullSafe(F.col("found.doc_id")) & (F.xxhash64(text_key(text)) == F.col("found.text_no"))
     joined = rows.join(bounded(found), here, "left")

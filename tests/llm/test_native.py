@@ -185,7 +185,15 @@ def test_sharding_edge_cases(spark):
     assert {r.text_crc32 for r in got if r["size"] == 1} == {None, 0}
     full = sharding.shard_rows(wide).collect()
     assert collections.Counter((r.doc_id, r.text) for r in full) == collections.Counter(r[:2] for r in rows)
-    assert sharding.hilbert_shards(wide.limit(0)).collect() == []
+    assert sharding.hilbert_shards(wide.limit(0)).collect() == [] and sharding.shard_rows(wide.limit(0)).collect() == []
+
+
+def test_sharding_keeps_what_differs_in_other_columns(spark):
+    docs = frame(spark, [(1, "same", "en", "s")] * 40 + [(2, "other", "en", "s")]).withColumn("extra", F.monotonically_increasing_id().cast("string"))
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    got = sharding.shard_rows(docs).collect()
+    assert sorted(r.extra for r in got) == sorted(r.extra for r in docs.collect())
+    check_shards(got)
 
 
 def test_sharding_prunes(spark):

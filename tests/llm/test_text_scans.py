@@ -11,22 +11,45 @@ from sluiceway.llm.queries import LLM_QUERIES
 SF_DIR = "/root/testdata/sf0.001"
 
 
-def normal(unit):
-    return re.sub(r"[\s!-/:-@\[-`{-~]+", " ", unit.lower()).strip()
+def words_of(text):
+    return re.findall(r"[^\s!-/:-@\[-`{-~\x00-\x1f\x7f]+", text.lower())
+
+
+def compared(pieces, least):
+    """All runs of pieces that the rule compares: whole lines, long pieces, and the shortest long run from or to a short piece."""
+    worded = [k for k, p in enumerate(pieces) if words_of(p)]
+    count = {k: len(words_of(pieces[k])) for k in worded}
+    line, lines = 0, {}
+    for k, piece in enumerate(pieces):
+        if k in count:
+            lines.setdefault(line, []).append(k)
+        line += "\n" in piece
+    runs = {(ks[0], ks[-1]) for ks in lines.values()}
+    for n in range(len(worded)):
+        for step in (1, -1):
+            have, m = 0, n
+            while 0 <= m < len(worded) and have < least:
+                have += count[worded[m]]
+                m += step
+            if have >= least:
+                runs.add((worded[min(n, m - step)], worded[max(n, m - step)]))
+    return runs
 
 
 def brute_dedup(docs, unit="sentence", least=5):
-    seen, out = {}, {}
-    for doc, text in sorted(set(docs), key=lambda d: (d[0] is not None, d[0] or 0)):
-        pieces = re.findall(substring_dedup.UNITS[unit], text or "")
-        assert "".join(pieces) == (text or "")
-        gone = []
-        for k, piece in enumerate(pieces):
-            words = normal(piece)
-            if len(words.split(" ")) >= least and seen.setdefault(words, (doc, k)) != (doc, k):
-                gone.append(k)
-        out[doc] = substring_dedup.cut_units(text, gone, unit, least) if gone else (text, [])
-    return out
+    """Runs in the order of documents and places: of equal ones the first stays, whatever is behind it in the later ones goes."""
+    rows, found = sorted(set(docs), key=lambda d: (d[0] is not None, d[0] or 0)), {}
+    split = {doc: re.findall(substring_dedup.UNITS[unit], text or "") for doc, text in rows}
+    for doc, text in rows:
+        assert "".join(split[doc]) == (text or "")
+        for first, last in sorted(compared(split[doc], least)):
+            found.setdefault(" ".join(words_of("".join(split[doc][first:last + 1]))), []).append((doc, first, last))
+    gone = {}
+    for places in found.values():
+        for doc, first, last in places[1:]:
+            start = max(first, places[0][2] + 1) if doc == places[0][0] else first
+            gone.setdefault(doc, set()).update(range(start, last + 1))
+    return {doc: substring_dedup.cut_units(text, sorted(gone[doc]), unit, least) if gone.get(doc) else (text, []) for doc, text in rows}
 
 
 def test_dedup_query_equals_brute_force(spark):
