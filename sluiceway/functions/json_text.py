@@ -53,13 +53,14 @@ def flag_anomalies(df: DataFrame, value: str = "value", out: str = "bad", probe:
 
     NULL text (a tombstone message) is an anomaly, blank text is not.
     """
-    doc = F.col("__doc")
-    broken = doc.isNull() & F.coalesce(~F.col(value).rlike(_BLANK), F.lit(True))
-    return (
-        with_variant(df, value, "__doc")
-        .withColumn(out, is_null_field(doc, probe) | broken)
-        .drop("__doc")
-    )
+    flag = flag_document(F.col("__doc"), F.col(value), probe)
+    return with_variant(df, value, "__doc").withColumn(out, flag).drop("__doc")
+
+
+def flag_document(doc: Column, value: Column, probe: str = "tax_amount") -> Column:
+    """The same flag from a document that has been parsed already."""
+    broken = doc.isNull() & F.coalesce(~value.rlike(_BLANK), F.lit(True))
+    return is_null_field(doc, probe) | broken
 
 
 def as_object(doc: Column) -> Column:
@@ -84,8 +85,13 @@ def annotate(value: Column, rate: Column, reason: Column | str = DIVERTED_REASON
     Existing keys of the same name are replaced. Keys come out sorted and numbers in Spark's notation,
     so compare annotated text by value.
     """
+    return annotate_document(F.try_parse_json(value), value, rate, reason)
+
+
+def annotate_document(doc: Column, value: Column, rate: Column, reason: Column | str = DIVERTED_REASON) -> Column:
+    """The same from a document that has been parsed already; ``value`` is its text."""
     reason = F.lit(reason) if isinstance(reason, str) else reason
-    kept = F.map_filter(as_object(F.try_parse_json(value)), lambda k, _: ~k.isin(*_ANNOTATIONS))
+    kept = F.map_filter(as_object(doc), lambda k, _: ~k.isin(*_ANNOTATIONS))
     added = F.create_map(
         F.lit("anomaly_status"), F.lit(DIVERTED_STATUS).cast("variant"),
         F.lit("anomaly_reason"), reason.cast("variant"),

@@ -37,13 +37,15 @@ def breaker_incidents(
     key: Sequence[str] = (),
     node: str = "circuit breaker",
     threshold: float = ERROR_THRESHOLD,
+    at_column: str | None = None,
     **options,
 ) -> DataFrame:
     """One incident per opening, resolved by the closing that follows it; with ``key``, of the same key.
 
     Openings and closings of a key alternate, so both of an incident carry the same number of openings so far; grouping
     by that number pairs them without looking at neighbours. The id holds the key and all order columns, so no two
-    incidents share one: offsets repeat between partitions, and times between keys.
+    incidents share one: offsets repeat between partitions, and times between keys. ``at_column`` adds the order columns
+    of the opening as a struct.
     """
     numbered = running_sums(
         changes.select(*key, *order, "opened"), {"number": F.col("opened").cast("int")}, order, key, **options)
@@ -64,6 +66,7 @@ def breaker_incidents(
         F.lit(BREAKER_MESSAGE).alias("message"),
         F.col("resolved_at").isNotNull().alias("resolved"),
         "resolved_at",
+        *([F.col("opened").alias(at_column)] if at_column else []),
     )
 
 

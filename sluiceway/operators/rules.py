@@ -115,8 +115,12 @@ def checkout_rules(
 def record_failures(df: DataFrame, rules: Sequence[Rule] | None = None, value: str = "value") -> DataFrame:
     """Add ``failure_reasons``: the names of all rules a record breaks, in rule order, found in one pass."""
     rules = checkout_rules(value=value) if rules is None else rules
-    reasons = present(*[F.when(r.broken, F.lit(r.name)) for r in rules])
-    return with_variant(df, value, "doc").withColumn("failure_reasons", reasons).drop("doc")
+    return judge(with_variant(df, value, "doc"), rules).drop("doc")
+
+
+def judge(parsed: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The same over rows whose text has been parsed already, into the column that the rules look at."""
+    return parsed.withColumn("failure_reasons", present(*[F.when(r.broken, F.lit(r.name)) for r in rules]))
 
 
 def split_valid(df: DataFrame, amount: str = "amount", tax: str = "tax_amount") -> tuple[DataFrame, DataFrame]:

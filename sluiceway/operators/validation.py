@@ -147,25 +147,31 @@ def null_ratio_percent(nulls: Column, total: Column) -> Column:
     return F.coalesce(F.round(F.try_divide(nulls * 100.0, total), 2), F.lit(0.0))
 
 
-def expectation_suite(routed: DataFrame, contract_kept: Column | None = None, value: str = "value") -> DataFrame:
+def expectation_suite(
+    routed: DataFrame, contract_kept: Column | None = None, value: str = "value", wrong: str | None = None,
+) -> DataFrame:
     """The four-expectation report over routed records, one nested row.
 
-    ``contract_kept`` is an aggregate telling whether every record was written exactly once; by default each
-    record must carry exactly one route.
+    ``contract_kept`` tells whether every record was written exactly once, as one value; by default each record must
+    carry exactly one route. ``wrong`` names a column that says which records have a field of another type; without it the
+    text is parsed here.
     """
-    contract = F.count_if(F.col("route").isNull()) == 0 if contract_kept is None else contract_kept
+    routes = F.count_if(F.col("route").isNull()) == 0
     amount, tax = F.col("amount"), F.col("tax_amount")
     good = is_valid(amount, tax)
-    counts = with_variant(routed, value, "doc").agg(
+    judged, mistyped = (routed, F.col(wrong)) if wrong else (with_variant(routed, value, "doc"), wrong_type(F.col("doc")))
+    counts = judged.agg(
         F.count(F.lit(1)).alias("total_rows_evaluated"),
         F.count_if(tax.isNull()).alias("null_tax_count"),
         F.count_if(amount <= 0).alias("negative_amount_count"),
         F.count_if(good).alias("valid_events"),
         F.count_if(~good).alias("invalid_events"),
         F.count_if(F.col("breaker_open")).alias("dlq_count"),
-        F.count_if(wrong_type(F.col("doc"))).alias("wrong_types"),
-        contract.alias("kept"),
+        F.count_if(mistyped).alias("wrong_types"),
+        routes.alias("kept"),
     )
+    if contract_kept is not None:
+        counts = counts.withColumn("kept", contract_kept)
     n, nulls = F.col("total_rows_evaluated"), F.col("null_tax_count")
     passed = F.array(
         F.col("negative_amount_count") == 0,

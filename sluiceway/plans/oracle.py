@@ -108,6 +108,12 @@ def _warnings(source: str = "hours", seconds: int = 3600) -> str:
 
 _WARNING_INCIDENTS = _warnings()
 _TENS = _ROUTED + _intervals("tens", "minute", 10).replace("date_trunc('minute', ts)", "time_bucket(INTERVAL '10 seconds', ts)")
+# Events of which only the text is known.
+_FROM_TEXT = ", ".join(f"TRY_CAST(json_extract_string(CASE WHEN json_valid(value) THEN value END, '$.{name}') AS {kind}) AS {name}" for name, kind in (
+    ("amount", "DECIMAL(18,2)"), ("tax_amount", "DECIMAL(18,2)"), ("currency", "VARCHAR"), ("country", "VARCHAR"), ("payment_method", "VARCHAR")))
+_MESSAGES = _FLAGGED + f", messages AS (SELECT * REPLACE ({_FROM_TEXT}) FROM flagged)" + _breaker(source="messages")
+_MESSAGE_MINUTES = _MESSAGES + _intervals("minutes", "minute", 60).replace(_GOOD, "(tax_amount IS NOT NULL AND coalesce(amount >= 0, true))")
+_PASSED = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM raw)"
 _SLICE = "CASE WHEN extract(day FROM ts) <= 10 THEN 0 WHEN extract(day FROM ts) <= 20 THEN 1 ELSE 2 END"
 
 
@@ -333,7 +339,7 @@ def oracle_queries() -> dict[str, str]:
             GROUP BY start"""),
         "metrics_current": _sql(f"""SELECT arg_max(throughput, start) AS throughput_events_per_sec,
               CAST(sum(incoming) AS BIGINT) AS processed_total, arg_max(error_rate, start) AS error_rate,
-              CAST(sum(dlq_count) AS BIGINT) AS dlq_count, (SELECT count(DISTINCT {_SLICE}) FROM raw) AS checkpoint,
+              CAST(sum(dlq_count) AS BIGINT) AS dlq_count, (SELECT count(DISTINCT {_SLICE}) FROM raw WHERE {_SLICE} < 2) AS checkpoint,
               (SELECT count(*) FROM raw WHERE {_SLICE} = 2) AS kafka_consumer_lag,
               (SELECT CAST(sum((epoch_us(ingest_ts) // 1000) - (epoch_us(ts) // 1000)) AS DOUBLE) / count(*) FROM raw
                WHERE date_trunc('minute', ts) = (SELECT max(date_trunc('minute', ts)) FROM raw)) AS latency_ms,
@@ -396,10 +402,26 @@ def oracle_queries() -> dict[str, str]:
         "stream_restart": _sql(f"""SELECT CAST({_SLICE} AS BIGINT) AS batch_id, count(*) AS records,
             count(DISTINCT event_id) AS events, min(total) AS first_total, max(total) AS last_total
             FROM routed GROUP BY 1""", _ROUTED),
-        "stream_metrics_windowed": _sql(f"""SELECT strftime(start, {_TEXT}) AS window_start, count(*) AS records,
-              count(*) FILTER (WHERE bad) AS flagged
-            FROM (SELECT *, date_trunc('minute', ts) AS start FROM flagged)
-            WHERE start + INTERVAL 1 MINUTE <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM flagged)
-            GROUP BY start""", _FLAGGED),
+        "stream_pipeline": _sql(f"""SELECT CAST({_SLICE} AS BIGINT) AS batch_id, event_id, total, failed, route,
+            array_to_string(reasons, '|') AS failure_reasons, CASE WHEN ok AND breaker_open THEN error_rate END AS error_rate
+            FROM judged""", _MESSAGES + _judged("routed")),
+        "stream_incidents": _sql(_BREAKER_INCIDENTS, _CHANGES),
+        "stream_metrics": _sql(f"""SELECT strftime(start, {_TEXT}) AS interval_start, * EXCLUDE (start)
+            FROM minutes""", _MESSAGE_MINUTES),
+        "stream_commits": _sql(f"""SELECT concat('snap-', CAST(batch AS VARCHAR)) AS snapshot_id, batch = max(batch) OVER () AS current,
+              'append' AS operation, n AS records_added, CAST(sum(n) OVER (ORDER BY batch) AS BIGINT) AS total_records, main AS main_records,
+              n - main AS dlq_records, CAST(0 AS BIGINT) AS late_records, strftime(newest, {_TEXT}) AS committed_at,
+              row_number() OVER (ORDER BY batch) AS commit_count
+            FROM (SELECT {_SLICE} AS batch, count(*) AS n, count(*) FILTER (WHERE NOT breaker_open) AS main, max(ingest_ts) AS newest
+                  FROM routed GROUP BY 1)""", _ROUTED),
+        "stream_metrics_windowed": _sql(f"""SELECT strftime(start, {_TEXT}) AS window_start, incoming, valid_events, invalid_events,
+            null_tax_count, negative_amount_count, dlq_count, start + INTERVAL 1 MINUTE <= {_PASSED} AS final FROM minutes""", _MESSAGE_MINUTES),
+        "stream_metrics_sliding": _sql(f"""SELECT strftime(began, {_TEXT}) AS window_start, CAST(sum(incoming) AS BIGINT) AS incoming,
+              CAST(sum(valid_events) AS BIGINT) AS valid_events, CAST(sum(invalid_events) AS BIGINT) AS invalid_events,
+              CAST(sum(null_tax_count) AS BIGINT) AS null_tax_count, CAST(sum(negative_amount_count) AS BIGINT) AS negative_amount_count,
+              CAST(sum(dlq_count) AS BIGINT) AS dlq_count, began + INTERVAL 5 MINUTE <= {_PASSED} AS final
+            FROM (SELECT *, start - INTERVAL 1 MINUTE * CAST(unnest(range(5)) AS INT) AS began FROM minutes) GROUP BY began""", _MESSAGE_MINUTES),
     }
+    out["stream_breaker_by_user"] = out["circuit_breaker_by_user"]
+    out["stream_incidents_by_user"] = out["incidents_by_user"]
     return out
