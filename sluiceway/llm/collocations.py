@@ -193,36 +193,18 @@ class _Counter:
     """Counts of one task over all languages, in bounded memory.
 
     ``known`` is a filter over the phrases of ``known_size`` words that occur often enough; a sequence of that size or
-    one word more is counted only if all its parts of that size may be among them. ``hashed`` counters hand out the hash of a phrase
-    instead of the phrase.
+    one word more is counted only if all its parts of that size may be among them.
     """
 
-    def __init__(self, mining: Mining, shortest: int, longest: int, known: np.ndarray | None = None, known_size: int = 0, hashed: bool = False) -> None:
+    def __init__(self, mining: Mining, shortest: int, longest: int, known: np.ndarray | None = None, known_size: int = 0) -> None:
         self.mining, self.shortest, self.longest, self.known, self.known_size = mining, shortest, longest, known, known_size
-        self.runs = self._hash_runs if hashed else self._phrase_runs
         self._forget()
 
     def _forget(self) -> None:
         self.numbers, self.tries, self.seen, self.waiting, self.waits = _Numbers(), defaultdict(lambda: BurstTrie(self.mining)), Counter(), defaultdict(list), 0
         self.hashes, self.done = np.zeros(1024, "uint64"), 1
 
-    def _hash_runs(self, leave: int, forget: bool = False) -> Iterator[pa.RecordBatch]:
-        """Spilled subtrees as (h, n), sorted by h."""
-        self._insert()
-        hashes, bits, share = self._hashes(), self.mining.bits, leave // max(1, len(self.tries))
-        for lang, trie in self.tries.items():
-            codes, counts = trie.take(share)
-            size = self.longest
-            words = [hashes[(codes >> np.int64(bits * (size - 1 - k))) & np.int64((1 << bits) - 1)] for k in range(size)]
-            h = _fold(words, lang).view("int64") if len(codes) else codes
-            order = np.argsort(h)
-            for at in range(0, len(h), 100_000):
-                some = order[at:at + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(h[some]), pa.array(counts[some])], names=["h", "n"])
-        if forget:
-            self._forget()
-
-    def _phrase_runs(self, leave: int, forget: bool = False) -> Iterator[pa.RecordBatch]:
+    def runs(self, leave: int, forget: bool = False) -> Iterator[pa.RecordBatch]:
         """Spilled subtrees as sorted runs of (lang, phrase, n); with ``forget`` words are numbered anew afterwards."""
         self._insert()
         names = pa.array(list(self.numbers), pa.binary()).cast(pa.string())
@@ -320,40 +302,41 @@ def _phrase_hashes(phrases: DataFrame) -> DataFrame:
     return phrases.select("lang", "phrase").mapInArrow(run, "h long")
 
 
-def _count(docs: DataFrame, schema: str, mining: Mining, shortest: int, longest: int, known: Broadcast | None = None, **settings) -> DataFrame:
-    """What the tasks' counters hand out, merged and cut to what occurs often enough (and phrase '')."""
+def _count(docs: DataFrame, mining: Mining, shortest: int, longest: int, known: Broadcast | None = None) -> DataFrame:
+    """The runs that the tasks' counters hand out, merged, and cut to what occurs often enough (and phrase '').
+
+    Runs are dealt by the prefix of a phrase: language, first word, and one of 8 parts of what follows, so that a very common
+    first word goes to several tasks and a sorted run stays sorted in each.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(mining, shortest, longest, None if known is None else known.value, **settings)
+        counter = _Counter(mining, shortest, longest, None if known is None else known.value, longest - 1)
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
                 yield from counter.count(lang, text.as_py())
         yield from counter.runs(0, forget=True)
 
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.encode("text", "UTF-8").alias("text")).filter("text <> X''")
-    runs = texts.mapInArrow(run, schema)
-    keys = [c for c in runs.columns if c != "n"]
-    return runs.repartition(*keys).groupBy(*keys).agg(F.sum("n").alias("n"))
+    runs = texts.mapInArrow(run, "lang string, phrase string, n long")
+    prefix = F.xxhash64("lang", F.substring_index("phrase", " ", 1), F.pmod(F.crc32("phrase"), F.lit(8)))
+    dealt = runs.withColumn("prefix", F.pmod(prefix, F.lit(1 << 20)).cast("int")).repartition("prefix")
+    merged = dealt.groupBy("prefix", "lang", "phrase").agg(F.sum("n").alias("n")).drop("prefix")
+    return merged.filter((F.col("n") >= mining.least) | (F.col("phrase") == ""))
 
 
 def phrase_counts(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
     """(lang, phrase, n): how often each sequence of up to ``longest`` words occurs, if at least ``least`` times; phrase '' counts all words.
 
     A-Z are taken in lower case; the text is split at ``[.,;:!?]`` and line ends, words stand between spaces and tabs. Each
-    task counts in burst tries and hands out sorted runs. Runs are dealt by the whole path of a phrase, so that even the
-    phrases that begin with one very common pair of words go to many tasks, and are merged there.
+    task counts in burst tries and hands out sorted runs, which are merged per prefix.
 
-    A phrase is frequent only if all its parts are. So a first pass counts the pairs of words, by their hashes; what it finds makes a
-    filter of a fixed size. The second pass counts words, and those pairs and triples all of whose pairs pass; a pass per
-    further word follows in the same way. What a filter lets through wrongly is counted and then dropped: results are
-    exact. Null lang is ``und``; null text is empty.
+    The first pass counts words and pairs. A longer phrase is frequent only if both its parts that are one word shorter
+    are, so each further pass counts only what a filter over the frequent parts lets through. The filter has a fixed
+    size; what it lets through wrongly is counted and then dropped: results are exact. Null lang is ``und``; null text is empty.
     """
-    phrase, enough = "lang string, phrase string, n long", F.col("n") >= mining.least
-    known = hash_filter(_count(docs, "h long, n long", mining, 2, 2, hashed=True).filter(enough), mining.filter_bits)
-    counts = cut(_count(docs, phrase, mining, 1, min(3, mining.longest), known, known_size=2).filter(enough | (F.col("phrase") == "")), "phrase-counts")
-    known.unpersist()
-    for size in range(4, mining.longest + 1):
+    counts = cut(_count(docs, mining, 1, min(2, mining.longest)), "phrase-counts")
+    for size in range(3, mining.longest + 1):
         known = hash_filter(_phrase_hashes(counts.filter(F.size(F.split("phrase", " ")) == size - 1)), mining.filter_bits)
-        longer = cut(_count(docs, phrase, mining, size, size, known, known_size=size - 1).filter(enough), "phrase-counts")
+        longer = cut(_count(docs, mining, size, size, known), "phrase-counts")
         counts = counts.unionByName(longer)
         known.unpersist()
     return counts
