@@ -9,7 +9,6 @@ from collections import Counter
 from functools import lru_cache
 from typing import NamedTuple
 
-import numpy as np
 import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
@@ -95,6 +94,8 @@ TEMPLATES = {
 }
 #: A text without any of these is no candidate. Notices may be wrapped, and stand in comments.
 HINT = r"(?i)licen[cs]e|copyright|permission|redistribut|free software|rights\W+reserved|creative\W+commons|\bcc\W*(?:by|0)|public\W+domain"
+#: Words in a block that is compressed with every notice; the next block starts half a block later.
+_BLOCK = 64
 _WORDS = re.compile(r"[A-Za-z0-9]+(?:\.+[A-Za-z0-9]+)*")
 
 
@@ -102,14 +103,19 @@ def _words(text: str) -> list[str]:
     return [w.lower() for w in _WORDS.findall(text)]
 
 
-def _compressor(**settings) -> zstandard.ZstdCompressor:
-    return zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(
-        19, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False), **settings)
+def _compressor(known: zstandard.ZstdCompressionDict | None = None) -> zstandard.ZstdCompressor:
+    settings = zstandard.ZstdCompressionParameters(
+        format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False,
+        strategy=zstandard.STRATEGY_LAZY2, min_match=4, window_log=14, hash_log=10, chain_log=10, search_log=4, target_length=32)
+    if known is None:
+        return zstandard.ZstdCompressor(compression_params=settings)
+    known.precompute_compress(compression_params=settings)
+    return zstandard.ZstdCompressor(dict_data=known, compression_params=settings)
 
 
 @lru_cache(1)
 def _models() -> list[tuple[str, list[str], zstandard.ZstdCompressor]]:
-    return [(name, _words(text), _compressor(dict_data=zstandard.ZstdCompressionDict(
+    return [(name, _words(text), _compressor(zstandard.ZstdCompressionDict(
         " ".join(_words(text)).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for name, texts in TEMPLATES.items() for text in texts]
 
 
@@ -118,18 +124,9 @@ def _alone() -> zstandard.ZstdCompressor:
     return _compressor()
 
 
-@lru_cache(1)
-def _vocabulary() -> tuple[dict[str, int], np.ndarray]:
-    """Numbers of the words of all notices, from 1, and which notice (row) has which of them."""
-    number = {w: k for k, w in enumerate(sorted({w for _, notice, _ in _models() for w in notice}), 1)}
-    has = np.zeros((len(_models()), len(number) + 1), dtype="int32")
-    for k, (_, notice, _) in enumerate(_models()):
-        has[k, [number[w] for w in notice]] = 1
-    return number, has
-
-
 class Found(NamedTuple):
-    """A notice in a text: its first word and the one after its last; ``differences`` are words only one side has."""
+    """A notice in a text: its first word and the one after its last; ``differences`` are words only one side has, and
+    ``rank`` orders notices: bytes saved, then fewer differences, then words shared."""
 
     license: str
     reduction: float
@@ -137,7 +134,7 @@ class Found(NamedTuple):
     differences: list[str]
     start: int
     end: int
-    rank: tuple[float, int, float]
+    rank: tuple[int, int, int]
 
 
 def _longest(a: list[str], b: list[str]) -> difflib.Match:
@@ -169,11 +166,11 @@ def _aligned(k: int, words: list[str], near: difflib.Match, low: int, high: int,
     start, end = runs[0][0], runs[-1][0] + runs[-1][1]
     data = " ".join(words[start:end]).encode()
     alone = len(_alone().compress(data))
-    reduction = (alone - len(model.compress(data))) / alone
-    if reduction <= 0:
+    saved = alone - len(model.compress(data))
+    if saved <= 0:
         return None
     differs = [w[2:] for w in difflib.ndiff(notice, words[start:end]) if w[0] in "+-"] if notice != words[start:end] else []
-    return Found(name, reduction, shared / len(notice), differs, start, end, (shared - len(differs), len(notice), reduction))
+    return Found(name, saved / alone, shared / len(notice), differs, start, end, (saved, -len(differs), shared))
 
 
 def _of_notice(k: int, words: list[str], low: int, high: int, least: float) -> list[Found]:
@@ -201,31 +198,56 @@ def _of_notice(k: int, words: list[str], low: int, high: int, least: float) -> l
     return found
 
 
+def _savings(data: bytes) -> list[tuple[int, int]]:
+    """(notice, bytes saved) of all notices that make a block shorter as dictionary."""
+    alone = len(_alone().compress(data))
+    saved = [(k, alone - len(model.compress(data))) for k, (_, _, model) in enumerate(_models())]
+    return [(k, n) for k, n in saved if n > 0]
+
+
+def _shortened(words: list[str], low: int, high: int, known: dict[tuple[int, int], list[tuple[int, int]]]) -> list[tuple[int, int, int]]:
+    """(notice, from, to): where blocks of ``words[low:high]`` become shorter with the notice as dictionary, the notices
+    that save most in a block first. Blocks overlap by half; those of one notice that touch, widened by as far as the
+    notice could reach beyond them, are one stretch. ``known`` remembers blocks."""
+    stretches: dict[int, list[list[int]]] = {}
+    most: Counter[int] = Counter()
+    half = _BLOCK // 2
+    for at in range(low // half * half, max(low // half * half + 1, high - half), half):
+        block = max(low, at), min(high, at + _BLOCK)
+        if block not in known:
+            known[block] = _savings(" ".join(words[block[0]:block[1]]).encode())
+        for k, saved in known[block]:
+            reach = int(1.5 * len(_models()[k][1]) + 2)
+            start, end = max(low, block[0] - reach), min(high, block[1] + reach)
+            mine = stretches.setdefault(k, [])
+            if mine and mine[-1][1] >= start:
+                mine[-1][1] = end
+            else:
+                mine.append([start, end])
+            most[k] = max(most[k], saved)
+    return [(k, start, end) for k, _ in most.most_common() for start, end in stretches[k]]
+
+
 def find_all(words: list[str], least: float = 0.8) -> list[Found]:
     """The notices that stand in a list of words, in order, none over another.
 
-    A notice can only stand where a window of 1.5 times its length holds enough words that it has too: all such places
-    are compared word by word with it, and it is found where at least ``least`` of it stands in order and it shortens
-    them as a dictionary. Of those that overlap the one with the most words, less the differing ones, is taken, of equal
-    ones the longer, then the one that shortens more; what is left between them is searched again.
+    The words are cut into overlapping blocks, and each block is compressed alone and with every notice as dictionary.
+    Every notice that makes a block shorter is confirmed around it by its exact wording: it is found where at least
+    ``least`` of it stands in order and it shortens that place. Of places that overlap the one is taken where the
+    notice saves most bytes, of equal ones that with the fewest differing words, then the one that shares the most;
+    what is left between them is cut into blocks and searched again, until no notice is confirmed.
     """
-    number, has = _vocabulary()
-    ids = np.array([number.get(w, 0) for w in words], dtype="int32")
     found: list[Found] = []
-    left = [(0, len(words))]
+    known: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    looked: dict[tuple[int, int, int], list[Found]] = {}
+    left = [(0, len(words))] if words else []
     while left:
         low, high = left.pop()
-        part = ids[low:high]
-        totals = has @ np.bincount(part, minlength=has.shape[1])
         seen = []
-        for k in np.flatnonzero(totals >= [least * len(notice) for _, notice, _ in _models()]):
-            length = len(_models()[k][1])
-            sums = np.concatenate([[0], np.cumsum(has[k][part])])
-            wide = min(int(1.5 * length + 2), len(part))
-            hits = np.flatnonzero(sums[wide:] - sums[:-wide] >= least * length)
-            for stretch in np.split(hits, np.flatnonzero(np.diff(hits) > wide) + 1):
-                if len(stretch):
-                    seen += _of_notice(int(k), words, low + int(stretch[0]), low + int(stretch[-1]) + wide, least)
+        for k, start, end in _shortened(words, low, high, known):
+            if (k, start, end) not in looked:
+                looked[k, start, end] = _of_notice(k, words, start, end, least)
+            seen += looked[k, start, end]
         taken: list[tuple[int, int]] = []
         for place in sorted(seen, key=lambda f: f.rank, reverse=True):
             at = bisect.bisect(taken, (place.start, place.end))
@@ -257,8 +279,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """One row per notice found: doc_id, text_id, line and last_line (from 0), start and end (characters), license,
     reduction, found_share, exact, differences.
 
-    Texts that hold a word of licensing are candidates (found by one pattern, before anything goes to Python); each is
-    compared whole with all templates, across line breaks and comment marks (see ``find_all``). Null and empty texts and
+    Texts that hold a word of licensing are candidates (found by one pattern, before anything goes to Python); all blocks
+    of each are compressed with all templates, across line breaks and comment marks (see ``find_all``). Null and empty texts and
     texts without notices give no rows. Equal rows each give theirs. Other columns are ignored.
     """
 

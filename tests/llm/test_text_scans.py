@@ -3,7 +3,9 @@
 import random
 import re
 import textwrap
+from collections import Counter
 
+import zstandard
 from helpers import CLASHING, frame
 from sluiceway.llm import licenses, substring_dedup
 from sluiceway.llm.queries import LLM_QUERIES
@@ -161,3 +163,65 @@ def test_all_notices_of_a_line_are_found():
     late, = licenses.notices(f"In this chapter nothing of note was said by this man. {filler} {near} {filler}")
     assert alone["license"] == late["license"] == "GPL-3.0" and alone["differences"] == late["differences"]
     assert len(licenses.notices("All rights reserved.\n" * 300)) == 300
+
+
+def in_order(notice, words):
+    """How many words of both stand in the same order in both, by the plain table."""
+    row = [0] * (len(words) + 1)
+    for a in notice:
+        left = 0
+        for j, b in enumerate(words, 1):
+            left, row[j] = row[j], left + 1 if a == b else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def saved_bytes(notice, words):
+    """What the notice as raw dictionary saves of the words, by a compressor made for this one question."""
+    data = " ".join(words).encode()
+    known = zstandard.ZstdCompressionDict(" ".join(notice).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return len(licenses._compressor().compress(data)) - len(licenses._compressor(known).compress(data))
+
+
+def every_place(words):
+    """All (license, start, end, saved) over all windows and all notices."""
+    for name, texts in licenses.TEMPLATES.items():
+        for notice in map(licenses._words, texts):
+            least = 0.8 * len(notice)
+            for start in range(len(words)):
+                for end in range(start + 1, min(len(words), start + int(1.5 * len(notice)) + 2) + 1):
+                    window = words[start:end]
+                    if words[start] in notice and window[-1] in notice and (Counter(window) & Counter(notice)).total() >= least:
+                        if in_order(notice, window) >= least and (saved := saved_bytes(notice, window)) > 0:
+                            yield name, start, end, saved
+
+
+def test_license_scan_against_all_windows_and_notices():
+    rng = random.Random(4)
+    filler = lambda n: [rng.choice("so it went on for a while with these and other words of no account".split()) for _ in range(n)]
+    notices = [(name, licenses._words(text)) for name, texts in licenses.TEMPLATES.items() for text in texts if len(licenses._words(text)) < 30]
+    for _ in range(12):
+        words, planted = [], 0
+        for name, notice in rng.sample(notices, 2):
+            notice = list(notice)
+            if len(notice) > 9:
+                notice[rng.randrange(1, len(notice) - 1)] = "changed"
+            words += filler(rng.randint(0, 90)) + notice
+            planted += 1
+        words += filler(rng.randint(0, 20))
+        found, places = licenses.find_all(words), list(every_place(words))
+        assert planted and places and found
+        # Whatever any window and notice give is found or lies over something found.
+        assert all(any(f.start < end and start < f.end for f in found) for _, start, end, _ in places)
+        for f in found:
+            same = {name: saved for name, start, end, saved in places if (start, end) == (f.start, f.end)}
+            assert f.license in same and same[f.license] == max(same.values()) == f.rank[0]
+        assert all(a.end <= b.start for a, b in zip(found, found[1:]))
+
+
+def test_license_blocks_do_not_show_in_the_result(monkeypatch):
+    text = licenses._words(" ".join(["so it went on"] * 30 + [licenses.TEMPLATES["BSD-3-Clause"][-1]] + ["and other words"] * 50 + ["All rights reserved."]))
+    want = [(f.license, f.start, f.end, f.differences) for f in licenses.find_all(text)]
+    for size in (16, 40, 256):
+        monkeypatch.setattr(licenses, "_BLOCK", size)
+        assert [(f.license, f.start, f.end, f.differences) for f in licenses.find_all(text)] == want
+    assert [w[0] for w in want] == ["BSD-3-Clause", "proprietary"] and licenses.find_all([]) == []
