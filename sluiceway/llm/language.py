@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,13 +15,13 @@ from sluiceway.llm.common import FRACTION_END, hash_fraction
 
 #: Prediction for texts without a letter.
 UNKNOWN = "und"
-_WORDS = re.compile(r"[^\W\d_]+")
+_WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Words whose phrase counts a task remembers before it starts anew.
 _REMEMBERED = 200_000
 
 
 def words(text: str | None) -> list[str]:
-    """Runs of letters in lower case; null has none."""
+    """Runs of letters with their marks, in lower case; numbers of any script are none. Null has none."""
     return _WORDS.findall((text or "").lower())
 
 
@@ -149,5 +149,7 @@ def identify(docs: DataFrame, known: dict[str, str]) -> DataFrame:
     def run(texts: pd.Series) -> pd.DataFrame:
         return predict(texts, known)
 
-    found = docs.withColumn("_found", run.asNondeterministic()("text"))
-    return found.withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}).drop("_found")
+    # A name that no column of the table has.
+    own = "_" * max(map(len, docs.columns)) + "found"
+    found = docs.withColumn(own, run.asNondeterministic()("text"))
+    return found.withColumns({"lang_pred": F.col(f"{own}.lang_pred"), "score": F.col(f"{own}.score")}).drop(own)

@@ -80,6 +80,14 @@ def test_automaton_knows_exactly_the_substrings():
         assert automaton.phrases(s) == parse(s), s
 
 
+def test_language_needs_a_letter(spark):
+    assert language.words("½ ² Ⅷ ① 12 _ ...") == [] and language.words("E\u0301t\u00e9 x²y") == ["e\u0301t\u00e9", "x", "y"]
+    docs = spark.createDataFrame([(1, "½ ² Ⅷ ①", 7), (2, "aab", 8)], "doc_id long, text string, _found int")
+    got = language.identify(docs, {"xx": "aab aab", "yy": "ccd ccd"})
+    assert got.columns == ["doc_id", "text", "_found", "lang_pred", "score"]
+    assert [(r.lang_pred, r._found) for r in got.orderBy("doc_id").collect()] == [("und", 7), ("xx", 8)]
+
+
 def test_language_on_held_out_documents():
     known = rows("sf0.1", "SELECT doc_id, text, lang FROM documents WHERE lang IS NOT NULL ORDER BY hash(doc_id)")
     train = {}
