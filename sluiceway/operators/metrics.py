@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.functions.histogram import BITS, histogram, merged, summary
 from sluiceway.operators.rules import is_valid, null_tax
 from sluiceway.operators.running import running_sums
 from sluiceway.operators.validation import null_ratio_percent
@@ -130,17 +131,47 @@ def rolling_latency(
     )
 
 
+def delay_ms(ts: str = "event_ts", ingest: str = "ingest_ts") -> Column:
+    return F.unix_millis(F.col(ingest).cast("timestamp")) - F.unix_millis(F.col(ts).cast("timestamp"))
+
+
+def latency_histogram(
+    df: DataFrame, step: str = "1 minute", ts: str = "event_ts", ingest: str = "ingest_ts", bits: int = BITS,
+) -> DataFrame:
+    """Histogram of ingest delay per step: additive, so histograms of batches or partitions can be merged later.
+
+    Records without event or ingest time are not in it.
+    """
+    delays = df.select(F.window(ts, step)["start"].alias("slice_start"), delay_ms(ts, ingest).alias("__delay"))
+    return histogram(delays, "__delay", ["slice_start"], bits)
+
+
+def latency_windows(
+    steps: DataFrame, width: str = "5 minutes", step: str = "1 minute", quantiles: Sequence[float] = (0.5, 0.95, 0.99),
+) -> DataFrame:
+    """Mean, maximum and quantiles of delay in sliding windows, merged from the histograms of ``latency_histogram``.
+
+    What is copied into the overlapping windows are buckets; their number a step is bounded, however many delays there are.
+    """
+    rows = steps.groupBy(F.window("slice_start", width, step)["start"].alias("window_start"), "bucket").agg(*merged())
+    return summary(rows, ["window_start"], "latency_ms", quantiles)
+
+
 def null_tax_ratio(df: DataFrame, tax: str = "tax_amount") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(F.col(tax).isNull()).alias("null_tax_count")).select(
         "total_rows", "null_tax_count",
         null_ratio_percent(F.col("null_tax_count"), F.col("total_rows")).alias("null_tax_ratio_percent"))
 
 
-def current_metrics(metrics: DataFrame, commits: Column, lag: Column, latency: Column) -> DataFrame:
+def current_metrics(
+    metrics: DataFrame, commits: Column, lag: Column, latency: Column, checkpoint_duration: Column | None = None,
+) -> DataFrame:
     """The one-row metric summary: newest interval plus totals over all intervals.
 
-    ``commits``, ``lag`` and ``latency`` come from the commit log, the backlog and the latency table.
+    ``commits``, ``lag`` and ``latency`` come from the commit log, the backlog and the latency table; ``checkpoint_duration``
+    from the progress log (``streaming.progress``), and its column is there only where it is given.
     """
+    extra = [] if checkpoint_duration is None else [checkpoint_duration.alias("checkpoint_duration_ms")]
     return metrics.agg(
         F.max_by("throughput", "interval_start").alias("throughput_now"),
         F.max_by("error_rate", "interval_start").alias("error_rate_now"),
@@ -152,5 +183,5 @@ def current_metrics(metrics: DataFrame, commits: Column, lag: Column, latency: C
         F.col("throughput_now").alias("throughput_events_per_sec"), "processed_total",
         F.col("error_rate_now").alias("error_rate"), "dlq_count",
         commits.alias("checkpoint"), lag.alias("kafka_consumer_lag"), latency.alias("latency_ms"),
-        "valid_events", "invalid_events",
+        "valid_events", "invalid_events", *extra,
     )

@@ -55,6 +55,21 @@ _JUDGED = f""", documents_seen AS (
 _GOOD = "(tax_amount IS NOT NULL AND amount >= 0)"
 
 
+# Delays in sliding windows, in buckets of their seven leading binary digits.
+_LATENCY = f"""SELECT strftime(start, {_TEXT}) AS window_start, CAST(sum(n) AS BIGINT) AS records,
+    CAST(sum(total) AS DOUBLE) / sum(n) AS avg_latency_ms, max(high) AS max_latency_ms,
+    min(middle) FILTER (WHERE seen >= ceil(0.5 * every)) AS p50_latency_ms,
+    min(middle) FILTER (WHERE seen >= ceil(0.95 * every)) AS p95_latency_ms,
+    min(middle) FILTER (WHERE seen >= ceil(0.99 * every)) AS p99_latency_ms
+  FROM (SELECT *, (low + high) / 2.0::DOUBLE AS middle, sum(n) OVER (PARTITION BY start) AS every,
+               sum(n) OVER (PARTITION BY start ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS seen
+        FROM (SELECT start, sign(ms) * ((abs(ms) >> cut) << cut) AS bucket, count(*) AS n, sum(ms) AS total, min(ms) AS low, max(ms) AS high
+              FROM (SELECT *, greatest(length(bin(abs(ms))) - 7, 0) AS cut
+                    FROM (SELECT (epoch_us(ingest_ts) // 1000) - (epoch_us(ts) // 1000) AS ms,
+                                 date_trunc('minute', ts) - INTERVAL 1 MINUTE * CAST(unnest(range(5)) AS INT) AS start FROM raw))
+              GROUP BY 1, 2)) GROUP BY start"""
+
+
 def _intervals(name: str, unit: str, seconds: int) -> str:
     return f""", {name} AS (
   SELECT date_trunc('{unit}', ts) AS start, count(*) AS incoming,
@@ -337,6 +352,8 @@ def oracle_queries() -> dict[str, str]:
             FROM (SELECT (epoch_us(ingest_ts) // 1000) - (epoch_us(ts) // 1000) AS ms,
                     date_trunc('minute', ts) - INTERVAL 1 MINUTE * CAST(unnest(range(5)) AS INT) AS start FROM raw)
             GROUP BY start"""),
+        "latency_sketch": _sql(_LATENCY),
+        "stream_latency": _sql(_LATENCY),
         "metrics_current": _sql(f"""SELECT arg_max(throughput, start) AS throughput_events_per_sec,
               CAST(sum(incoming) AS BIGINT) AS processed_total, arg_max(error_rate, start) AS error_rate,
               CAST(sum(dlq_count) AS BIGINT) AS dlq_count, (SELECT count(DISTINCT {_SLICE}) FROM raw WHERE {_SLICE} < 2) AS checkpoint,

@@ -483,6 +483,12 @@ def latency_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolled.withColumn("window_start", clock("window_start", "window_start"))
 
 
+@query
+def latency_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rolled = metrics.latency_windows(metrics.latency_histogram(checkout_events(spark, sf_dir)))
+    return rolled.withColumn("window_start", clock("window_start", "window_start"))
+
+
 @query
 def metrics_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest figures. All has arrived, the pipeline has taken the first two slices: its commit log gives commits and backlog."""
@@ -774,3 +780,10 @@ def stream_metrics_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_metrics_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pipeline.read_windows(spark, _run_pipeline(spark, sf_dir))
     return rows.select(clock("window_start", "window_start"), *metrics.COUNTERS, "final")
+
+
+@query
+def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The histograms of three batches, merged."""
+    rows = pipeline.read_latency(spark, _run_pipeline(spark, sf_dir))
+    return rows.withColumn("window_start", clock("window_start", "window_start"))

@@ -5,6 +5,7 @@ A micro-batch writes, in this order, below ``root``:
 - ``events``: the records by route, with the true causes in ``failure_reasons``;
 - ``state``: the breaker's counters of the keys that the batch has touched;
 - ``intervals``: additive counters per interval of event time;
+- ``latency``: histograms of ingest delay per interval;
 - ``incidents`` and ``open_incidents``: incidents that the batch has opened or closed, and those still open after it;
 - ``commits``: one row, which says that the batch is complete.
 
@@ -21,10 +22,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sluiceway.functions.histogram import merged
 from sluiceway.functions.json_text import annotate_document, flag_document, with_variant
 from sluiceway.operators.breaker import ORDER, circuit_breaker, transitions
 from sluiceway.operators.incidents import breaker_incidents
-from sluiceway.operators.metrics import COUNTERS, interval_counters, seconds
+from sluiceway.operators.metrics import COUNTERS, interval_counters, latency_histogram, latency_windows, seconds
 from sluiceway.operators.rules import checkout_rules, judge
 from sluiceway.operators.running import ROWS_PER_SLICE, running_sums
 from sluiceway.schema import DLQ_TABLE, ERROR_THRESHOLD, MINIMUM_RECORDS
@@ -80,6 +82,11 @@ class Pipeline:
         counters = ", ".join(f"{c} bigint" for c in (*COUNTERS, "bad_count"))
         return BatchTable(f"{self.root}/intervals", f"interval_start timestamp, {counters}, last struct<total:bigint,breaker_open:boolean>", fold)
 
+    def latency(self) -> BatchTable:
+        """Histograms add up, so a fold has at most as many rows as there are intervals and buckets."""
+        return BatchTable(f"{self.root}/latency", "slice_start timestamp, bucket bigint, n bigint, total bigint, low bigint, high bigint",
+                          lambda rows: rows.groupBy("slice_start", "bucket").agg(*merged()))
+
     def incidents(self) -> BatchTable:
         """What is resolved comes after what is not."""
         columns = [c.split()[0] for c in INCIDENT.split(", ")]
@@ -131,7 +138,7 @@ def run_message_batch(messages: DataFrame, batch_id: int, settings: Pipeline, pe
     The breaker looks at a batch several times; ``persist`` keeps the parsed messages for that, so each is read and parsed once.
     """
     spark, key = messages.sparkSession, settings.key
-    for table in (settings.state(), settings.intervals(), settings.incidents(), settings.commits()):
+    for table in (settings.state(), settings.intervals(), settings.latency(), settings.incidents(), settings.commits()):
         table.compact(spark, batch_id, settings.fold_every)
     parsed = parse_messages(messages, settings)
     if persist:
@@ -146,6 +153,7 @@ def run_message_batch(messages: DataFrame, batch_id: int, settings: Pipeline, pe
             parsed.unpersist()
     written = read_records(spark, settings, batch_id)
     settings.intervals().write(_interval_rows(written, settings), batch_id)
+    settings.latency().write(latency_histogram(written, settings.interval, settings.ts, settings.ingest), batch_id)
     _write_incidents(written, settings, batch_id)
     settings.commits().write(_commit_row(written, settings, batch_id), batch_id)
 
@@ -229,6 +237,13 @@ def read_windows(spark: SparkSession, settings: Pipeline, width: str = "5 minute
     )
 
 
+def read_latency(
+    spark: SparkSession, settings: Pipeline, width: str = "5 minutes", quantiles: Sequence[float] = (0.5, 0.95, 0.99),
+) -> DataFrame:
+    """Mean, maximum and quantiles of ingest delay in sliding windows of ``width``, one per interval, over all batches."""
+    return latency_windows(settings.latency().read(spark), width, settings.interval, quantiles)
+
+
 def read_commits(spark: SparkSession, settings: Pipeline) -> DataFrame:
     """The snapshot log from the commit rows alone: what each batch added, running total, and which one is current."""
     commits = settings.commits().read(spark)
