@@ -36,6 +36,8 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em f
 _CLOSED_BY_NEXT = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
                    "th": ("td", "th"), "option": ("option",)}
 _STOPS = frozenset("ul ol dl table div section article main aside nav header footer body form blockquote".split())
+_NOT_CLOSED_BEYOND = _STOPS | _HIDDEN
+_NOT_BROKEN_OUT_OF = _HTML_INSIDE - {"title"} | {"noscript", "template", "object"}
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?+)*+)>", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -43,15 +45,38 @@ _NAME_PARTS = re.compile(r"[A-Za-z]+")
 _WORD = re.compile(r"\w+")
 
 
+class _Open:
+    """An open element and those around it. ``marks`` has a bit for each bucket of the hashed path down to it, ``depth`` counts
+    the path's parts, so a block costs the same however deep it lies."""
+
+    __slots__ = ("name", "own", "around", "marks", "depth")
+
+    def __init__(self, name: str, own: tuple[str, ...], around: _Open | None):
+        self.name, self.own, self.around = name, own, around
+        self.marks, self.depth = (around.marks, around.depth) if around else (0, 0)
+        self.depth += 1 + len(own)
+        for part in (name, *own):
+            if part not in ("html", "body"):
+                self.marks |= 1 << _bucket(part, _PATHS)
+
+
 @dataclass
 class Block:
     """A run of text without a block boundary in it. ``path`` holds the open elements and the parts of their class, id and
     role; ``linked`` counts characters in links."""
 
     text: str
-    path: tuple[str, ...]
+    inside: _Open | None
     linked: int
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        parts, at = [], self.inside
+        while at:
+            parts.append((at.name, *at.own))
+            at = at.around
+        return tuple(x for own in reversed(parts) for x in own)
+
 
 def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page in order: references decoded, white space made one space, no scripts, styles, comments.
@@ -62,7 +87,10 @@ def blocks(page: str | None) -> list[Block]:
     page is empty. Null has no blocks.
     """
     page = page or ""
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[_Open] = []
+    places: dict[str, list[int]] = {}  # where in the stack elements of a name are, and by kind those that end a search
+    barriers: list[int] = []
+    shelters: list[int] = []
     found: list[Block] = []
     parts: list[str] = []
     linked = links = hidden = early = at = 0
@@ -77,23 +105,33 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            found.append(Block(text, tuple(x for name, own in stack for x in (name, *own)), min(linked, len(text))))
+            found.append(Block(text, stack[-1] if stack else None, min(linked, len(text))))
         parts.clear()
         linked = 0
 
     def close(name: str) -> None:
         nonlocal links, hidden, early
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] == name:
-                links -= sum(x[0] == "a" for x in stack[k:])
-                hidden -= sum(x[0] in _HIDDEN for x in stack[k:])
-                early -= sum(x[0] in _ENDED_EARLY for x in stack[k:])
-                del stack[k:]
-                return
+        if not places.get(name):
+            return
+        for k in range(len(stack) - 1, places[name][-1] - 1, -1):
+            gone = stack.pop().name
+            places[gone].pop()
+            for kind in (barriers, shelters):
+                if kind and kind[-1] == k:
+                    kind.pop()
+            links -= gone == "a"
+            hidden -= gone in _HIDDEN
+            early -= gone in _ENDED_EARLY
+
+    def close_innermost(names: Sequence[str], limits: list[int]) -> None:
+        """Ends the innermost open element of these names, unless one that ends the search lies inside it."""
+        k = max((places[n][-1] for n in names if places.get(n)), default=-1)
+        if k > (limits[-1] if limits else -1):
+            close(stack[k].name)
 
     def text_to(end: int) -> None:
         nonlocal linked
-        if stack and stack[-1][0] == "head" and page[at:end].strip():
+        if stack and stack[-1].name == "head" and page[at:end].strip():
             close("head")
         if end > at and not hidden:
             parts.append(page[at:end])
@@ -113,26 +151,23 @@ def blocks(page: str | None) -> list[Block]:
         if match[1]:
             close(name)
             continue
-        for k in range(len(stack) - 1, -1, -1) if early else ():
-            if stack[k][0] == "head" and name not in _IN_HEAD or stack[k][0] in _FOREIGN and name in _BREAKOUT:
-                close(stack[k][0])
-                break
-            if stack[k][0] in _HTML_INSIDE and stack[k][0] != "title" or stack[k][0] in ("noscript", "template", "object"):
-                break
+        if early:
+            close_innermost([*(() if name in _IN_HEAD else ("head",)), *(_FOREIGN if name in _BREAKOUT else ())], shelters)
         if name in _RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
         if name in _VOID or match[3].endswith("/") or name in _HIDDEN and name != "head" and not closed_later(name):
             continue
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in _CLOSED_BY_NEXT.get(name, ()) or stack[k][0] == "p" and name not in _INLINE and name not in _HIDDEN:
-                close(stack[k][0])
-                break
-            if stack[k][0] in _STOPS or stack[k][0] in _HIDDEN:
-                break
+        closed = _CLOSED_BY_NEXT.get(name, ())
+        close_innermost(closed if name in _INLINE or name in _HIDDEN else (*closed, "p"), barriers)
         own = tuple("." + x.lower() for values in _NAMES.findall(match[3]) for x in _NAME_PARTS.findall("".join(values)))
-        stack.append((name, own))
+        places.setdefault(name, []).append(len(stack))
+        if name in _NOT_CLOSED_BEYOND:
+            barriers.append(len(stack))
+        if name in _NOT_BROKEN_OUT_OF:
+            shelters.append(len(stack))
+        stack.append(_Open(name, own, stack[-1] if stack else None))
         links += name == "a"
         hidden += name in _HIDDEN
         early += name in _ENDED_EARLY
@@ -146,21 +181,22 @@ def _bucket(text: str, buckets: int) -> int:
     return crc32(text.encode("utf-8", "replace")) % buckets
 
 
-def features(page: Sequence[Block]) -> np.ndarray:
-    """One row per block: hashed tag path, hashed words, and a few numbers on length, links and place."""
-    out = np.zeros((len(page), FEATURES), dtype="float32")
-    for k, block in enumerate(page):
-        row = out[k]
-        for x in block.path:
-            if x not in ("html", "body"):
-                row[_bucket(x, _PATHS)] = 1
+def features(page: Sequence[Block], first: int = 0, end: int | None = None) -> np.ndarray:
+    """One row per block, from block ``first`` to before ``end``: hashed tag path, hashed words, and a few numbers on length, links and place."""
+    some = page[first:end]
+    out = np.zeros((len(some), FEATURES), dtype="float32")
+    marks = b"".join((b.inside.marks if b.inside else 0).to_bytes(_PATHS // 8, "little") for b in some)
+    out[:, :_PATHS] = np.unpackbits(np.frombuffer(marks, dtype="uint8").reshape(-1, _PATHS // 8), axis=1, bitorder="little")
+    for k, block in enumerate(some, first):
+        row = out[k - first]
         words = _WORD.findall(block.text.lower())
         if words:
             hashed = np.bincount([_bucket(w, _WORDS) for w in words], minlength=_WORDS)
             row[_PATHS:_PATHS + _WORDS] = np.sqrt(hashed / len(words))
         size = len(block.text)
         row[_PATHS + _WORDS:] = (np.log1p(size) / 8, np.log1p(len(words)) / 6, block.linked / size, block.text[-1] in ".!?…。",
-                                 k == 0, k == len(page) - 1, len(block.path) / 20, sum(c.isdigit() for c in block.text[:200]) / min(size, 200))
+                                 k == 0, k == len(page) - 1, (block.inside.depth if block.inside else 0) / 20,
+                                 sum(c.isdigit() for c in block.text[:200]) / min(size, 200))
     return out
 
 
@@ -175,30 +211,48 @@ class Labeller:
             ("W", wide(FEATURES, 4 * hidden) * 2), ("U", wide(hidden, 4 * hidden)), ("c", np.zeros(4 * hidden, "float32")))}
         self.weights |= {"V": wide(2 * hidden, 1), "d": np.zeros(1, "float32")}
 
-    def _run(self, side: str, x: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, list]:
-        h = c = np.zeros((x.shape[1], self.hidden), "float32")
-        n, trace, out = self.hidden, [], np.zeros((*x.shape[:2], self.hidden), "float32")
-        inputs = x @ self.weights[f"{side}W"] + self.weights[f"{side}c"]
-        for t in range(len(x)) if side == "f" else range(len(x) - 1, -1, -1):
+    def _inputs(self, side: str, x: np.ndarray) -> np.ndarray:
+        return x @ self.weights[f"{side}W"] + self.weights[f"{side}c"]
+
+    def _run(self, side: str, inputs: np.ndarray, mask: np.ndarray, traced: bool = False) -> tuple[np.ndarray, list]:
+        h = c = np.zeros((inputs.shape[1], self.hidden), "float32")
+        n, trace, out = self.hidden, [], np.zeros((*inputs.shape[:2], self.hidden), "float32")
+        for t in range(len(inputs)) if side == "f" else range(len(inputs) - 1, -1, -1):
             z = inputs[t] + h @ self.weights[f"{side}U"]
             gates = 1 / (1 + np.exp(-np.clip(z[:, :3 * n], -30, 30)))
             i, f, o, g = gates[:, :n], gates[:, n:2 * n], gates[:, 2 * n:], np.tanh(z[:, 3 * n:])
             new = f * c + i * g
             m = mask[t][:, None]
-            trace.append((t, i, f, o, g, c, h, np.tanh(new), m))
+            if traced:
+                trace.append((t, i, f, o, g, c, h, np.tanh(new), m))
             c = m * new + (1 - m) * c
             h = m * o * np.tanh(new) + (1 - m) * h
             out[t] = h
         return out, trace
 
+    def _output(self, forward: np.ndarray, backward: np.ndarray) -> np.ndarray:
+        return (np.concatenate([forward, backward], axis=2) @ self.weights["V"] + self.weights["d"])[:, :, 0]
+
     def scores(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        both = np.concatenate([self._run("f", x, mask)[0], self._run("b", x, mask)[0]], axis=2)
-        return (both @ self.weights["V"] + self.weights["d"])[:, :, 0]
+        return self._output(*(self._run(side, self._inputs(side, x), mask)[0] for side in "fb"))
+
+    def score_pages(self, pages: Sequence[Sequence[Block]], slice_rows: int = 4096) -> list[np.ndarray]:
+        """Scores of the blocks of each page, pages side by side. Features are made and multiplied a slice at a time."""
+        mask = np.zeros((max(map(len, pages)), len(pages)), "float32")
+        inputs = {side: np.zeros((*mask.shape, 4 * self.hidden), "float32") for side in "fb"}
+        for lane, page in enumerate(pages):
+            mask[:len(page), lane] = 1
+            for first in range(0, len(page), slice_rows):
+                x = features(page, first, first + slice_rows)
+                for side in "fb":
+                    inputs[side][first:first + len(x), lane] = self._inputs(side, x)
+        both = self._output(*(self._run(side, inputs.pop(side), mask)[0] for side in "fb"))
+        return [both[:len(page), lane] for lane, page in enumerate(pages)]
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        runs = {side: self._run(side, x, mask) for side in "fb"}
+        runs = {side: self._run(side, self._inputs(side, x), mask, traced=True) for side in "fb"}
+        score = self._output(runs["f"][0], runs["b"][0])
         both = np.concatenate([runs["f"][0], runs["b"][0]], axis=2)
-        score = (both @ self.weights["V"] + self.weights["d"])[:, :, 0]
         slope = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - y) * mask / mask.sum()
         out = {"V": np.einsum("tbh,tb->h", both, slope)[:, None], "d": slope.sum(keepdims=True)[0]}
         n = self.hidden
@@ -336,16 +390,21 @@ def trained(pages: int = 600, rounds: int = 12, hidden: int = 16, seed: int = 7)
     return model
 
 
-def main_text(pages: Sequence[str | None], model: Labeller, lanes: int = 64) -> list[str]:
-    """The article blocks of each page, joined by line breaks; pages of like length are labelled side by side."""
+def main_text(pages: Sequence[str | None], model: Labeller, lanes: int = 64, cells: int = 65_536) -> list[str]:
+    """The article blocks of each page, joined by line breaks.
+
+    Pages of like length are labelled side by side, at most ``lanes`` of them and so many that, padded to the longest, they
+    take at most ``cells`` blocks; a page longer than that is labelled alone, in memory in proportion to its own blocks.
+    """
     found = [blocks(page) for page in pages]
     out = [""] * len(found)
     order = sorted((k for k in range(len(found)) if found[k]), key=lambda k: len(found[k]))
-    for first in range(0, len(order), lanes):
-        group = order[first:first + lanes]
-        kept = model.scores(*_padded([features(found[k]) for k in group])) > 0
-        for lane, k in enumerate(group):
-            out[k] = "\n".join(b.text for b, keep in zip(found[k], kept[:, lane]) if keep)
+    while order:
+        # From the longest down: the first of a group decides what each lane takes.
+        count = max(1, min(lanes, cells // len(found[order[-1]])))
+        group, order = order[-count:], order[:-count]
+        for k, scores in zip(group, model.score_pages([found[k] for k in group]), strict=True):
+            out[k] = "\n".join(b.text for b, score in zip(found[k], scores, strict=True) if score > 0)
     return out
 
 

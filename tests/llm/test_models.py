@@ -1,6 +1,8 @@
 """Toxicity, language and page text: accuracy on rows that were held out, and edge cases."""
 
 import random
+import time
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -200,6 +202,32 @@ def test_labeller_on_pages_it_has_not_seen():
     assert same / len(pages) > 0.97
 
 
+def test_long_and_deep_pages_take_bounded_memory_and_time():
+    model = html_text.trained()
+    pages = ["<article>" + "<p>One two three.</p>" * 40_000 + "</article>"] + ["<p>One two three.</p>"] * 63
+    tracemalloc.start()
+    out = html_text.main_text(pages, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out[0]) > 15 * 39_000 and len(set(out[1:])) == 1 and peak < 300e6
+    # Neither open elements nor end tags and paragraphs inside many of them cost more the more there are.
+    begin = time.perf_counter()
+    n = 100_000
+    deep = html_text.blocks("<div>x" * n)
+    assert len(deep) == n and deep[-1].inside.depth == n and deep[99].path == ("div",) * 100
+    assert len(html_text.blocks("<span>" * n + "</b>x<p>" * n)) == n
+    assert [b.text for b in html_text.blocks("<svg>" + "<g>" * n + "<title>x</title>" * n + "<p>y</p></svg>")] == ["y"]
+    assert [b.text for b in html_text.blocks("<head>" + "<meta>" * n + "<p>y")] == ["y"]
+    assert time.perf_counter() - begin < 60
+
+
+def test_groups_of_pages_do_not_change_labels():
+    model, rng = html_text.trained(), random.Random(4)
+    pages = [html_text.training_page(rng)[0] for _ in range(40)] + ["", None]
+    whole = html_text.main_text(pages, model)
+    assert whole == html_text.main_text(pages, model, lanes=1) == html_text.main_text(pages, model, lanes=5, cells=60) and whole[-2:] == ["", ""]
+
+
 def test_html_query_and_edge_cases(spark):
     pages = spark.createDataFrame([(1, "u", None, "k"), (2, None, "", "k"), (3, "u", "<nav><a href=x>Home</a></nav>", "k"),
                                    (None, "u", "<article><p>" + "word " * 50000 + "</article>", "k"), (3, "u", "<nav><a href=x>Home</a></nav>", "k")],
