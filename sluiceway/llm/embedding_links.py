@@ -121,7 +121,7 @@ def _compare(threshold: float):
             x, y = x[least == leaf], y[least == leaf]
             np.add.at(links, x, counts[y])
             np.add.at(links, y, counts[x])
-        # Smallest id of each group of linked vectors: pass the smaller id on until nothing changes.
+        # Smallest class of each group of linked vectors: pass the smaller one on until nothing changes.
         low = ids.copy()
         while len(a):
             was = low.copy()
@@ -145,11 +145,14 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.98, forest: Forest
     Equal vectors of a label are one class, compared once and counted as often as they occur; a large group of near
     vectors is compared in blocks, several tasks to a leaf. Null labels, null, empty and zero vectors, vectors with null or
     non-finite parts, and rows without vec_id link with nothing; a row without vec_id has no component and is kept.
-    Vectors of different lengths are never compared. Equal rows link with each other. Other columns are ignored.
+    Vectors of different lengths are never compared. Equal rows link with each other; rows with one vec_id and different
+    vectors or labels are different vectors, each with its own links. Other columns are ignored.
     """
     rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
     usable = rows.filter(_usable())
-    classes = cut(usable.groupBy("label", "embedding").agg(F.min("vec_id").cast("long").alias("cls"), F.count(F.lit(1)).alias("members")), "vector-classes")
+    # Named by a number of their own: one vec_id may stand for several vectors. The table is written, so the numbers stay.
+    grouped = usable.groupBy("label", "embedding").agg(F.min("vec_id").cast("long").alias("first_id"), F.count(F.lit(1)).alias("members"))
+    classes = cut(grouped.withColumn("cls", F.monotonically_increasing_id()), "vector-classes")
     leaf_rows = cut(grow(classes, threshold, forest).distinct(), "forest-leaves")
     per_class = leaf_rows.groupBy("cls").agg(F.array_sort(F.collect_set("leaf")).alias("leaves"))
     blocks = leaf_rows.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / forest.block).cast("int").alias("blocks"))
@@ -160,13 +163,16 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.98, forest: Forest
         F.when(j == F.col("mine"), 3).when(F.col("mine") < j, 1).otherwise(2).alias("side")))
     dealt = leaf_rows.join(blocks, "leaf").withColumn("mine", mine).withColumn("meet", F.explode(meets)).select(
         "leaf", "cls", "meet.i", "meet.j", "meet.side")
-    pairs = dealt.join(classes.join(per_class, "cls"), "cls")
+    pairs = dealt.join(classes.drop("first_id").join(per_class, "cls"), "cls")
     found = cut(pairs.groupBy("label", "leaf", "i", "j").applyInPandas(_compare(threshold), "cls long, links long, low long"), "vector-links")
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     component = connected_components(found.select(F.col("cls").alias("a"), F.col("low").alias("b")), "vector-components")
-    known = classes.join(links, "cls", "left").join(component.withColumnRenamed("node", "cls"), "cls", "left").select(
+    in_component = cut(component.withColumnRenamed("node", "cls").join(classes.select("cls", "first_id"), "cls"), "vector-components")
+    named = in_component.groupBy("component").agg(F.min("first_id").alias("least_id"))
+    least = in_component.select("cls", "component").join(named, "component").select("cls", "least_id")
+    known = classes.join(links, "cls", "left").join(least, "cls", "left").select(
         F.struct("label", "embedding").alias("is"), (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links"),
-        F.coalesce("component", "cls").alias("component_id"))
+        F.coalesce("least_id", "first_id").alias("component_id"))
     linked = usable.select("vec_id", "label", "embedding").join(known, F.struct("label", "embedding") == F.col("is")).select(
         "vec_id", "n_links", "component_id")
     alone = rows.filter(~_usable())

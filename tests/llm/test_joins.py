@@ -132,6 +132,37 @@ def test_embedding_links_equal_brute_force(spark):
     assert embedding_links.embedding_links(vectors(spark, rows).limit(0)).collect() == []
 
 
+def test_embedding_links_of_repeated_ids(spark):
+    def near(x):
+        return [1.0, float(x), 0.0]
+    rows = [(1, near(0), 1), (2, near(0.01), 1), (1, [0.0, 1.0, 0.0], 1), (3, [0.01, 1.0, 0.0], 1), (3, [0.0, 0.0, 1.0], 1), (3, near(0), 2), (3, near(0), 2), (9, near(0.02), 1)]
+    got = embedding_links.embedding_links(vectors(spark, rows)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 1, 1), (1, 2, 1), (2, 2, 1), (3, 0, 3), (3, 1, 1), (3, 1, 3), (3, 1, 3), (9, 2, 1)]
+
+
+def test_embedding_recall_of_the_default_forest(spark):
+    """Labels of several thousand vectors, so that trees split; near vectors lie anywhere about the threshold."""
+    rng = np.random.default_rng(8)
+    per_label = []
+    for _ in range(2):
+        base = rng.standard_normal((1500, 32))
+        copies = rng.integers(1, 5, len(base))
+        made = np.repeat(base, copies, axis=0)
+        noise = rng.choice([0.02, 0.1, 0.14, 0.2], len(made))[:, None]
+        per_label.append((made + noise * rng.standard_normal(made.shape)).astype("float32"))
+    rows = [(k * 100_000 + i, v.tolist(), k) for k, made in enumerate(per_label) for i, v in enumerate(made)]
+    got = {r.vec_id: r for r in embedding_links.embedding_links(vectors(spark, rows)).collect()}
+    found = wanted = 0
+    for k, made in enumerate(per_label):
+        assert len(made) > 4 * embedding_links.Forest().leaf
+        unit = made.astype("float64")
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        for i, want in enumerate((unit @ unit.T >= 0.98).sum(axis=1) - 1):
+            assert got[k * 100_000 + i].n_links <= want
+            found, wanted = found + got[k * 100_000 + i].n_links, wanted + want
+    assert wanted > 4000 and found >= 0.97 * wanted
+
+
 def test_embedding_query_equals_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     got = LLM_QUERIES["op6_embedding_links"](spark, SF_DIR).collect()
