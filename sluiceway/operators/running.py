@@ -18,12 +18,14 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.session import shared_folder
+from sluiceway.session import fresh_path
 
 # What a slice aims at; ``rows_per_slice`` of the operators overrides it where rows are very wide or very narrow.
 ROWS_PER_SLICE = 1_000_000
 # The first grid is finer than the slices asked for: that costs only more offset rows, and fewer slices are cut again.
 GRID = 16
+# Hash cells in which keys are counted before any of them is counted on its own.
+CELLS = 1 << 16
 _WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
 
 
@@ -138,23 +140,38 @@ def slice_rows(df: DataFrame, order: Sequence[str], rows_per_slice: int = ROWS_P
     return cuts.apply(df), cuts.columns()
 
 
+def hot_keys(df: DataFrame, key: Sequence[str], more_than: int, cells: int = CELLS) -> DataFrame | None:
+    """The keys with more than ``more_than`` rows, exactly; None where there are none.
+
+    Keys are first counted by ``cells`` hash cells, which moves at most that many numbers a task however many keys there
+    are. A hot key's cell has at least its rows, so only keys of cells above the limit are counted one by one.
+    """
+    cell = F.pmod(F.xxhash64(*key), F.lit(cells))
+    full = df.groupBy(cell.alias("__cell")).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > more_than).select("__cell").collect()
+    if not full:
+        return None
+    table = _bigint_table(df, [tuple(r) for r in full], ["__cell"])  # at most ``cells`` rows
+    doubtful = df.select(*key, cell.alias("__cell")).join(F.broadcast(table), "__cell", "left_semi")
+    hot = doubtful.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > more_than).select(*key)
+    path = fresh_path(df.sparkSession, "hot-keys")
+    hot.write.parquet(path)
+    hot = df.sparkSession.read.schema(hot.schema).parquet(path)
+    return None if hot.isEmpty() else hot
+
+
 def slice_hot_keys(
     df: DataFrame, key: Sequence[str], order: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE,
 ) -> tuple[DataFrame, list[str]]:
     """Slice only keys with more than ``rows_per_slice`` rows; all other keys stay whole, in slice 0.
 
-    There are at most as many such keys as slices in the whole table, which bounds the broadcast. One aggregate finds
-    them; where there are none, a plain window per key is all that is left to do.
+    There are at most as many such keys as slices in the whole table, which bounds the broadcast. Where there are none, a
+    plain window per key is all that is left to do.
     """
     names = [f"__hot{i}" for i in range(len(key))]
-    shared_folder(df.sparkSession)  # checkpoint() below needs one
-    hot = (
-        df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_slice)
-        .select(*[F.col(k).alias(n) for k, n in zip(key, names, strict=True)], F.lit(True).alias("__hot"))
-        .checkpoint()
-    )
-    if hot.isEmpty():
+    hot = hot_keys(df, key, rows_per_slice)
+    if hot is None:
         return df.withColumn("__slice0", F.lit(0).cast("bigint")), ["__slice0"]
+    hot = hot.select(*[F.col(k).alias(n) for k, n in zip(key, names, strict=True)], F.lit(True).alias("__hot"))
     match = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, names, strict=True)]
     marked = df.join(F.broadcast(hot), match, "left").drop(*names)
     cuts = plan_cuts(marked.where(F.col("__hot")).select(*order), order, rows_per_slice)
@@ -200,8 +217,9 @@ def _sum_up(
 ) -> DataFrame:
     """Running sums inside each slice plus the totals of the slices before it.
 
-    ``sliced`` are the rows whose slices need an offset, one row per slice. Spark decides how to join them: the rows are
-    already dealt out by slice for the window, so a shuffled join moves only the offsets.
+    ``sliced`` are the rows whose slices need an offset, one row per slice. With a key, which may be null, offsets enter as
+    a row in front of their slice. Without, Spark decides how to join them: the rows are already dealt out by slice for
+    the window, so a shuffled join moves only the offsets.
     """
     shared = [*key, *cut]
     totals = sliced.groupBy(*shared).agg(*[F.sum(e).cast("bigint").alias(n) for n, e in sums.items()])
@@ -210,19 +228,30 @@ def _sum_up(
         *[F.col(c).alias(f"__at{i}") for i, c in enumerate(shared)],
         *[F.sum(n).over(earlier).alias(f"__before_{n}") for n in sums],
     )
-    inside = Window.partitionBy(*shared).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if key:
+        return _with_offset_rows(df, offsets, sums, order, shared, cut, start)
+    inside = Window.partitionBy(*cut).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = df.withColumns({f"__in_{n}": F.sum(e).over(inside) for n, e in sums.items()})
-    # Keys may be null, slice columns never are.
-    match = [
-        F.col(c).eqNullSafe(F.col(f"__at{i}")) if c in key else F.col(c) == F.col(f"__at{i}")
-        for i, c in enumerate(shared)
-    ]
+    match = [F.col(c) == F.col(f"__at{i}") for i, c in enumerate(cut)]
     out = local.join(offsets, match, "left").withColumns({
         n: (F.col(f"__in_{n}") + F.coalesce(F.col(f"__before_{n}"), F.lit(0)) + F.lit(start.get(n, 0))).cast("bigint")
         for n in sums
     })
-    return out.drop(
-        *[f"__in_{n}" for n in sums], *[f"__before_{n}" for n in sums], *[f"__at{i}" for i in range(len(shared))], *cut)
+    return out.drop(*[f"__in_{n}" for n in sums], *[f"__before_{n}" for n in sums], *[f"__at{i}" for i in range(len(cut))], *cut)
+
+
+def _with_offset_rows(
+    df: DataFrame, offsets: DataFrame, sums: Mapping[str, Column], order: list[str], shared: list[str], cut: list[str],
+    start: Mapping[str, int],
+) -> DataFrame:
+    """Rows and offsets go through one shuffle and one sort; a join on a key that may be null would need them anew."""
+    rows = df.withColumns({f"__add_{n}": e.cast("bigint") for n, e in sums.items()}).withColumn("__first", F.lit(1))
+    extra = offsets.select(*[F.col(f"__at{i}").alias(c) for i, c in enumerate(shared)],
+                           *[F.coalesce(f"__before_{n}", F.lit(0)).cast("bigint").alias(f"__add_{n}") for n in sums], F.lit(0).alias("__first"))
+    inside = Window.partitionBy(*shared).orderBy("__first", *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = rows.unionByName(extra, allowMissingColumns=True)
+    out = both.withColumns({n: (F.sum(f"__add_{n}").over(inside) + F.lit(start.get(n, 0))).cast("bigint") for n in sums})
+    return out.where(F.col("__first") == 1).drop("__first", *[f"__add_{n}" for n in sums], *cut)
 
 
 def _with_carried_rows(

@@ -354,6 +354,9 @@ def oracle_queries() -> dict[str, str]:
             GROUP BY start"""),
         "latency_sketch": _sql(_LATENCY),
         "stream_latency": _sql(_LATENCY),
+        "stream_backlog": _sql(f"""SELECT CAST(batch AS BIGINT) AS batch_id, n AS records_added,
+              CAST((SELECT count(*) FROM raw) - sum(n) OVER (ORDER BY batch) AS BIGINT) AS backlog, true AS timed
+            FROM (SELECT {_SLICE} AS batch, count(*) AS n FROM raw GROUP BY 1)"""),
         "metrics_current": _sql(f"""SELECT arg_max(throughput, start) AS throughput_events_per_sec,
               CAST(sum(incoming) AS BIGINT) AS processed_total, arg_max(error_rate, start) AS error_rate,
               CAST(sum(dlq_count) AS BIGINT) AS dlq_count, (SELECT count(DISTINCT {_SLICE}) FROM raw WHERE {_SLICE} < 2) AS checkpoint,

@@ -14,7 +14,7 @@ from sluiceway.plans.checkout import checkout_events
 from sluiceway.schema import MINIMUM_RECORDS
 from sluiceway.session import fresh_path
 from sluiceway.sources import readers, writers
-from sluiceway.streaming import job, pipeline
+from sluiceway.streaming import job, pipeline, progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -661,13 +661,16 @@ def _arrive(spark: SparkSession, sf_dir: str, root: str, part: int) -> None:
         f"{root}/inbox")
 
 
-def _run_stream(spark: SparkSession, sf_dir: str, parts: int = 3) -> str:
+def _run_stream(spark: SparkSession, sf_dir: str, parts: int = 3, reports: progress.ProgressLog | None = None) -> str:
     root = fresh_path(spark, "stream")
     schema = spark.createDataFrame([], STAGED).schema
     for part in range(parts):
         _arrive(spark, sf_dir, root, part)
         events = readers.read_events(spark, "parquet", schema, path=f"{root}/inbox")
-        job.start(events, root, f"{root}/checkpoint", available_now=True).awaitTermination()
+        started = job.start(events, root, f"{root}/checkpoint", available_now=True)
+        started.awaitTermination()
+        if reports:
+            reports.wait_for(started)
     return root
 
 
@@ -695,12 +698,12 @@ def stream_breaker_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each committed batch holds, going by the commit files of the checkpoint."""
-    root = _run_stream(spark, sf_dir)
-    commits = spark.read.text(f"{root}/checkpoint/commits").select(
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).cast("bigint").alias("batch_id")).distinct()
+    """What each batch holds that has been reported as finished, going by the progress log."""
+    log = fresh_path(spark, "progress")
+    with progress.recorded(spark, log) as reports:
+        root = _run_stream(spark, sf_dir, reports=reports)
     rows = _stream_rows(spark, root).groupBy("batch_id").agg(F.count(F.lit(1)).alias("records"))
-    return commits.join(rows, "batch_id", "left")
+    return progress.read_progress(spark, log).select("batch_id").join(rows, "batch_id", "left")
 
 
 @query
@@ -720,7 +723,9 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 MESSAGE = "event_id bigint, event_ts timestamp, ingest_ts timestamp, user_id bigint, value string"
 
 
-def _run_pipeline(spark: SparkSession, sf_dir: str, parts: int = 3, **settings) -> pipeline.Pipeline:
+def _run_pipeline(
+    spark: SparkSession, sf_dir: str, parts: int = 3, reports: progress.ProgressLog | None = None, **settings,
+) -> pipeline.Pipeline:
     """The table arrives in three slices, the pipeline is started anew for each of the first ``parts``."""
     root = fresh_path(spark, "pipeline")
     made = pipeline.Pipeline(root, **settings)
@@ -729,7 +734,10 @@ def _run_pipeline(spark: SparkSession, sf_dir: str, parts: int = 3, **settings)
         events.select("event_id", F.col("event_ts").cast("timestamp"), F.col("ingest_ts").cast("timestamp"),
                       F.col("user_id").cast("bigint"), "value").write.mode("append").parquet(f"{root}/inbox")
         messages = readers.read_events(spark, "parquet", T._parse_datatype_string(MESSAGE), path=f"{root}/inbox")
-        pipeline.start_pipeline(messages, made, f"{root}/checkpoint", available_now=True).awaitTermination()
+        started = pipeline.start_pipeline(messages, made, f"{root}/checkpoint", available_now=True)
+        started.awaitTermination()
+        if reports:
+            reports.wait_for(started)
     return made
 
 
@@ -787,3 +795,15 @@ def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The histograms of three batches, merged."""
     rows = pipeline.read_latency(spark, _run_pipeline(spark, sf_dir))
     return rows.withColumn("window_start", clock("window_start", "window_start"))
+
+
+@query
+def stream_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the whole table each finished batch leaves to be taken: progress rows say which batches are done, commit rows what they hold."""
+    log = fresh_path(spark, "progress")
+    with progress.recorded(spark, log) as reports:
+        made = _run_pipeline(spark, sf_dir, reports=reports)
+    done = progress.read_progress(spark, log).select("batch_id", (F.col("checkpoint_duration_ms") >= 0).alias("timed"))
+    events = checkout_events(spark, sf_dir).agg(F.count(F.lit(1))).scalar()
+    commits = pipeline.read_commits(spark, made).withColumn("batch_id", F.substring_index("snapshot_id", "-", -1).cast("bigint"))
+    return commits.join(done, "batch_id").select("batch_id", "records_added", (events - F.col("total_records")).alias("backlog"), "timed")

@@ -30,7 +30,7 @@ from sluiceway.operators.metrics import COUNTERS, interval_counters, latency_his
 from sluiceway.operators.rules import checkout_rules, judge
 from sluiceway.operators.running import ROWS_PER_SLICE, running_sums
 from sluiceway.schema import DLQ_TABLE, ERROR_THRESHOLD, MINIMUM_RECORDS
-from sluiceway.session import configure
+from sluiceway.session import configure, shared_folder
 from sluiceway.sources.writers import write_routed
 from sluiceway.streaming.tables import BatchTable, latest_by
 
@@ -138,6 +138,7 @@ def run_message_batch(messages: DataFrame, batch_id: int, settings: Pipeline, pe
     The breaker looks at a batch several times; ``persist`` keeps the parsed messages for that, so each is read and parsed once.
     """
     spark, key = messages.sparkSession, settings.key
+    shared_folder(spark)  # checkpoint() below needs one
     for table in (settings.state(), settings.intervals(), settings.latency(), settings.incidents(), settings.commits()):
         table.compact(spark, batch_id, settings.fold_every)
     parsed = parse_messages(messages, settings)
