@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark import Broadcast
@@ -22,6 +23,8 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 TOKEN = r"[^\x20\x09-\x0D]+"
 #: A table is broadcast only up to so many rows and bytes; beyond, the same join runs as a shuffle.
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
+#: So many copies of one row are put in their places by one task.
+MANY_COPIES = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,10 +51,23 @@ def packed(df: DataFrame) -> DataFrame:
     return df.select(F.struct(*(F.col(f"`{c}`").alias(c) for c in df.columns)).alias("row"))
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files; else they stay until the driver happens to collect its garbage."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: its lineage ends there, and a lost executor costs nothing."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with shuffles_released(df.sparkSession):
+        df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out
@@ -114,26 +130,49 @@ def unfold_rows(df: DataFrame) -> DataFrame:
     return df.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
 
 
-def number_rows(rows: DataFrame, keys: Sequence[str], repeated: DataFrame) -> DataFrame:
-    """``keys``, ``row`` and ``copy``, which numbers the rows that are equal in ``keys`` from 0, by a hash of the whole row.
+def place_rows(rows: DataFrame, keys: Sequence[str], plan: DataFrame) -> DataFrame:
+    """``row`` and the columns of ``plan`` (``keys``, ``copy``, ``copies`` and more; already cut) that are meant for it.
 
-    ``repeated``, already cut, has the keys of more than one row and their number in ``copies``. Rows that are equal as
-    a whole are counted before they are moved, the others of one key dealt to about as many slices as its rows' root.
+    ``rows`` has ``keys``, all of them taken from ``row``; the plan has one row per row of it. Rows that are equal in
+    ``keys`` are numbered from 0 by a hash of the whole row, and get the plan's ``copy`` of that number.
+
+    Rows are moved once at most: where keys repeat, rows that are equal as a whole are folded before they are moved, and meet their
+    places, which are worked out from hashes alone, where they then are. A row of more than ``MANY_COPIES`` goes to several tasks.
     """
+    def same(other: dict[str, Column]) -> Column:
+        on = F.lit(True)
+        for k in keys:
+            on = on & F.col(k).eqNullSafe(other[k])
+        return on
+
+    planned = plan.select(F.struct(*plan.columns).alias("plan"))
+    at = same({k: F.col("plan")[k] for k in keys}) & (F.col("copy") == F.col("plan.copy"))
+    repeated = plan.filter("copies > 1 AND copy = 0")
     if repeated.isEmpty():
-        return rows.select(*keys, "row", F.lit(0).cast("long").alias("copy"))
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"more_{k}"))
-    more = bounded(repeated.select(*(F.col(k).alias(f"more_{k}") for k in keys), F.col("copies").alias("more")))
-    marked = rows.join(more, on, "left")
-    once = marked.filter("more IS NULL").select(*keys, "row", F.lit(0).cast("long").alias("copy"))
-    several = marked.filter("more IS NOT NULL").groupBy(*keys, "more", F.md5(F.to_json("row")).alias("row_id")).agg(
-        F.any_value("row").alias("row"), F.count(F.lit(1)).alias("copies"))
-    dealt = cut(several, "numbered-rows").withColumns(
+        return rows.select(*keys, "row", F.lit(0).cast("long").alias("copy")).join(planned, at).select("row", "plan.*")
+
+    hashed = rows.select(*keys, "row", F.md5(F.to_json("row")).alias("row_id"))
+    counts = cut(hashed.groupBy(*keys, "row_id").agg(F.count(F.lit(1)).alias("copies")), "numbered-rows")
+    more = bounded(cut(repeated.select(*(F.col(k).alias(f"more_{k}") for k in keys), F.col("copies").alias("more")), "repeated-rows"))
+    marked = counts.join(more, same({k: F.col(f"more_{k}") for k in keys}), "left")
+    several = marked.filter("more IS NOT NULL").withColumns(
         {"key": hash_fraction(F.col("row_id")), "weight": F.col("copies"), "slices": F.ceil(F.sqrt("more"))})
-    numbered = unfold_rows(prefix_sums(dealt, keys, "key", ["row_id"], "weight", "slices"))
-    return once.unionByName(numbered.select(*keys, "row", (F.col("before") + F.col("copy")).alias("copy")))
+    numbered = prefix_sums(several, keys, "key", ["row_id"], "weight", "slices").select(*keys, "row_id", "copies", "before").unionByName(
+        marked.filter("more IS NULL").select(*keys, "row_id", "copies", F.lit(0).cast("long").alias("before")))
+    # One column, never null, that says the same as keys and row_id: what is grouped by it needs no further move to be joined by it.
+    place = F.md5(F.concat_ws(":", F.xxhash64(*keys).cast("string"), "row_id"))
+    each = unfold_rows(numbered.withColumn("many", F.col("copies") > MANY_COPIES)).withColumns(
+        {"place": place, "part": F.expr(f"copy DIV {MANY_COPIES}"), "copy": F.col("before") + F.col("copy")})
+    places = each.select(*keys, "copy", "place", "part", "many").join(planned, at).select("place", "part", "many", "plan")
+
+    once = hashed.select(place.alias("place"), "row").groupBy("place").agg(F.any_value("row").alias("row"))
+    out = once.join(places.filter("NOT many").select("place", "plan"), "place").select("row", "plan.*")
+    many = counts.filter(F.col("copies") > MANY_COPIES).select(place.alias("m_place"), F.expr(f"(copies - 1) DIV {MANY_COPIES}").alias("last"))
+    if many.isEmpty():
+        return out
+    few = hashed.withColumn("place", place).join(bounded(cut(many, "many-rows")), F.col("place") == F.col("m_place")).groupBy("place", "last").agg(
+        F.any_value("row").alias("row")).select("place", "row", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("part"))
+    return out.unionByName(few.join(places.filter("many").select("place", "part", "plan"), ["place", "part"]).select("row", "plan.*"))
 
 
 def hash_fraction(*parts: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.llm.common import (
-    TOKEN, bounded, cut, fold_rows, hash_fraction, number_rows, packed, prefix_sums, text_key, unfold_rows,
+    TOKEN, bounded, cut, fold_rows, hash_fraction, packed, place_rows, prefix_sums, text_key, unfold_rows,
 )
 
 
@@ -89,19 +89,16 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
     """
     shares = cut(mix_plan(docs, **settings, numbered=True), "mix-plan")
     keys = ["doc_id", "source", "text_id"]
-    repeated = cut(shares.filter("copies > 1 AND copy = 0").select(*keys, "copies"), "mix-repeated")
-    rows = number_rows(packed(docs).select(F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"),
-                                           text_key(F.col("row.text")).alias("text_id"), "row"), keys, repeated)
-    plan = shares.filter("taken > 0").select(F.struct(*keys, "size", "taken", "copy").alias("plan"))
-    at = (F.col("doc_id").eqNullSafe(F.col("plan.doc_id")) & F.col("source").eqNullSafe(F.col("plan.source"))
-          & (F.col("text_id") == F.col("plan.text_id")) & (F.col("copy") == F.col("plan.copy")))
-    passes = F.ceil(F.col("plan.taken") / F.col("plan.size"))
-    taken = rows.join(plan, at).withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), passes)))
-    left = F.col("plan.taken") - (F.col("pass") - 1) * F.col("plan.size")
+    rows = packed(docs).select(F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"),
+                               text_key(F.col("row.text")).alias("text_id"), "row")
+    placed = place_rows(rows, keys, shares.select(*keys, "size", "taken", "copy", "copies")).filter("taken > 0")
+    passes = F.ceil(F.col("taken") / F.col("size"))
+    taken = placed.select("row", "taken", "size", F.explode(F.sequence(F.lit(1).cast("long"), passes)).alias("pass"))
+    left = F.col("taken") - (F.col("pass") - 1) * F.col("size")
     short = F.array_join(F.slice(F.regexp_extract_all("row.text", F.lit(TOKEN), F.lit(0)), F.lit(1), left.cast("int")), " ")
-    text = F.when(left < F.col("plan.size"), short).otherwise(F.col("row.text"))
+    text = F.when(left < F.col("size"), short).otherwise(F.col("row.text"))
     out = {c: F.col("row")[c] for c in docs.columns} | {"text": text}
     if "n_chars" in out:
         kind = docs.schema["n_chars"].dataType
-        out["n_chars"] = F.when(left < F.col("plan.size"), F.length(short).cast(kind)).otherwise(F.col("row.n_chars"))
+        out["n_chars"] = F.when(left < F.col("size"), F.length(short).cast(kind)).otherwise(F.col("row.n_chars"))
     return taken.select(*(column.alias(name) for name, column in out.items()))

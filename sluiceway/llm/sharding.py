@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.llm.common import bounded, cut, fold_rows, hash_fraction, number_rows, packed, prefix_sums, text_key, unfold_rows
+from sluiceway.llm.common import bounded, cut, fold_rows, hash_fraction, packed, place_rows, prefix_sums, text_key, unfold_rows
 
 
 def hilbert_steps(axes: Sequence[str], bits: int, to: str) -> list[dict[str, str]]:
@@ -148,12 +148,7 @@ def shard_rows(docs: DataFrame, dimensions: Sequence[str] = ("source", "lang", "
     plan = cut(_dealt(docs, dimensions, **settings).select(*keys, "copy", "copies", "shard", "slot"), "shard-plan")
     rows = packed(docs.drop("shard", "slot"))
     keyed = rows.select(*(F.col("row")[c].alias(c) for c in ("doc_id", *own)), text_key(F.col("row.text")).alias("text_id"), "row")
-    numbered = number_rows(keyed, keys, cut(plan.filter("copies > 1 AND copy = 0").select(*keys, "copies"), "shard-repeated"))
-    places = plan.select(F.struct(*keys, "copy").alias("plan"), "shard", "slot")
-    at = F.col("copy") == F.col("plan.copy")
-    for key in keys:
-        at = at & F.col(key).eqNullSafe(F.col("plan")[key])
-    return numbered.join(places, at).select("row.*", "shard", "slot")
+    return place_rows(keyed, keys, plan).select("row.*", "shard", "slot")
 
 
 def write_shards(docs: DataFrame, path: str, **settings) -> None:
