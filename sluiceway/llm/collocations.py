@@ -62,7 +62,10 @@ class _Inner(dict):
 
 def _length(codes: np.ndarray, mining: Mining) -> np.ndarray:
     """How many words a code stands for."""
-    return sum(((codes >> np.int64(mining.bits * k)) > 0).astype("int64") for k in range(mining.longest))
+    length = np.zeros(len(codes), "int64")
+    for k in range(mining.longest):
+        length += codes >= np.int64(1 << mining.bits * k)
+    return length
 
 
 def _dealt(keys: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -134,27 +137,27 @@ class BurstTrie:
 
     def take(self, leave: int) -> tuple[np.ndarray, np.ndarray]:
         """Spill subtrees, largest first, until at most ``leave`` entries are left: (sequences, counts)."""
-        left, out = self.settle(), []
+        left = self.settle()
+        paths, sizes, keys, counts = out = [], [], [], []
         for slot in sorted(self.sizes, key=self.sizes.get, reverse=True):
             if left <= leave:
                 break
             left -= self.sizes[slot]
-            out += self._flat(self.slots.pop(slot), 0)
-        codes, counts = (np.concatenate([o[k] for o in out]) if out else np.empty(0, "int64") for k in (0, 1))
+            self._flat(self.slots.pop(slot), 0, *out)
+        # Containers are small and many, so their paths are put in front of all sequences at once.
+        codes, counts = np.array(keys, "int64"), np.array(counts, "int64")
+        codes |= np.repeat(np.array(paths, "int64"), sizes) << _length(codes, self.mining) * self.mining.bits
         return codes[counts > 0], counts[counts > 0]
 
-    def _flat(self, node: dict, path: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        bits = self.mining.bits
-        if node.__class__ is _Inner:
-            yield np.array([path], "int64"), np.array([node[0]], "int64")
-            for word, child in node.items():
-                if word:
-                    yield from self._flat(child, path << bits | word)
-            return
-        codes, counts = np.fromiter(node.keys(), "int64", len(node)), np.fromiter(node.values(), "int64", len(node))
-        if path:
-            codes = (np.int64(path) << (_length(codes, self.mining) * bits)) | codes
-        yield codes, counts
+    def _flat(self, node: dict, path: int, paths: list[int], sizes: list[int], keys: list[int], counts: list[int]) -> None:
+        inner = node.__class__ is _Inner
+        paths.append(path)
+        sizes.append(1 if inner else len(node))
+        keys.extend((0,) if inner else node)
+        counts.extend((node[0],) if inner else node.values())
+        for word, child in node.items() if inner else ():
+            if word:
+                self._flat(child, path << self.mining.bits | word, paths, sizes, keys, counts)
 
 
 class _Numbers(dict):
@@ -202,7 +205,7 @@ class _Counter:
 
     def _forget(self) -> None:
         self.numbers, self.tries, self.seen, self.waiting, self.waits = _Numbers(), defaultdict(lambda: BurstTrie(self.mining)), Counter(), defaultdict(list), 0
-        self.hashes, self.done = np.zeros(1024, "uint64"), 1
+        self.hashes, self.done, self.most = np.zeros(1024, "uint64"), 1, 0
 
     def runs(self, leave: int, forget: bool = False) -> Iterator[pa.RecordBatch]:
         """Spilled subtrees as sorted runs of (lang, phrase, n); with ``forget`` words are numbered anew afterwards."""
@@ -277,6 +280,8 @@ class _Counter:
     def _insert(self) -> None:
         for lang, codes in self.waiting.items():
             self.tries[lang].add(np.concatenate(codes))
+        # A sequence adds one entry at most, so entries need not be counted before there may be too many.
+        self.most += self.waits
         self.waiting, self.waits = defaultdict(list), 0
 
     def check(self) -> Iterator[pa.RecordBatch]:
@@ -284,8 +289,11 @@ class _Counter:
         self._insert()
         if len(self.numbers) >= m.words or self.numbers.bytes > m.word_bytes or len(self.tries) > 64:
             yield from self.runs(0, forget=True)
-        elif sum(t.settle() for t in self.tries.values()) > m.entries:
-            yield from self.runs(m.entries // 2)
+        elif self.most > m.entries:
+            self.most = sum(t.settle() for t in self.tries.values())
+            if self.most > m.entries:
+                yield from self.runs(m.entries // 2)
+                self.most = m.entries // 2
 
 
 _COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
