@@ -32,8 +32,10 @@ def test_cut_leaves_no_shuffle_files(spark):
 def test_sharding_moves_repeated_rows_once(spark, folder):
     docs = frame(spark, [(k, noise(k), "en", "s") for k in range(100) for _ in range(1 + k % 3)])
     docs.write.parquet(f"{folder}/docs")
-    before = shuffled_bytes(spark)
+    before, threshold = shuffled_bytes(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     sharding.shard_rows(spark.read.parquet(f"{folder}/docs")).write.parquet(f"{folder}/out")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert shuffled_bytes(spark) - before < docs.count() * 20_000
     assert spark.read.parquet(f"{folder}/out").count() == docs.count()
 
