@@ -31,8 +31,8 @@ class Mining:
 
     A phrase goes where a longer one that holds it has ``percent`` of its occurrences. The other settings bound memory: a
     container bursts above ``burst`` entries; above ``entries`` entries in a task, whole subtrees are spilled, largest
-    first, until half are left; above ``words`` different words or ``word_bytes`` of them all is. ``block`` bytes of a text
-    are split at a time. ``filter_bits`` is the logarithm of the size of the filter between two passes.
+    first, until half are left; above ``words`` different words, ``word_bytes`` of them or 8 times ``words`` counts of single
+    words all is. ``block`` bytes of texts are split at a time. ``filter_bits`` is the logarithm of the size of the filter between two passes.
     """
 
     longest: int = 3
@@ -70,7 +70,7 @@ def _length(codes: np.ndarray, mining: Mining) -> np.ndarray:
 
 def _dealt(keys: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """The values of each key."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys.astype("uint16") if len(keys) and keys.max() < 1 << 16 else keys, kind="stable")  # 16 bits are sorted by radix
     keys, values = keys[order], values[order]
     edges = np.flatnonzero(np.diff(keys, prepend=-1)).tolist()
     for at, end in zip(edges, [*edges[1:], len(keys)]):
@@ -82,10 +82,17 @@ class BurstTrie:
 
     At the top words share containers (by their number modulo ``slots``), whose keys are whole sequences as one number. A
     container that grows too large becomes a node with a container per next word, whose keys are what follows that word.
+    How often single words occur is kept at the root, by number.
     """
 
     def __init__(self, mining: Mining) -> None:
-        self.mining, self.slots, self.sizes = mining, {}, {}
+        self.mining, self.slots, self.sizes, self.words = mining, {}, {}, np.zeros(1, "int64")
+
+    def add_words(self, ids: np.ndarray) -> None:
+        """Count single words; 0 is none."""
+        counts = np.bincount(ids, minlength=len(self.words))
+        counts[:len(self.words)] += self.words
+        self.words = counts
 
     def add(self, codes: np.ndarray) -> None:
         """Count many sequences at once: dealt to the containers by sorting, counted in these one by one."""
@@ -119,12 +126,17 @@ class BurstTrie:
             for code, n in node.items():
                 if code:
                     shift = (code.bit_length() - 1) // bits * bits
-                    inner.setdefault(code >> shift, Counter())[code & (1 << shift) - 1] += n
+                    child = inner.get(code >> shift)
+                    if child is None:
+                        child = inner[code >> shift] = Counter()
+                    child[code & (1 << shift) - 1] += n
             node = inner
         size = 1
         for word, child in node.items():
             if word:
-                node[word], n = self._settle(child, depth + 1)
+                n = len(child)
+                if child.__class__ is _Inner or n > self.mining.burst:
+                    node[word], n = self._settle(child, depth + 1)
                 size += n
         return node, size
 
@@ -183,6 +195,38 @@ def _blocks(data: bytes, size: int) -> Iterator[tuple[bytes, bool]]:
         at = end
 
 
+def _tokens(data: bytes) -> tuple[np.ndarray, np.ndarray, pa.LargeBinaryArray]:
+    """Where words begin and pieces end, which of these places are words, and the words."""
+    raw = np.frombuffer(data, "uint8")
+    inside = (raw != 32) & (raw != 9) & (raw != 10)
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    begins = edges[::2]
+    offsets = np.zeros(len(begins) + 1, "int64")
+    np.cumsum(edges[1::2] - begins, out=offsets[1:])
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])])
+    marks = raw == 10
+    marks[begins] = True
+    places = np.flatnonzero(marks)
+    return places, raw[places] != 10, words
+
+
+def _together(rows: Iterator[tuple[str, bytes]], size: int) -> Iterator[tuple[str, bytes]]:
+    """Texts of a language joined by line ends, which end a piece as the end of a text does; at most about ``size`` bytes wait."""
+    texts, total = defaultdict(list), 0
+    for lang, text in rows:
+        if len(text) >= size:
+            yield lang, text
+            continue
+        texts[lang].append(text)
+        total += len(text) + 1
+        if total >= size:
+            for of, some in texts.items():
+                yield of, b"\n".join(some)
+            texts, total = defaultdict(list), 0
+    for of, some in texts.items():
+        yield of, b"\n".join(some)
+
+
 def _fold(hashes: Sequence[np.ndarray], lang: str) -> np.ndarray:
     """One hash of several words in a row, from the hashes of each."""
     out = np.full(len(hashes[0]), xxh64_intdigest(lang.encode()), "uint64")
@@ -205,7 +249,7 @@ class _Counter:
 
     def _forget(self) -> None:
         self.numbers, self.tries, self.seen, self.waiting, self.waits = _Numbers(), defaultdict(lambda: BurstTrie(self.mining)), Counter(), defaultdict(list), 0
-        self.hashes, self.done, self.most = np.zeros(1024, "uint64"), 1, 0
+        self.hashes, self.done, self.most, self.cells = np.zeros(1024, "uint64"), 1, 0, 0
 
     def runs(self, leave: int, forget: bool = False) -> Iterator[pa.RecordBatch]:
         """Spilled subtrees as sorted runs of (lang, phrase, n); with ``forget`` words are numbered anew afterwards."""
@@ -216,16 +260,23 @@ class _Counter:
         bits, share = self.mining.bits, leave // max(1, len(self.tries))
         for lang, trie in self.tries.items():
             codes, counts = trie.take(share)
+            if forget:
+                # Words are few and come again, so they stay as long as their numbers do.
+                single = np.flatnonzero(trie.words[1:]) + 1
+                codes, counts = np.concatenate([codes, single]), np.concatenate([counts, trie.words[single]])
             length = _length(codes, self.mining)
             for size in range(self.shortest, self.longest + 1):
                 of = codes[length == size]
                 words = [(of >> np.int64(bits * (size - 1 - k))) & np.int64((1 << bits) - 1) for k in range(size)]
-                sorted_ = np.lexsort([order[w] for w in reversed(words)])
+                ranks = np.zeros(len(of), "int64")
+                for w in words:
+                    ranks = ranks << np.int64(bits) | order[w]
+                sorted_ = np.argsort(ranks)
                 for at in range(0, len(of), 50_000):
                     some = sorted_[at:at + 50_000]
                     parts = [names.take(pa.array(w[some])) for w in words]
                     phrase = pc.binary_join_element_wise(*parts, " ") if size > 1 else parts[0]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some)), phrase, pa.array(counts[length == size][some])], schema=_COUNTED)
+                    yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(some)), phrase, pa.array(counts[length == size][some])], schema=_COUNTED)
         if forget:
             if self.shortest == 1:
                 yield pa.RecordBatch.from_arrays([pa.array(list(self.seen), pa.string()), pa.array([""] * len(self.seen), pa.string()),
@@ -234,15 +285,27 @@ class _Counter:
 
     def count(self, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
         """Count one text, block by block; hands out runs where memory asks for it."""
-        m, pending = self.mining, []
+        m, pending = self.mining, b""
         for block, last in _blocks(text.translate(_BYTES), m.block):
-            words = pending + block.replace(b"\n", b" . ").split()
-            ids = np.fromiter(map(self.numbers.__getitem__, words), "int64", len(words))
+            block = pending + block
+            places, is_word, words = _tokens(block)
+            # Words are looked up once a block.
+            coded = words.dictionary_encode()
+            numbers = np.fromiter(map(self.numbers.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False)), "int64", len(coded.dictionary))
+            ids = np.zeros(len(places), "int64")
+            ids[is_word] = numbers[coded.indices.to_numpy()]
             # What begins with the last words of a block is counted with the next one.
             starts = len(ids) if last else max(0, len(ids) - m.longest + 1)
-            pending = words[starts:]
-            self.seen[lang] += int((ids[:starts] > 0).sum())
-            for size in range(self.shortest, self.longest + 1):
+            pending = block[places[starts]:] if starts < len(ids) else b""
+            n = int((ids[:starts] > 0).sum())
+            self.seen[lang] += n
+            if self.shortest == 1 and n:
+                trie = self.tries[lang]
+                self.cells -= len(trie.words)
+                trie.add_words(ids[:starts])
+                self.cells += len(trie.words)
+                self.waits += n
+            for size in range(max(2, self.shortest), self.longest + 1):
                 places = np.flatnonzero(self._counts(lang, ids, size)[:starts])
                 code = np.zeros(len(places), "int64")
                 for k in range(size):
@@ -251,7 +314,7 @@ class _Counter:
                     self.waiting[lang].append(code)
                     self.waits += len(code)
             # Between blocks nothing refers to numbers of words, so they may change.
-            if self.waits > m.entries // 4 or len(self.numbers) >= m.words or self.numbers.bytes > m.word_bytes:
+            if self.waits > m.entries // 4 or self._full():
                 yield from self.check()
 
     def _counts(self, lang: str, ids: np.ndarray, size: int) -> np.ndarray:
@@ -284,10 +347,14 @@ class _Counter:
         self.most += self.waits
         self.waiting, self.waits = defaultdict(list), 0
 
+    def _full(self) -> bool:
+        """Whether words must be numbered anew."""
+        return len(self.numbers) >= self.mining.words or self.numbers.bytes > self.mining.word_bytes or self.cells > 8 * self.mining.words
+
     def check(self) -> Iterator[pa.RecordBatch]:
         m = self.mining
         self._insert()
-        if len(self.numbers) >= m.words or self.numbers.bytes > m.word_bytes or len(self.tries) > 64:
+        if self._full() or len(self.tries) > 64:
             yield from self.runs(0, forget=True)
         elif self.most > m.entries:
             self.most = sum(t.settle() for t in self.tries.values())
@@ -318,9 +385,9 @@ def _count(docs: DataFrame, mining: Mining, shortest: int, longest: int, known:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _Counter(mining, shortest, longest, None if known is None else known.value, longest - 1)
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                yield from counter.count(lang, text.as_py())
+        rows = ((lang, text.as_py()) for batch in batches for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")))
+        for lang, text in _together(rows, mining.block):
+            yield from counter.count(lang, text)
         yield from counter.runs(0, forget=True)
 
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.encode("text", "UTF-8").alias("text")).filter("text <> X''")
